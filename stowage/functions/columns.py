@@ -50,10 +50,11 @@ def null_safe_struct(c: Column, fields: list[Column]) -> Column:
     return F.when(c.isNotNull(), F.struct(*fields))
 
 
-def refuse_null(c: Column, message: str) -> Column:
-    """``c``, or a run-time error where it is null.
+def refuse_nulls(values: Column, checked: Column, message: str) -> Column:
+    """``checked``, or a run-time error where the array ``values`` holds a null.
 
-    The check is part of the value itself, so that the optimizer cannot drop it
-    while the value is in use.
+    The check is part of the column itself, so that the optimizer cannot drop it
+    while the column is in use.
     """
-    return F.coalesce(c, F.raise_error(F.lit(message)))
+    broken = F.exists(values, lambda v: v.isNull())
+    return F.when(broken, F.raise_error(F.lit(message))).otherwise(checked)

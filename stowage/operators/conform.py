@@ -13,13 +13,14 @@ need neither a rebuild nor a null check are passed on untouched.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stowage.errors import MissingFieldError, TypeMismatchError
-from stowage.functions.columns import column, null_of, null_safe_struct, refuse_null
+from stowage.functions.columns import column, null_of, null_safe_struct, refuse_nulls
 from stowage.functions.types import dotted, require_unique_columns, same_type
 
 Convert = Callable[[Column], Column]
@@ -47,23 +48,46 @@ def missing_field(field: T.StructField, path: tuple[str, ...]) -> Convert:
     return lambda _: null_of(field.dataType)
 
 
-def guarded(
-    inner: Convert, nulls_in: bool, nulls_allowed: bool, what: str, path: tuple[str, ...]
-) -> Convert:
-    """``inner``, with a null check where nulls can come in and must not go out."""
-    if nulls_in and not nulls_allowed:
-        return lambda v: refuse_null(inner(v), f"null {what} at path {dotted(path)}")
-    return inner
+@dataclass(frozen=True)
+class CastTo:
+    """A conversion by cast; around it, arrays and maps are cast as a whole (compiled)."""
 
+    target: T.DataType
 
-def array_rule(element: Convert) -> Convert:
-    return untouched if element is untouched else lambda c: F.transform(c, element)
+    def __call__(self, c: Column) -> Column:
+        return c.cast(self.target)
 
 
-def map_rule(value: Convert) -> Convert:
+def array_rule(
+    source: T.ArrayType, target: T.ArrayType, element: Convert, path: tuple[str, ...]
+) -> Convert:
+    """``element`` on each element, with a null check where nulls come in and must not go out."""
+    if element is untouched:
+        convert = untouched
+    elif isinstance(element, CastTo):
+        convert = CastTo(T.ArrayType(element.target))
+    else:
+        convert = lambda c: F.transform(c, element)
+    if target.containsNull or not source.containsNull:
+        return convert
+    message = f"null array element at path {dotted(path)}"
+    return lambda c: refuse_nulls(c, convert(c), message)
+
+
+def map_rule(
+    source: T.MapType, target: T.MapType, value: Convert, path: tuple[str, ...]
+) -> Convert:
+    """``value`` on each value, with a null check where nulls come in and must not go out."""
     if value is untouched:
-        return untouched
-    return lambda c: F.transform_values(c, lambda _, v: value(v))
+        convert = untouched
+    elif isinstance(value, CastTo):
+        convert = CastTo(T.MapType(source.keyType, value.target))
+    else:
+        convert = lambda c: F.transform_values(c, lambda _, v: value(v))
+    if target.valueContainsNull or not source.valueContainsNull:
+        return convert
+    message = f"null map value at path {dotted(path)}"
+    return lambda c: refuse_nulls(F.map_values(c), convert(c), message)
 
 
 def struct_rule(names: list[str], parts: list[tuple[str, Convert]]) -> Convert:
@@ -79,14 +103,10 @@ def conform_rule(source: T.DataType, target: T.DataType, path: tuple[str, ...] =
         return struct_rule(source.names, field_rules(source, target, path))
     if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
         inner = conform_rule(source.elementType, target.elementType, path)
-        return array_rule(
-            guarded(inner, source.containsNull, target.containsNull, "array element", path)
-        )
+        return array_rule(source, target, inner, path)
     if has_string_keys(source) and has_string_keys(target):
         inner = conform_rule(source.valueType, target.valueType, path)
-        return map_rule(
-            guarded(inner, source.valueContainsNull, target.valueContainsNull, "map value", path)
-        )
+        return map_rule(source, target, inner, path)
     if same_type(source, target) and not isinstance(target, T.MapType):
         return untouched
     raise mismatch(source.simpleString(), target, path)

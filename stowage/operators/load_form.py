@@ -15,6 +15,8 @@ anything else                         refused
 Decimals are written as plain digits under ANSI mode, which is Spark's default.
 The schema is checked on the driver before any job runs. Columns that need no
 change are passed on as they are, so a scan below stays pruned and pushed down.
+A column without times in it takes one cast, however deep it is: casts of arrays,
+maps and structs are compiled, while ``transform`` runs interpreted.
 """
 
 from __future__ import annotations
@@ -69,11 +71,23 @@ def load_schema(schema: T.StructType) -> T.StructType:
     return load_type(schema)
 
 
+def holds_time(dt: T.DataType) -> bool:
+    if isinstance(dt, T.ArrayType):
+        return holds_time(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return holds_time(dt.valueType)
+    if isinstance(dt, T.StructType):
+        return any(holds_time(f.dataType) for f in dt.fields)
+    return isinstance(dt, _TO_LONG)
+
+
 def load_column(c: Column, dt: T.DataType, utc_session: bool) -> Column:
     """``c`` of type ``dt`` in load form; ``c`` itself where nothing changes."""
     out = load_type(dt)
     if out == dt:
         return c
+    if not holds_time(dt):
+        return c.cast(out)
     if isinstance(dt, T.TimestampType):
         return F.unix_millis(c)
     if isinstance(dt, T.TimestampNTZType):
@@ -84,12 +98,10 @@ def load_column(c: Column, dt: T.DataType, utc_session: bool) -> Column:
         return F.transform(c, lambda e: load_column(e, dt.elementType, utc_session))
     if isinstance(dt, T.MapType):
         return F.transform_values(c, lambda _, v: load_column(v, dt.valueType, utc_session))
-    if isinstance(dt, T.StructType):
-        return null_safe_struct(
-            c,
-            [load_column(c.getField(f.name), f.dataType, utc_session).alias(f.name) for f in dt],
-        )
-    return c.cast(out)
+    return null_safe_struct(
+        c,
+        [load_column(c.getField(f.name), f.dataType, utc_session).alias(f.name) for f in dt.fields],
+    )
 
 
 def load_form(df: DataFrame) -> DataFrame:

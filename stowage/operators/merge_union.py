@@ -30,15 +30,16 @@ from stowage.errors import UnionShapeError
 from stowage.functions.columns import column, null_of
 from stowage.functions.types import dotted, loosen, require_unique_columns, same_type
 from stowage.operators.conform import (
+    CastTo,
     Convert,
     array_rule,
     conform_rule,
-    guarded,
     has_string_keys,
     map_rule,
     mismatch,
     missing_field,
     struct_rule,
+    untouched,
 )
 
 # The two pairs of types that widen, and what they widen to.
@@ -110,18 +111,14 @@ def merge_rule(
         inner = merge_rule(
             source.elementType, [t.elementType for t in mem], target.elementType, path
         )
-        return array_rule(
-            guarded(inner, source.containsNull, target.containsNull, "array element", path)
-        )
+        return array_rule(source, target, inner, path)
     if all(has_string_keys(t) for t in [*mem, target]):
         inner = merge_rule(source.valueType, [t.valueType for t in mem], target.valueType, path)
-        return map_rule(
-            guarded(inner, source.valueContainsNull, target.valueContainsNull, "map value", path)
-        )
+        return map_rule(source, target, inner, path)
     if len(mem) == 1:
         return conform_rule(source, target, path)
     if widened(mem) == target:
-        return lambda c: c.cast(target)
+        return untouched if same_type(source, target) else CastTo(target)
     return member_rule(source, mem, target, path)
 
 

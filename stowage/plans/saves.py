@@ -130,7 +130,7 @@ def save_day_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total
+SELECT event_type, COUNT(*) AS n, ROUND(SUM(value), 2) AS total
 FROM (SELECT * FROM events WHERE {MIDDLE} UNION ALL SELECT * FROM events) both_loads
 GROUP BY event_type
 """)
@@ -141,7 +141,7 @@ def save_day_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh.write_table(events, f"own.events${day}", write="append")
     return wh.run_select(f"""
         SELECT event_type, COUNT(*) AS n,
-               CAST(SUM(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total
+               ROUND(SUM(value), 2) AS total
         FROM [own.events${day}] GROUP BY event_type""")
 
 
@@ -199,13 +199,13 @@ def save_options_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         second = "failed"
     after_failure = len(child_names(spark, wh.staging_root))
     saved = wh.read_table("own.orders")
-    files = F.col("_metadata.file_path")
+    per_file = saved.groupBy("o_orderstatus", F.col("_metadata.file_path").alias("file")).count()
     return (
-        saved.groupBy("o_orderstatus")
+        per_file.groupBy("o_orderstatus")
         .agg(
-            F.count("*").alias("n"),
-            F.count_distinct(F.regexp_extract(files, "^(.*)/[^/]*$", 1)).alias("folders"),
-            F.max(F.regexp_extract(files, r"(\.gz\.parquet)$", 1)).alias("ending"),
+            F.sum("count").alias("n"),
+            F.count_distinct(F.regexp_extract("file", "^(.*)/[^/]*$", 1)).alias("folders"),
+            F.max(F.regexp_extract("file", r"(\.gz\.parquet)$", 1)).alias("ending"),
         )
         .select(
             "o_orderstatus",
@@ -242,7 +242,7 @@ def load_staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT o_custkey, COUNT(*) AS orders,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS spent
+       ROUND(SUM(o_totalprice), 2) AS spent
 FROM orders GROUP BY o_custkey
 """)
 def write_from_self(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +256,7 @@ def write_from_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = wh.read_table("own.spending")
     per_customer = own.groupBy("o_custkey").agg(
         F.sum("orders").alias("orders"),
-        F.sum(F.col("spent").cast("decimal(18, 2)")).cast("double").alias("spent"),
+        F.round(F.sum("spent"), 2).alias("spent"),
     )
     wh.write_table(per_customer, "own.spending", write="truncate")
     return wh.read_table("own.spending")

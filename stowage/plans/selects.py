@@ -16,7 +16,7 @@ HOUR_MS = 3_600_000
 
 GROUP = """
 SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT user_id) AS users,
-       CAST(SUM(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total, MAX(value) AS top
+       ROUND(SUM(value), 2) AS total, MAX(value) AS top
 FROM [src.events] GROUP BY event_type
 """
 
@@ -29,9 +29,9 @@ def select_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JOIN = """
-SELECT n.n_name, c.c_mktsegment, SUM(o.orders) AS orders, CAST(SUM(o.spent) AS DOUBLE) AS spent
+SELECT n.n_name, c.c_mktsegment, SUM(o.orders) AS orders, ROUND(SUM(o.spent), 2) AS spent
 FROM (
-  SELECT o_custkey, COUNT(*) AS orders, SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS spent
+  SELECT o_custkey, COUNT(*) AS orders, SUM(o_totalprice) AS spent
   FROM [src.orders] GROUP BY o_custkey
 ) o
 JOIN [src.customer] c ON c.c_custkey = o.o_custkey
@@ -68,28 +68,34 @@ def select_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_warehouse(spark, sf_dir, "orders", "customer").run_select(SEMI_ANTI)
 
 
-MEASURES = """
-COUNT(*) AS n, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS price
-FROM [src.lineitem] GROUP BY """
-ROLLUP = f"SELECT l_returnflag, l_linestatus, {MEASURES} ROLLUP (l_returnflag, l_linestatus)"
-CUBE = f"SELECT l_returnflag, l_linestatus, {MEASURES} CUBE (l_returnflag, l_linestatus)"
-SETS = f"""SELECT l_returnflag, l_linenumber, {MEASURES}
-GROUPING SETS ((l_returnflag), (l_linenumber), ())"""
+FINEST = """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n, SUM(l_extendedprice) AS price
+FROM [src.lineitem] GROUP BY l_returnflag, l_linestatus
+"""
+MEASURES = "CAST(SUM(n) AS BIGINT) AS n, ROUND(SUM(price), 2) AS price"
+FROM_FINEST = f"SELECT l_returnflag, l_linestatus, {MEASURES} FROM ({FINEST}) f GROUP BY"
+FROM_LINES = """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n, ROUND(SUM(l_extendedprice), 2) AS price
+FROM lineitem GROUP BY"""
+ROLLUP = "ROLLUP (l_returnflag, l_linestatus)"
+CUBE = "CUBE (l_returnflag, l_linestatus)"
+SETS = "GROUPING SETS ((l_returnflag), (l_linestatus), ())"
 
 
-@query(without_brackets(ROLLUP))
+@query(f"{FROM_LINES} {ROLLUP}")
 def select_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return open_warehouse(spark, sf_dir, "lineitem").run_select(ROLLUP)
+    """Rolled up from the finest groups, so that the lines themselves are not multiplied."""
+    return open_warehouse(spark, sf_dir, "lineitem").run_select(f"{FROM_FINEST} {ROLLUP}")
 
 
-@query(without_brackets(CUBE))
+@query(f"{FROM_LINES} {CUBE}")
 def select_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return open_warehouse(spark, sf_dir, "lineitem").run_select(CUBE)
+    return open_warehouse(spark, sf_dir, "lineitem").run_select(f"{FROM_FINEST} {CUBE}")
 
 
-@query(without_brackets(SETS))
+@query(f"{FROM_LINES} {SETS}")
 def select_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return open_warehouse(spark, sf_dir, "lineitem").run_select(SETS)
+    return open_warehouse(spark, sf_dir, "lineitem").run_select(f"{FROM_FINEST} {SETS}")
 
 
 WINDOW = """
@@ -181,7 +187,7 @@ def select_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- the result cache ---------------------------------------------------------
 
 STATUS = """
-SELECT o_orderstatus, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total
+SELECT o_orderstatus, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total
 FROM [own.orders] GROUP BY o_orderstatus
 """
 STATUS_ONCE = STATUS.replace("[own.orders]", "orders")
