@@ -137,8 +137,8 @@ SELECT key, 'either' AS kind FROM (
   SELECT o_custkey AS key FROM [src.orders] UNION SELECT c_custkey FROM [src.customer]) u
 UNION ALL
 SELECT key, 'both' AS kind FROM (
-  SELECT DISTINCT o_custkey AS key FROM [src.orders] INTERSECT
-  SELECT c_custkey FROM [src.customer]) i
+  SELECT c_custkey AS key FROM [src.customer] INTERSECT
+  SELECT DISTINCT o_custkey FROM [src.orders]) i
 UNION ALL
 SELECT key, 'customer only' AS kind FROM (
   SELECT c_custkey AS key FROM [src.customer] EXCEPT

@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,14 +13,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("stowage-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stowage-wh-"))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("default")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -1,0 +1,335 @@
+"""Loading, selecting and saving: the rules one by one, on small frames."""
+
+import threading
+
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
+from stowage import TableSpec, Warehouse
+from stowage.errors import (
+    DuplicateColumnError,
+    NamespaceError,
+    NestedArrayError,
+    PartitioningError,
+    ReadOnlyTableError,
+    SchemaMismatchError,
+    SpecError,
+    TableExistsError,
+    TableNotEmptyError,
+    TableNotFoundError,
+    UnsupportedTypeError,
+)
+from stowage.sources.files import child_names
+
+DAY_MS = 86_400_000
+
+
+@pytest.fixture
+def frame(spark):
+    return spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def folders(spark, wh, table):
+    return child_names(spark, wh._catalog.table_folder(wh.spec(table)))
+
+
+# -- loading -------------------------------------------------------------------
+
+
+def test_attached_table_is_read_only(warehouse, frame):
+    warehouse.attach("src.orders", f"{SF_DIR}/orders.parquet")
+    assert warehouse.read_table("src.orders").count() == 1500
+    with pytest.raises(ReadOnlyTableError):
+        warehouse.write_table(frame, "src.orders")
+    with pytest.raises(TableExistsError):
+        warehouse.attach("src.orders", f"{SF_DIR}/orders.parquet")
+
+
+def test_attached_folder_keeps_its_partitions(warehouse, frame, tmp_path):
+    frame.write.partitionBy("s").parquet(f"{tmp_path}/parts")
+    warehouse.attach("src.parts", f"{tmp_path}/parts")
+    assert rows(warehouse.read_table("src.parts")) == [(1, "a"), (2, "b")]
+
+
+def test_missing_table(warehouse):
+    with pytest.raises(TableNotFoundError):
+        warehouse.read_table("ds.nothing")
+    with pytest.raises(TableNotFoundError):
+        warehouse.run_select("SELECT * FROM [ds.nothing]")
+
+
+def test_projects_do_not_mix(spark, tmp_path, frame):
+    one = Warehouse(spark, str(tmp_path), "mix-one")
+    two = Warehouse(spark, str(tmp_path), "mix_one")
+    one.write_table(frame, "ds.t")
+    assert not two.table_exists("ds.t")
+    assert two.read_table("mix-one:ds.t").count() == 2
+
+
+def test_empty_table_loads_and_appends(warehouse, frame):
+    warehouse.write_table(frame.filter("n > 9"), "ds.t")
+    assert warehouse.read_table("ds.t").columns == ["n", "s"]
+    assert warehouse.read_table("ds.t").count() == 0
+    warehouse.write_table(frame, "ds.t", write="empty")
+    assert warehouse.read_table("ds.t").count() == 2
+
+
+# -- selecting -----------------------------------------------------------------
+
+
+def test_select_is_cached_by_text_until_expiry(warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    text = "SELECT COUNT(*) AS n FROM [ds.t]"
+    assert rows(warehouse.run_select(text, now_ms=0)) == [(2,)]
+    warehouse.write_table(frame, "ds.t")
+    assert rows(warehouse.run_select(text, now_ms=DAY_MS - 1)) == [(2,)]
+    assert rows(warehouse.run_select(text + " ", now_ms=1)) == [(4,)]
+    assert rows(warehouse.run_select(text, now_ms=DAY_MS)) == [(4,)]
+
+
+def test_dropped_result_is_run_again(warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    text = "SELECT MAX(n) AS n FROM [ds.t]"
+    warehouse.run_select(text, now_ms=0)
+    assert len(warehouse.expire_staging(now_ms=DAY_MS)) == 1
+    assert rows(warehouse.run_select(text, now_ms=1)) == [(2,)]
+
+
+def test_expiry_looks_at_each_result(warehouse):
+    for at in (0, 10, 20):
+        warehouse.run_select(f"SELECT {at} AS at", now_ms=at)
+    assert len(warehouse.expire_staging(now_ms=DAY_MS + 10)) == 2
+    (left,) = warehouse.staged_results()
+    assert left.expires_at_ms == DAY_MS + 20
+    assert rows(warehouse.read_table(left.spec)) == [(20,)]
+    assert warehouse.expire_staging(now_ms=DAY_MS + 10) == []
+
+
+def test_result_files_go_with_the_result(spark, warehouse):
+    warehouse.run_select("SELECT 1 AS a", now_ms=0)
+    folder = warehouse._catalog.schema_folder(warehouse.staged_results()[0].spec)
+    assert child_names(spark, folder)
+    warehouse.expire_staging(now_ms=DAY_MS)
+    assert child_names(spark, folder) == []
+
+
+def test_failed_select_leaves_no_result(warehouse):
+    text = "SELECT raise_error('no') AS a FROM range(1)"
+    for _ in range(2):
+        with pytest.raises(Exception, match="no"):
+            warehouse.run_select(text)
+    assert warehouse.staged_results() == []
+
+
+def test_same_text_in_two_threads_runs_once(warehouse):
+    text = "SELECT COUNT(*) AS n FROM range(100000)"
+    threads = [threading.Thread(target=warehouse.run_select, args=(text, 5)) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(warehouse.staged_results()) == 1
+
+
+def test_refused_results(warehouse):
+    with pytest.raises(DuplicateColumnError):
+        warehouse.run_select("SELECT 1 AS a, 2 AS A")
+    with pytest.raises(UnsupportedTypeError):
+        warehouse.run_select("SELECT INTERVAL '1' DAY AS i")
+    assert warehouse.staged_results() == []
+
+
+def test_staging_settings(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path), "settings", location="EU", staging_prefix="kept_")
+    assert wh.ensure_staging() == "kept_eu"
+    schema = wh.spec("kept_eu.x").schema_name
+    about = dict(spark.sql(f"DESCRIBE SCHEMA EXTENDED {schema}").collect())
+    assert about["Comment"] == "Staged query results"
+    assert "(stowage.location,EU)" in about["Properties"]
+    assert f"(stowage.default_lifetime_ms,{DAY_MS})" in about["Properties"]
+    named = Warehouse(spark, str(tmp_path), "settings", staging_dataset="mine")
+    assert named.ensure_staging() == "mine"
+    named.run_select("SELECT 1 AS a")
+    assert named.staged_results()[0].spec.dataset == "mine"
+
+
+def test_select_on_days(warehouse, frame):
+    warehouse.write_table(frame, "ds.d$20240101")
+    warehouse.write_table(frame.limit(1), "ds.d$20240102")
+
+    def count(relation, what="COUNT(*)"):
+        return rows(warehouse.run_select(f"SELECT {what} AS n FROM {relation}"))
+
+    assert count("[ds.d]") == [(3,)]
+    assert count("[ds.d$20240102] x") == [(1,)]
+    assert count("[ds.d]", "COUNT(DISTINCT _partition_day)") == [(2,)]
+    assert warehouse.run_select("SELECT * FROM [ds.d]").columns == ["n", "s"]
+    warehouse.write_table(frame, "ds.plain")
+    with pytest.raises(PartitioningError):
+        count("[ds.plain$20240101]")
+
+
+# -- saving --------------------------------------------------------------------
+
+
+def test_dispositions(warehouse, frame):
+    with pytest.raises(TableNotFoundError):
+        warehouse.write_table(frame, "ds.t", create="never")
+    assert not warehouse.table_exists("ds.t")
+    warehouse.write_table(frame, "ds.t", write="empty", create="if_needed")
+    with pytest.raises(TableNotEmptyError):
+        warehouse.write_table(frame, "ds.t", write="empty")
+    warehouse.write_table(frame, "ds.t", write="append", create="never")
+    assert warehouse.read_table("ds.t").count() == 4
+    warehouse.write_table(frame.limit(1), "ds.t", write="truncate", create="never")
+    assert rows(warehouse.read_table("ds.t")) == [(1, "a")]
+
+
+@pytest.mark.parametrize(
+    "wrong",
+    [{"write": "replace"}, {"create": "maybe"}, {"fmt": "csv"}, {"types": "other"}],
+)
+def test_unknown_choices(warehouse, frame, wrong):
+    with pytest.raises(SpecError):
+        warehouse.write_table(frame, "ds.t", **wrong)
+    assert not warehouse.table_exists("ds.t")
+
+
+def test_columns_are_matched_by_name(warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    warehouse.write_table(frame.limit(1).selectExpr("'c' AS S", "3 AS n"), "ds.t")
+    assert rows(warehouse.read_table("ds.t")) == [(1, "a"), (2, "b"), (3, "c")]
+    for bad in (
+        frame.select("n"),
+        frame.withColumn("more", F.lit(1)),
+        frame.withColumn("n", F.col("n").cast("bigint")),
+    ):
+        with pytest.raises(SchemaMismatchError):
+            warehouse.write_table(bad, "ds.t")
+    assert warehouse.read_table("ds.t").count() == 3
+
+
+def test_refused_frames_leave_nothing(spark, warehouse, frame):
+    cases = [
+        (frame.selectExpr("array(array(n)) AS a"), "parquet", NestedArrayError),
+        (frame.selectExpr("map(n, s) AS m"), "parquet", UnsupportedTypeError),
+        (frame.selectExpr("named_struct('n', n) AS r"), "avro", NamespaceError),
+        (frame.selectExpr("n", "s AS N"), "parquet", DuplicateColumnError),
+        (frame.selectExpr("n AS _partition_day"), "parquet", SpecError),
+    ]
+    for df, fmt, error in cases:
+        with pytest.raises(error):
+            warehouse.write_table(df, "ds.t", fmt=fmt)
+    assert not warehouse.table_exists("ds.t")
+    assert folders(spark, warehouse, "ds.t") == []
+
+
+def test_overwrite_from_self(warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    own = warehouse.read_table("ds.t")
+    warehouse.write_table(own.withColumn("n", F.col("n") * 10), "ds.t", write="truncate")
+    assert rows(warehouse.read_table("ds.t")) == [(10, "a"), (20, "b")]
+    warehouse.write_table(warehouse.read_table("ds.t"), "ds.t", write="append")
+    assert warehouse.read_table("ds.t").count() == 4
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_failed_save_changes_nothing(spark, warehouse, frame, staged):
+    bad = frame.withColumn("n", F.when(F.col("n") == 1, 1).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        warehouse.write_table(bad, "ds.t", staged=staged)
+    assert not warehouse.table_exists("ds.t")
+    assert folders(spark, warehouse, "ds.t") == []
+    warehouse.write_table(frame, "ds.t")
+    before = folders(spark, warehouse, "ds.t")
+    for write in ("append", "truncate"):
+        with pytest.raises(Exception, match="no"):
+            warehouse.write_table(bad, "ds.t", write=write, staged=staged)
+        assert rows(warehouse.read_table("ds.t")) == [(1, "a"), (2, "b")]
+    assert folders(spark, warehouse, "ds.t") == before
+    assert child_names(spark, warehouse.staging_root) == []
+
+
+def test_truncate_keeps_one_folder(spark, warehouse, frame):
+    for _ in range(3):
+        warehouse.write_table(frame, "ds.t", write="truncate")
+    assert len(folders(spark, warehouse, "ds.t")) == 1
+
+
+@pytest.mark.parametrize("fmt", ["orc", "parquet"])
+def test_staged_save(spark, tmp_path, frame, fmt):
+    wh = Warehouse(spark, f"{tmp_path}/root", f"st-{fmt}", staging_root=f"{tmp_path}/stage")
+    assert wh.staging_root == f"{tmp_path}/stage"
+    for _ in range(2):
+        wh.write_table(frame, "ds.t", fmt=fmt, staged=True)
+    assert wh.read_table("ds.t").count() == 4
+    assert child_names(spark, wh.staging_root) == []
+
+
+def test_session_settings_are_left_alone(spark, warehouse, frame):
+    before = dict(spark.conf.getAll)
+    warehouse.write_table(frame, "ds.t", fmt="orc", options={"compression": "snappy"})
+    assert dict(spark.conf.getAll) == before
+
+
+def test_load_staged_takes_files_of_its_format(spark, warehouse, frame, tmp_path):
+    folder = f"{tmp_path}/in"
+    frame.write.orc(folder)
+    frame.write.mode("append").parquet(folder)
+    warehouse.load_staged(folder, "ds.t", fmt="orc")
+    assert warehouse.read_table("ds.t").count() == 2
+    warehouse.load_staged(folder, TableSpec(warehouse.project, "ds", "t"), write="truncate")
+    assert warehouse.read_table("ds.t").count() == 2
+    assert any(n.endswith(".orc") for n in child_names(spark, folder))
+
+
+def test_days(spark, warehouse, frame):
+    warehouse.write_table(frame, "ds.d$20240101")
+    warehouse.write_table(frame, "ds.d$20240102", write="empty")
+    warehouse.write_table(frame, "ds.d$20240102", write="append")
+    with pytest.raises(TableNotEmptyError):
+        warehouse.write_table(frame, "ds.d$20240102", write="empty")
+
+    def per_day():
+        days = warehouse.read_table("ds.d", with_day=True).groupBy("_partition_day").count()
+        return {str(d): n for d, n in days.collect()}
+
+    assert per_day() == {"2024-01-01": 2, "2024-01-02": 4}
+    own = warehouse.read_table("ds.d$20240102")
+    warehouse.write_table(own.filter("n = 1"), "ds.d$20240102", write="truncate")
+    assert per_day() == {"2024-01-01": 2, "2024-01-02": 2}
+    warehouse.write_table(frame.limit(0), "ds.d$20240101", write="truncate")
+    assert per_day() == {"2024-01-02": 2}
+    assert warehouse.read_table("ds.d$20240101").count() == 0
+    assert warehouse.read_table("ds.d$20991231").count() == 0
+    assert warehouse.read_table("ds.d").columns == ["n", "s"]
+    assert len(folders(spark, warehouse, "ds.d")) == 2
+    with pytest.raises(PartitioningError):
+        warehouse.write_table(frame, "ds.d")
+    warehouse.write_table(frame, "ds.plain")
+    for call in (
+        lambda: warehouse.write_table(frame, "ds.plain$20240101"),
+        lambda: warehouse.read_table("ds.plain$20240101"),
+    ):
+        with pytest.raises(PartitioningError):
+            call()
+
+
+def test_required_columns_become_nullable(spark, warehouse):
+    strict = spark.range(3).selectExpr("id")
+    warehouse.write_table(strict, "ds.t")
+    warehouse.write_table(strict.selectExpr("NULLIF(id, 1) AS id"), "ds.t")
+    assert warehouse.read_table("ds.t").filter("id IS NULL").count() == 1
+
+
+def test_odd_column_names(spark, warehouse):
+    df = spark.sql("SELECT 1 AS `a.b`, 2 AS `c d`, named_struct('x.y', 3S) AS `r``q`")
+    for _ in range(2):
+        warehouse.write_table(df, "ds.t")
+    assert warehouse.read_table("ds.t").columns == ["a.b", "c d", "r`q"]
+    assert warehouse.read_table("ds.t").schema["r`q"].dataType.simpleString() == "struct<x.y:int>"
