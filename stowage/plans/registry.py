@@ -69,6 +69,20 @@ def without_brackets(sql: str) -> str:
     return sql.replace("[src.", "").replace("]", "")
 
 
+def cents(amount: str) -> str:
+    """SQL for an amount as whole cents. Their sums do not depend on the order of the rows."""
+    return f"CAST(FLOOR({amount} * 100 + 0.5) AS BIGINT)"
+
+
+def in_units(sum_of_cents: str) -> str:
+    """SQL for a sum of cents as an amount."""
+    return f"CAST({sum_of_cents} AS DOUBLE) / 100"
+
+
+def exact_sum(amount: str) -> str:
+    return in_units(f"SUM({cents(amount)})")
+
+
 def refusal(call: Callable[[], object]) -> str:
     """How ``call`` was refused: the kind of error, and the path if it has one."""
     try:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowage import TableSpec, Warehouse
-from stowage.plans.registry import open_warehouse, query, refusal
+from stowage.plans.registry import cents, exact_sum, open_warehouse, query, refusal
 from stowage.sources.files import child_names
 
 CUSTOMER = "SELECT c_custkey, c_name, c_acctbal FROM customer"
@@ -130,7 +130,7 @@ def save_day_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT event_type, COUNT(*) AS n, ROUND(SUM(value), 2) AS total
+SELECT event_type, COUNT(*) AS n, {exact_sum("value")} AS total
 FROM (SELECT * FROM events WHERE {MIDDLE} UNION ALL SELECT * FROM events) both_loads
 GROUP BY event_type
 """)
@@ -141,7 +141,7 @@ def save_day_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh.write_table(events, f"own.events${day}", write="append")
     return wh.run_select(f"""
         SELECT event_type, COUNT(*) AS n,
-               ROUND(SUM(value), 2) AS total
+               {exact_sum("value")} AS total
         FROM [own.events${day}] GROUP BY event_type""")
 
 
@@ -240,23 +240,21 @@ def load_staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.read_table("own.customer")
 
 
-@query("""
-SELECT o_custkey, COUNT(*) AS orders,
-       ROUND(SUM(o_totalprice), 2) AS spent
+@query(f"""
+SELECT o_custkey, COUNT(*) AS orders, CAST(SUM({cents("o_totalprice")}) AS BIGINT) AS cents
 FROM orders GROUP BY o_custkey
 """)
 def write_from_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace a table by a query on itself: one row per order becomes one per customer."""
     wh = open_warehouse(spark, sf_dir, "orders")
-    one = F.lit(1).cast("bigint")
-    orders = wh.read_table("src.orders").select(
-        "o_custkey", one.alias("orders"), F.col("o_totalprice").alias("spent")
+    orders = wh.read_table("src.orders").selectExpr(
+        "o_custkey", "1L AS orders", f"{cents('o_totalprice')} AS cents"
     )
     wh.write_table(orders, "own.spending")
-    own = wh.read_table("own.spending")
-    per_customer = own.groupBy("o_custkey").agg(
-        F.sum("orders").alias("orders"),
-        F.round(F.sum("spent"), 2).alias("spent"),
+    per_customer = (
+        wh.read_table("own.spending")
+        .groupBy("o_custkey")
+        .agg(F.sum("orders").alias("orders"), F.sum("cents").alias("cents"))
     )
     wh.write_table(per_customer, "own.spending", write="truncate")
     return wh.read_table("own.spending")

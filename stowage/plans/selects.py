@@ -10,13 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowage import Warehouse
-from stowage.plans.registry import open_warehouse, query, without_brackets
+from stowage.plans.registry import (
+    cents,
+    exact_sum,
+    in_units,
+    open_warehouse,
+    query,
+    without_brackets,
+)
 
 HOUR_MS = 3_600_000
 
-GROUP = """
+GROUP = f"""
 SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT user_id) AS users,
-       ROUND(SUM(value), 2) AS total, MAX(value) AS top
+       {exact_sum("value")} AS total, MAX(value) AS top
 FROM [src.events] GROUP BY event_type
 """
 
@@ -28,10 +35,10 @@ def select_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.run_select(GROUP.replace("[src.", f"[{wh.project}:src."))
 
 
-JOIN = """
-SELECT n.n_name, c.c_mktsegment, SUM(o.orders) AS orders, ROUND(SUM(o.spent), 2) AS spent
+JOIN = f"""
+SELECT n.n_name, c.c_mktsegment, SUM(o.orders) AS orders, {in_units("SUM(o.spent)")} AS spent
 FROM (
-  SELECT o_custkey, COUNT(*) AS orders, SUM(o_totalprice) AS spent
+  SELECT o_custkey, COUNT(*) AS orders, SUM({cents("o_totalprice")}) AS spent
   FROM [src.orders] GROUP BY o_custkey
 ) o
 JOIN [src.customer] c ON c.c_custkey = o.o_custkey
@@ -68,14 +75,14 @@ def select_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_warehouse(spark, sf_dir, "orders", "customer").run_select(SEMI_ANTI)
 
 
-FINEST = """
-SELECT l_returnflag, l_linestatus, COUNT(*) AS n, SUM(l_extendedprice) AS price
+FINEST = f"""
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n, SUM({cents("l_extendedprice")}) AS price
 FROM [src.lineitem] GROUP BY l_returnflag, l_linestatus
 """
-MEASURES = "CAST(SUM(n) AS BIGINT) AS n, ROUND(SUM(price), 2) AS price"
+MEASURES = f"SUM(n) AS n, {in_units('SUM(price)')} AS price"
 FROM_FINEST = f"SELECT l_returnflag, l_linestatus, {MEASURES} FROM ({FINEST}) f GROUP BY"
-FROM_LINES = """
-SELECT l_returnflag, l_linestatus, COUNT(*) AS n, ROUND(SUM(l_extendedprice), 2) AS price
+FROM_LINES = f"""
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n, {exact_sum("l_extendedprice")} AS price
 FROM lineitem GROUP BY"""
 ROLLUP = "ROLLUP (l_returnflag, l_linestatus)"
 CUBE = "CUBE (l_returnflag, l_linestatus)"
@@ -186,8 +193,8 @@ def select_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- the result cache ---------------------------------------------------------
 
-STATUS = """
-SELECT o_orderstatus, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total
+STATUS = f"""
+SELECT o_orderstatus, COUNT(*) AS n, {exact_sum("o_totalprice")} AS total
 FROM [own.orders] GROUP BY o_orderstatus
 """
 STATUS_ONCE = STATUS.replace("[own.orders]", "orders")
