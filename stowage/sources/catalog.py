@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from stowage.errors import TableExistsError
 from stowage.functions.types import loosen
+from stowage.sources.files import qualified
 from stowage.sources.spec import TableSpec
 
 # The hidden partition column and the table properties in use.
@@ -50,7 +51,7 @@ class TableFacts:
 class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.root = qualified(spark, root)
 
     # -- reading -------------------------------------------------------------
 
@@ -69,8 +70,11 @@ class Catalog:
             entry.get("table_properties", {}).get(SAVED_HERE) == "true",
         )
 
-    def day_location(self, spec: TableSpec) -> str | None:
-        """Where the files of ``spec.day`` are, or None if the table has no such day."""
+    def location(self, spec: TableSpec) -> str | None:
+        """Where the files of the table, or of its day, are; None if there is no such."""
+        facts = self.facts(spec)
+        if facts is None or spec.day is None:
+            return facts and facts.location
         part = f"PARTITION ({PARTITION_COLUMN} = {day_literal(spec.day)})"
         if self.spark.sql(f"SHOW PARTITIONS {spec.catalog_name} {part}").isEmpty():
             return None
@@ -131,7 +135,7 @@ class Catalog:
 
     def attach(self, spec: TableSpec, path: str, fmt: str) -> None:
         """A table over files that belong to someone else; saves refuse it."""
-        self._create(spec, f"USING {fmt} LOCATION {literal(path)}")
+        self._create(spec, f"USING {fmt} LOCATION {literal(qualified(self.spark, path))}")
         if self._describe(spec.catalog_name).get("partition_columns"):
             self.spark.catalog.recoverPartitions(spec.catalog_name)
 

@@ -13,6 +13,12 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` in full, so that readers, writers and the catalog mean the same place."""
+    fs, p = _file_system(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)

@@ -38,7 +38,7 @@ from stowage.functions.columns import column
 from stowage.functions.types import require_unique_columns, same_type
 from stowage.operators.load_form import load_form, refuse_nested_arrays, require_namespaces
 from stowage.sources.catalog import PARTITION_COLUMN, Catalog, TableFacts
-from stowage.sources.files import delete_tree, fresh_name
+from stowage.sources.files import delete_tree, fresh_name, qualified
 from stowage.sources.spec import TableSpec
 
 # The choices a caller has, and the codec of each staged format.
@@ -55,7 +55,7 @@ class Saves:
     def __init__(self, catalog: Catalog, staging_root: str):
         self._catalog = catalog
         self._spark = catalog.spark
-        self.staging_root = staging_root.rstrip("/")
+        self.staging_root = qualified(self._spark, staging_root)
 
     # -- entry points --------------------------------------------------------
 
@@ -145,16 +145,17 @@ class Saves:
             self._create(df, spec, options)
             return
         df = df.select(*[column(n) for n in self._catalog.frame(facts, None).columns])
-        current = self._catalog.day_location(spec) if spec.day else facts.location
+        current = self._catalog.location(spec)
         if current is None:
             self._fresh(df, spec, options, lambda folder: self._catalog.add_day(spec, folder))
         elif write == "truncate":
             point = self._catalog.point_day_at if spec.day else self._catalog.point_at
             self._fresh(df, spec, options, lambda folder: point(spec, folder))
-            delete_tree(self._spark, current)
         else:
             df.write.mode("append").options(**options, **_COMMIT_AS_A_WHOLE).parquet(current)
         self._spark.catalog.refreshTable(spec.catalog_name)
+        if write == "truncate" and current is not None:
+            delete_tree(self._spark, current)
 
     def _create(self, df: DataFrame, spec: TableSpec, options: Mapping[str, str]) -> None:
         create = self._catalog.create_by_day if spec.day else self._catalog.create_over
@@ -169,13 +170,20 @@ class Saves:
     ) -> None:
         """Write ``df`` to a folder of its own and publish that, or leave nothing."""
         day = f"{spec.day:%Y%m%d}_" if spec.day else ""
-        folder = f"{self._catalog.table_folder(spec)}/{day}{fresh_name()}"
+        name = f"{day}{fresh_name()}"
+        folder = f"{self._catalog.table_folder(spec)}/{name}"
         try:
             df.write.options(**options).parquet(folder)
-            publish(folder)
         except BaseException:
             delete_tree(self._spark, folder)
             raise
+        try:
+            publish(folder)
+        except BaseException:
+            # An update may have gone through although its answer was lost.
+            if not (self._catalog.location(spec) or "").endswith(f"/{name}"):
+                delete_tree(self._spark, folder)
+            raise
 
 
 def _parquet_options() -> dict[str, str]:

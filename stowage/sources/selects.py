@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from stowage.errors import TableNotFoundError, UnsupportedTypeError
 from stowage.functions.types import dotted, require_unique_columns
 from stowage.sources.catalog import EXPIRES_AT, PARTITION_COLUMN, Catalog, day_literal
-from stowage.sources.spec import TableSpec, resolve_references, unescape
+from stowage.sources.spec import TableSpec, escape, resolve_references, unescape
 
 # How long a result lives, and how its table is named.
 LIFETIME_MS = 86_400_000
@@ -73,6 +73,7 @@ class Selects:
         specs = [
             self._spec(unescape(name))
             for name in self._catalog.table_names(self._spec("any").schema_name)
+            if name.startswith(escape(f"{RESULT_PREFIX}_"))
         ]
         found = [(spec, self._catalog.properties(spec).get(EXPIRES_AT)) for spec in specs]
         return [StagedResult(spec, int(at)) for spec, at in found if at is not None]
@@ -82,6 +83,9 @@ class Selects:
         gone = [result.spec for result in self.staged() if result.expired(now_ms)]
         for spec in gone:
             self._catalog.drop(spec)
+        for text, result in list(self._results.items()):
+            if result.spec in gone:
+                self._results.pop(text, None)
         return gone
 
     def _spec(self, table: str) -> TableSpec:

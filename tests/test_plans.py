@@ -97,3 +97,35 @@ def test_scratch_lies_where_the_cluster_says(spark):
     root = scratch_root(spark)
     assert root.startswith(f"{shared}/stowage_" if shared else tempfile.gettempdir())
     assert root != scratch_root(spark)
+
+
+@contextlib.contextmanager
+def jobs_counted(spark, name):
+    """A list that holds the number of Spark jobs run inside the block."""
+    spark.sparkContext.setJobGroup(name, name)
+    out = []
+    yield out
+    out.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+    spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_loading_runs_no_job(spark, warehouse):
+    warehouse.write_table(spark.range(9), "ds.t")
+    warehouse.write_table(spark.range(9), "ds.d$20240101")
+    text = "SELECT COUNT(*) AS n FROM [ds.t]"
+    warehouse.run_select(text)
+    with jobs_counted(spark, "load") as n:
+        warehouse.read_table("ds.t")
+        warehouse.read_table("ds.d$20240101")
+        warehouse.run_select(text)
+        load_form(warehouse.read_table("ds.t"))
+    assert n == [0]
+
+
+@pytest.mark.parametrize("write", ["append", "truncate"])
+def test_a_save_is_one_job(spark, warehouse, write):
+    for table in ("ds.t", "ds.d$20240101"):
+        for turn in ("new", "again"):
+            with jobs_counted(spark, f"{table}-{turn}-{write}") as n:
+                warehouse.write_table(spark.range(9), table, write=write)
+            assert n == [1]

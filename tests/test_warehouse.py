@@ -1,9 +1,11 @@
 """Loading, selecting and saving: the rules one by one, on small frames."""
 
+import os
 import threading
 
 import pytest
 from conftest import SF_DIR
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stowage import TableSpec, Warehouse
@@ -264,7 +266,7 @@ def test_truncate_keeps_one_folder(spark, warehouse, frame):
 @pytest.mark.parametrize("fmt", ["orc", "parquet"])
 def test_staged_save(spark, tmp_path, frame, fmt):
     wh = Warehouse(spark, f"{tmp_path}/root", f"st-{fmt}", staging_root=f"{tmp_path}/stage")
-    assert wh.staging_root == f"{tmp_path}/stage"
+    assert wh.staging_root == f"file:{tmp_path}/stage"
     for _ in range(2):
         wh.write_table(frame, "ds.t", fmt=fmt, staged=True)
     assert wh.read_table("ds.t").count() == 4
@@ -333,3 +335,51 @@ def test_odd_column_names(spark, warehouse):
         warehouse.write_table(df, "ds.t")
     assert warehouse.read_table("ds.t").columns == ["a.b", "c d", "r`q"]
     assert warehouse.read_table("ds.t").schema["r`q"].dataType.simpleString() == "struct<x.y:int>"
+
+
+def test_relative_root(spark, frame, tmp_path):
+    """One meaning of a path for the files and for the catalog."""
+    wh = Warehouse(spark, os.path.relpath(tmp_path / "rel"), "relative-root")
+    wh.write_table(frame, "ds.t")
+    wh.write_table(frame, "ds.t", fmt="orc")
+    assert wh.read_table("ds.t").count() == 4
+    assert (tmp_path / "rel").is_dir()
+
+
+def test_failed_publish_leaves_nothing(spark, warehouse, frame, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("catalog is away")
+
+    monkeypatch.setattr(warehouse._catalog, "create_over", fail)
+    monkeypatch.setattr(warehouse._catalog, "add_day", fail)
+    for table in ("ds.t", "ds.d$20240101"):
+        with pytest.raises(RuntimeError, match="catalog is away"):
+            warehouse.write_table(frame, table)
+        assert not warehouse.table_exists(table)
+        assert folders(spark, warehouse, table) == []
+
+
+def test_lost_answer_of_the_catalog_keeps_the_files(warehouse, frame, monkeypatch):
+    warehouse.write_table(frame, "ds.t")
+    point_at = warehouse._catalog.point_at
+
+    def lose_the_answer(*args):
+        point_at(*args)
+        raise RuntimeError("answer lost")
+
+    monkeypatch.setattr(warehouse._catalog, "point_at", lose_the_answer)
+    with pytest.raises(RuntimeError, match="answer lost"):
+        warehouse.write_table(frame.limit(1), "ds.t", write="truncate")
+    assert rows(warehouse.read_table("ds.t")) == [(1, "a")]
+
+
+def test_avro_without_its_module_leaves_nothing(spark, warehouse, frame):
+    nested = frame.selectExpr("named_struct('n', n) AS r")
+    options = {"recordNamespace": "shop"}
+    try:
+        warehouse.write_table(nested, "ds.t", fmt="avro", options=options)
+        assert warehouse.read_table("ds.t").count() == 2
+    except AnalysisException as e:
+        assert "avro" in str(e).lower()
+        assert not warehouse.table_exists("ds.t")
+    assert child_names(spark, warehouse.staging_root) == []
