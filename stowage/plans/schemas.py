@@ -18,14 +18,16 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 @query("""
 SELECT l_orderkey, l_linenumber,
-       CAST(l_linenumber AS INTEGER) AS tiny, CAST(NULLIF(l_suppkey, 7) AS INTEGER) AS small,
+       CAST(l_linenumber AS INTEGER) AS tiny,
+       CASE WHEN l_suppkey = 7 THEN -1 ELSE CAST(l_suppkey AS INTEGER) END AS small,
        l_linenumber AS whole, l_partkey AS big,
        CAST(l_tax AS REAL) AS single, l_discount AS dbl,
        CAST(CAST(NULLIF(l_extendedprice, 1) AS DECIMAL(12, 3)) AS VARCHAR) AS dec,
        l_returnflag AS txt, l_returnflag = 'R' AS flag,
        hex(encode(l_linestatus)) AS bytes,
        (l_partkey * 86399 - 100000000) * 1000 AS ts,
-       CAST(epoch_ms(NULLIF(l_shipdate, TIMESTAMP '1995-01-02')) AS BIGINT) AS ntz,
+       CASE WHEN l_shipdate = TIMESTAMP '1995-01-02' THEN -1
+            ELSE CAST(epoch_ms(l_shipdate) AS BIGINT) END AS ntz,
        CAST(epoch_ms(CAST(CAST(l_shipdate AS DATE) - 12000 AS TIMESTAMP)) AS BIGINT) AS dt
 FROM lineitem
 """)
@@ -49,26 +51,30 @@ def load_form_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
         "NULLIF(l_shipdate, TIMESTAMP_NTZ '1995-01-02') AS ntz",
         "date_sub(CAST(l_shipdate AS DATE), 12000) AS dt",
     )
-    return load_form(typed).withColumn("bytes", F.hex("bytes"))
+    return load_form(typed).withColumns(
+        {
+            "bytes": F.hex("bytes"),
+            "small": F.coalesce("small", F.lit(-1)),
+            "ntz": F.coalesce("ntz", F.lit(-1)),
+        }
+    )
 
 
 @query("""
 SELECT l_orderkey, l_linenumber,
-       CAST(CAST(l_quantity AS DECIMAL(10, 3)) AS VARCHAR) AS a0, CAST(NULL AS VARCHAR) AS a1,
-       CASE WHEN l_returnflag = 'N' THEN NULL ELSE 2 END AS a_size,
-       l_linenumber AS m_q, CAST(NULL AS INTEGER) AS m_n,
-       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber END AS r_x,
+       CASE WHEN l_returnflag = 'N' THEN NULL
+            ELSE CAST(CAST(l_quantity AS DECIMAL(10, 3)) AS VARCHAR) END AS a0,
+       CAST(NULL AS VARCHAR) AS a1,
+       CASE WHEN l_returnflag = 'N' THEN -1 ELSE 2 END AS a_size,
+       l_linenumber AS m_q, true AS m_n_null,
+       CASE WHEN l_returnflag = 'R' THEN -1 ELSE l_linenumber END AS r_x,
        l_returnflag = 'R' AS r_null, l_returnflag = 'R' OR l_linestatus = 'O' AS y_null,
-       CASE WHEN l_returnflag = 'R' OR l_linestatus = 'O' THEN NULL
+       CASE WHEN l_returnflag = 'R' OR l_linestatus = 'O' THEN -1
             ELSE CAST(epoch_ms(l_shipdate) AS BIGINT) END AS r_y_d,
        CAST(CAST(l_discount AS DECIMAL(10, 3)) AS VARCHAR) AS s_d,
        CAST(epoch_ms(l_shipdate) AS BIGINT) AS s_t, l_linenumber AS ms_x
-FROM (SELECT *, l_linenumber AS n FROM lineitem) l
-""".replace(
-    "CAST(CAST(l_quantity AS DECIMAL(10, 3)) AS VARCHAR) AS a0",
-    "CASE WHEN l_returnflag = 'N' THEN NULL "
-    "ELSE CAST(CAST(l_quantity AS DECIMAL(10, 3)) AS VARCHAR) END AS a0",
-))
+FROM lineitem
+""")
 def load_form_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays, maps and structs around converted parts; null containers stay null."""
     nested = _read(spark, sf_dir, "lineitem").selectExpr(
@@ -88,13 +94,13 @@ def load_form_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         "a[0] AS a0",
         "a[1] AS a1",
-        "CASE WHEN a IS NOT NULL THEN size(a) END AS a_size",
+        "IF(a IS NULL, -1, size(a)) AS a_size",
         "m['q'] AS m_q",
-        "m['n'] AS m_n",
-        "r.x AS r_x",
+        "map_contains_key(m, 'n') AND m['n'] IS NULL AS m_n_null",
+        "COALESCE(r.x, -1) AS r_x",
         "r IS NULL AS r_null",
         "r.y IS NULL AS y_null",
-        "r.y.d AS r_y_d",
+        "COALESCE(r.y.d, -1) AS r_y_d",
         "s[0].d AS s_d",
         "s[0].t AS s_t",
         "ms['k'].x AS ms_x",
@@ -144,7 +150,7 @@ def _struct(*fields: tuple) -> T.StructType:
 
 @query("""
 SELECT o_orderpriority, o_orderkey, CAST(NULL AS VARCHAR) AS note,
-       o_orderstatus AS state, CAST(NULL AS BIGINT) AS state_rank,
+       o_orderstatus AS state, true AS no_rank,
        o_totalprice AS second_price, hex(encode(o_orderstatus)) AS raw
 FROM orders
 """)
@@ -171,7 +177,7 @@ def conform_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         "note",
         "state.status AS state",
-        "state.rank AS state_rank",
+        "state.rank IS NULL AS no_rank",
         "prices[0].price AS second_price",
         "hex(raw) AS raw",
     )
@@ -274,7 +280,7 @@ SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS n, CAST(CAST(l_tax AS RE
        l_returnflag AS flag, CAST(NULL AS VARCHAR) AS extra
 FROM lineitem
 UNION ALL
-SELECT o_orderkey, NULLIF(o_custkey, 1), o_totalprice, o_orderstatus, o_orderpriority FROM orders
+SELECT o_orderkey, CASE WHEN o_custkey = 1 THEN -1 ELSE o_custkey END, o_totalprice, o_orderstatus, o_orderpriority FROM orders
 """)
 def merge_union_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """int with bigint gives bigint, float with double gives double; absent fields are null."""
@@ -289,18 +295,18 @@ def merge_union_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderstatus AS flag",
         "o_orderpriority AS extra",
     )
-    return merge_union([lines, orders])
+    return merge_union([lines, orders]).withColumn("n", F.coalesce("n", F.lit(-1)))
 
 
 @query("""
-SELECT l_orderkey AS k, NULLIF(l_linenumber, 1) AS x0, CAST(NULL AS VARCHAR) AS x1,
-       CAST(NULL AS BIGINT) AS x2, l_linenumber = 1 AS x_null,
+SELECT l_orderkey AS k, CASE WHEN l_linenumber = 1 THEN -1 ELSE l_linenumber END AS x0,
+       CAST(NULL AS VARCHAR) AS x1, CAST(-1 AS BIGINT) AS x2, l_linenumber = 1 AS x_null,
        l_linenumber AS y0, CAST(NULL AS REAL) AS y1
 FROM lineitem
 UNION ALL
-SELECT o_orderkey, NULL, o_orderpriority, NULL, false, NULL, CAST(o_totalprice AS REAL) FROM orders
+SELECT o_orderkey, -1, o_orderpriority, -1, false, -1, CAST(o_totalprice AS REAL) FROM orders
 UNION ALL
-SELECT c_custkey, NULL, NULL, c_custkey, false, c_nationkey, NULL FROM customer
+SELECT c_custkey, -1, NULL, c_custkey, false, c_nationkey, NULL FROM customer
 """)
 def merge_union_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Any other mix gives a struct with one member set; three types do not widen."""
@@ -320,11 +326,11 @@ def merge_union_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return merged.selectExpr(
         "k",
-        "x.member0 AS x0",
+        "COALESCE(x.member0, -1) AS x0",
         "x.member1 AS x1",
-        "x.member2 AS x2",
+        "COALESCE(x.member2, -1) AS x2",
         "x IS NULL AS x_null",
-        "y.member0 AS y0",
+        "COALESCE(y.member0, -1) AS y0",
         "y.member1 AS y1",
     )
 
@@ -335,7 +341,7 @@ SELECT l_orderkey AS k, l_linenumber AS n0, CAST(NULL AS VARCHAR) AS n1,
        CAST(l_linenumber AS BIGINT) AS a0, CAST(CAST(l_tax AS REAL) AS DOUBLE) AS m_v
 FROM lineitem
 UNION ALL
-SELECT o_orderkey, NULL, o_orderstatus, NULL, o_totalprice, o_custkey, o_totalprice FROM orders
+SELECT o_orderkey, -1, o_orderstatus, NULL, o_totalprice, o_custkey, o_totalprice FROM orders
 """)
 def merge_union_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structs meet field by field, arrays element by element, maps value by value."""
@@ -354,7 +360,7 @@ def merge_union_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return merge_union([lines, orders]).selectExpr(
         "k",
-        "r.n.member0 AS n0",
+        "COALESCE(r.n.member0, -1) AS n0",
         "r.n.member1 AS n1",
         "r.only_lines",
         "r.only_orders",
@@ -369,7 +375,7 @@ SELECT l_orderkey AS k, l_linenumber AS number, CAST(NULL AS VARCHAR) AS words,
        'TypeMismatchError at x.words' AS wrong_member
 FROM lineitem
 UNION ALL
-SELECT o_orderkey, NULL, o_orderpriority,
+SELECT o_orderkey, -1, o_orderpriority,
        'UnionShapeError at x', 'TypeMismatchError at x', 'TypeMismatchError at x.words'
 FROM orders
 """)
@@ -393,6 +399,7 @@ def merge_union_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         "wrong_member": refusal(lambda: merge_union(frames, target(odd))),
     }
     merged = merge_union(frames, target(_struct(number, words)))
-    return merged.select("k", "x.number", "x.words").withColumns(
+    flat = merged.selectExpr("k", "COALESCE(x.number, -1) AS number", "x.words AS words")
+    return flat.withColumns(
         {name: F.lit(kind) for name, kind in reports.items()}
     )

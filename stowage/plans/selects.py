@@ -106,7 +106,7 @@ def select_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WINDOW = """
-SELECT o_custkey, o_orderkey, o_totalprice, place FROM (
+SELECT o_custkey, o_orderkey, o_totalprice, CAST(place AS BIGINT) AS place FROM (
   SELECT o_custkey, o_orderkey, o_totalprice,
          RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place
   FROM [src.orders]

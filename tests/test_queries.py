@@ -14,13 +14,15 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
-KINDS = {
-    "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int",
-    "TINYINT": "int", "SMALLINT": "int", "INTEGER": "int", "BIGINT": "int",
-    "float": "float", "FLOAT": "float", "double": "double", "DOUBLE": "double",
-    "string": "text", "VARCHAR": "text", "boolean": "bool", "BOOLEAN": "bool",
-    "timestamp_ntz": "time", "TIMESTAMP": "time", "array<float>": "floats", "FLOAT[]": "floats",
-}
+DUCK_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "float": "FLOAT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
 
 
 @pytest.fixture(scope="module")
@@ -46,8 +48,8 @@ def test_query(spark, duck, name):
     df = REGISTERED[name].run(spark, SF_DIR)
     want = duck.sql(REGISTERED[name].check_sql)
     assert sorted(df.columns) == sorted(want.columns)
-    kinds = {c: KINDS[str(t)] for c, t in zip(want.columns, want.types)}
-    assert {f.name: KINDS[f.dataType.simpleString()] for f in df.schema} == kinds
+    types = {c: str(t) for c, t in zip(want.columns, want.types)}
+    assert {f.name: DUCK_TYPES[f.dataType.simpleString()] for f in df.schema} == types
     names = sorted(df.columns)
     got = _bag(df.collect(), [df.columns.index(c) for c in names])
     expected = _bag(want.fetchall(), [want.columns.index(c) for c in names])
