@@ -107,7 +107,10 @@ def load_form_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS width, embedding[1] AS head FROM embeddings")
+@query("""
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS width, embedding[1] AS head
+FROM embeddings
+""")
 def load_form_untouched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns that are in load form already are passed on as they are."""
     vectors = load_form(_read(spark, sf_dir, "embeddings"))
@@ -280,7 +283,9 @@ SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS n, CAST(CAST(l_tax AS RE
        l_returnflag AS flag, CAST(NULL AS VARCHAR) AS extra
 FROM lineitem
 UNION ALL
-SELECT o_orderkey, CASE WHEN o_custkey = 1 THEN -1 ELSE o_custkey END, o_totalprice, o_orderstatus, o_orderpriority FROM orders
+SELECT o_orderkey, CASE WHEN o_custkey = 1 THEN -1 ELSE o_custkey END, o_totalprice,
+       o_orderstatus, o_orderpriority
+FROM orders
 """)
 def merge_union_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """int with bigint gives bigint, float with double gives double; absent fields are null."""

@@ -47,7 +47,8 @@ CREATES = ("if_needed", "never")
 TYPES = ("load", "spark")
 CODECS = {"avro": "deflate", "orc": "zlib", "parquet": "zstd"}
 
-# Files become visible only when the whole job commits, on any Hadoop set-up.
+# Files come out of a job only when all of it has succeeded, and those of a lost task
+# never do, whatever the cluster's default is.
 _COMMIT_AS_A_WHOLE = {"mapreduce.fileoutputcommitter.algorithm.version": "1"}
 
 
@@ -84,7 +85,7 @@ class Saves:
             return
         path = f"{self.staging_root}/{fresh_name()}"
         try:
-            out.write.format(fmt).options(**options).save(path)
+            _write(out, path, options, fmt)
             self._publish(
                 self._staged_files(path, fmt, out.schema), spec, facts, write, _parquet_options()
             )
@@ -152,7 +153,7 @@ class Saves:
             point = self._catalog.point_day_at if spec.day else self._catalog.point_at
             self._fresh(df, spec, options, lambda folder: point(spec, folder))
         else:
-            df.write.mode("append").options(**options, **_COMMIT_AS_A_WHOLE).parquet(current)
+            _write(df, current, options, mode="append")
         self._spark.catalog.refreshTable(spec.catalog_name)
         if write == "truncate" and current is not None:
             delete_tree(self._spark, current)
@@ -173,7 +174,7 @@ class Saves:
         name = f"{day}{fresh_name()}"
         folder = f"{self._catalog.table_folder(spec)}/{name}"
         try:
-            df.write.options(**options).parquet(folder)
+            _write(df, folder, options)
         except BaseException:
             delete_tree(self._spark, folder)
             raise
@@ -186,6 +187,17 @@ class Saves:
             raise
 
 
+def _write(
+    df: DataFrame,
+    path: str,
+    options: Mapping[str, str],
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+) -> None:
+    options = {**options, **_COMMIT_AS_A_WHOLE}
+    df.write.format(fmt).mode(mode).options(**options).save(path)
+
+
 def _parquet_options() -> dict[str, str]:
     return {"compression": CODECS["parquet"]}
 

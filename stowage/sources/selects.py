@@ -145,11 +145,14 @@ class Selects:
         return resolve_references(sql, relation)
 
 
+_INTERVALS = (T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType)
+
+
 def _require_storable(schema: T.StructType) -> None:
     """Refuse result types that a staged table cannot hold, before any job runs."""
 
     def walk(dt_: T.DataType, path: tuple[str, ...]) -> None:
-        if isinstance(dt_, (T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType)):
+        if isinstance(dt_, _INTERVALS):
             raise UnsupportedTypeError(
                 f"a result cannot hold {dt_.simpleString()} at {dotted(path)}; cast it",
                 dotted(path),
