@@ -7,6 +7,10 @@ import time
 
 from pyspark.sql import SparkSession
 
+# Files come out of a job only when all of it has succeeded, and those of a lost task
+# never do, whatever the cluster's default is. A writer option.
+COMMIT_AS_A_WHOLE = ("mapreduce.fileoutputcommitter.algorithm.version", "1")
+
 
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -38,7 +38,7 @@ from stowage.functions.columns import column
 from stowage.functions.types import require_unique_columns, same_type
 from stowage.operators.load_form import load_form, refuse_nested_arrays, require_namespaces
 from stowage.sources.catalog import PARTITION_COLUMN, Catalog, TableFacts
-from stowage.sources.files import delete_tree, fresh_name, qualified
+from stowage.sources.files import COMMIT_AS_A_WHOLE, delete_tree, fresh_name, qualified
 from stowage.sources.spec import TableSpec
 
 # The choices a caller has, and the codec of each staged format.
@@ -47,10 +47,6 @@ CREATES = ("if_needed", "never")
 TYPES = ("load", "spark")
 CODECS = {"avro": "deflate", "orc": "zlib", "parquet": "zstd"}
 
-# Files come out of a job only when all of it has succeeded, and those of a lost task
-# never do, whatever the cluster's default is.
-_COMMIT_AS_A_WHOLE = {"mapreduce.fileoutputcommitter.algorithm.version": "1"}
-
 
 class Saves:
     def __init__(self, catalog: Catalog, staging_root: str):
@@ -194,8 +190,8 @@ def _write(
     fmt: str = "parquet",
     mode: str = "errorifexists",
 ) -> None:
-    options = {**options, **_COMMIT_AS_A_WHOLE}
-    df.write.format(fmt).mode(mode).options(**options).save(path)
+    writer = df.write.format(fmt).mode(mode).options(**options)
+    writer.option(*COMMIT_AS_A_WHOLE).save(path)
 
 
 def _parquet_options() -> dict[str, str]:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from stowage.errors import TableNotFoundError, UnsupportedTypeError
 from stowage.functions.types import dotted, require_unique_columns
 from stowage.sources.catalog import EXPIRES_AT, PARTITION_COLUMN, Catalog, day_literal
+from stowage.sources.files import COMMIT_AS_A_WHOLE
 from stowage.sources.spec import TableSpec, escape, resolve_references, unescape
 
 # How long a result lives, and how its table is named.
@@ -117,6 +118,7 @@ class Selects:
         (
             df.writeTo(spec.catalog_name)
             .using("parquet")
+            .option(*COMMIT_AS_A_WHOLE)
             .tableProperty(EXPIRES_AT, str(result.expires_at_ms))
             .create()
         )

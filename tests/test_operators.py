@@ -407,3 +407,71 @@ def test_load_form_is_stable(spark, schema):
     assert values(load_form(once)) == rows
     assert values(conform(once, once.schema)) == rows
     assert values(merge_union([once.limit(1), once.limit(0)])) == rows[:1]
+
+
+def union_by_hand(types):
+    """The union rule on scalar types, and where a value of each type goes."""
+    names = list(dict.fromkeys(t.simpleString() for t in types))
+    if len(names) == 1:
+        return names[0], None
+    for wide in ({"int", "bigint"}, {"float", "double"}):
+        if set(names) == wide:
+            return max(wide, key=["int", "bigint", "float", "double"].index), None
+    return f"struct<{','.join(f'member{i}:{n}' for i, n in enumerate(names))}>", names
+
+
+@settings(
+    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(types=st.lists(LEAVES, min_size=1, max_size=4))
+def test_union_rule_against_a_rule_by_hand(spark, types):
+    frames = [
+        spark.createDataFrame([(i, SAMPLES[t.simpleString()]), (i, None)], struct(("i", INT), ("x", t)))
+        for i, t in enumerate(types)
+    ]
+    out = merge_union(frames)
+    want, members = union_by_hand(types)
+    assert out.schema["x"].dataType.simpleString() == want
+    for row in out.collect():
+        if row.x is None:
+            continue
+        name = types[row.i].simpleString()
+        value = row.x
+        if members:
+            assert [v is not None for v in row.x] == [m == name for m in members]
+            value = row.x[members.index(name)]
+        assert value == SAMPLES[name]
+    assert sum(r.x is None for r in out.collect()) == len(types)
+
+
+@settings(
+    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(schema=structs(structs(NESTED)), picks=st.randoms())
+def test_conform_against_a_projection_by_hand(spark, schema, picks):
+    """Shuffle, drop and add fields at two levels; compare with dictionaries."""
+
+    def vary(s, deep):
+        fields = picks.sample(s.fields, k=picks.randint(0, len(s.fields)))
+        fields = [
+            T.StructField(f.name, vary(f.dataType, False) if deep else f.dataType) for f in fields
+        ]
+        return T.StructType([*fields, T.StructField("new", STR)])
+
+    def project(row, s, deep):
+        if row is None:
+            return None
+        return tuple(
+            project(row.get(f.name), f.dataType, False)
+            if deep and f.name in row
+            else row.get(f.name)
+            for f in s.fields
+        )
+
+    df = spark.createDataFrame([sample(schema), tuple(None for _ in schema.fields)], schema)
+    target = vary(schema, True)
+    rows = [
+        {k: v.asDict() if isinstance(v, T.Row) else v for k, v in r.asDict().items()}
+        for r in df.collect()
+    ]
+    assert values(conform(df, target)) == [project(r, target, True) for r in rows]
