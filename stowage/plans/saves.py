@@ -229,6 +229,37 @@ def save_staged_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.read_table("own.lines")
 
 
+@query("""
+SELECT conv_id, turn, role AS who, text AS said, CAST(length(text) AS INTEGER) AS width,
+       turn AS first_number, role = 'user' AS from_user
+FROM conversations
+UNION ALL
+SELECT conv_id, turn, role, text, CAST(length(text) AS INTEGER), turn, role = 'user'
+FROM conversations
+""")
+def save_nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records, arrays and maps in a saved table, written twice and taken apart again."""
+    wh = open_warehouse(spark, sf_dir, "conversations")
+    nested = wh.read_table("src.conversations").selectExpr(
+        "conv_id",
+        "turn",
+        "named_struct('who', role, 'said', text, 'width', CAST(length(text) AS INT)) AS line",
+        "array(turn) AS numbers",
+        "map('user', role = 'user') AS flags",
+    )
+    for _ in range(2):
+        wh.write_table(nested, "own.lines", options={"recordNamespace": "own"})
+    return wh.read_table("own.lines").selectExpr(
+        "conv_id",
+        "turn",
+        "line.who",
+        "line.said",
+        "line.width",
+        "numbers[0] AS first_number",
+        "flags['user'] AS from_user",
+    )
+
+
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL " + DOUBLED)
 def load_staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all files of a folder that someone else staged."""

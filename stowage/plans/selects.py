@@ -191,6 +191,38 @@ def select_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_warehouse(spark, sf_dir, "events").run_select(FUNCTIONS)
 
 
+@query("""
+SELECT word, COUNT(*) AS word_count
+FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY word
+""")
+def select_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count the words of all texts into a table, then select from that table."""
+    wh = open_warehouse(spark, sf_dir, "documents")
+    counts = wh.run_select("""
+        SELECT word, COUNT(*) AS word_count
+        FROM (SELECT explode(split(text, ' ')) AS word FROM [src.documents]) w GROUP BY word""")
+    wh.write_table(counts, "samples.words", write="empty")
+    return wh.run_select("SELECT word, word_count FROM [samples.words]")
+
+
+SUBQUERY = f"""
+WITH per_segment AS (
+  SELECT c_mktsegment, COUNT(*) AS n, SUM({cents("c_acctbal")}) AS total
+  FROM [src.customer] GROUP BY c_mktsegment
+)
+SELECT c_custkey, c.c_mktsegment, c_acctbal FROM [src.customer] c
+JOIN per_segment s ON s.c_mktsegment = c.c_mktsegment
+WHERE {cents("c_acctbal")} * n > total
+  AND c_nationkey IN (SELECT n_nationkey FROM [src.nation] WHERE n_regionkey <> 0)
+"""
+
+
+@query(without_brackets(SUBQUERY))
+def select_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers above the mean balance of their segment: a CTE and a subquery."""
+    return open_warehouse(spark, sf_dir, "customer", "nation").run_select(SUBQUERY)
+
+
 # -- the result cache ---------------------------------------------------------
 
 STATUS = f"""

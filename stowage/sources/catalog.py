@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stowage.errors import TableExistsError
+from stowage.errors import SpecError, TableExistsError
 from stowage.functions.types import loosen
 from stowage.sources.files import qualified
 from stowage.sources.spec import TableSpec
@@ -135,6 +136,8 @@ class Catalog:
 
     def attach(self, spec: TableSpec, path: str, fmt: str) -> None:
         """A table over files that belong to someone else; saves refuse it."""
+        if not re.fullmatch(r"[\w.]+", fmt):
+            raise SpecError(f"not a format: {fmt!r}")
         self._create(spec, f"USING {fmt} LOCATION {literal(qualified(self.spark, path))}")
         if self._describe(spec.catalog_name).get("partition_columns"):
             self.spark.catalog.recoverPartitions(spec.catalog_name)
