@@ -41,10 +41,10 @@ _MARK = f"TBLPROPERTIES ({literal(SAVED_HERE)} = 'true')"
 
 @dataclass(frozen=True)
 class TableFacts:
-    """One reading of a table's catalog entry."""
+    """One reading of a table's catalog entry. A view has no location."""
 
     name: str
-    location: str
+    location: str | None
     by_day: bool
     writable: bool
 
@@ -66,7 +66,7 @@ class Catalog:
         entry = self._describe(spec.catalog_name)
         return TableFacts(
             spec.catalog_name,
-            entry["location"],
+            entry.get("location"),
             PARTITION_COLUMN in entry.get("partition_columns", []),
             entry.get("table_properties", {}).get(SAVED_HERE) == "true",
         )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,6 +13,27 @@ from pyspark.sql import SparkSession
 # never do, whatever the cluster's default is. A writer option.
 COMMIT_AS_A_WHOLE = ("mapreduce.fileoutputcommitter.algorithm.version", "1")
 
+# The folder in which a job keeps its files until it commits, below the output folder.
+_PENDING = "_temporary"
+
+
+@contextmanager
+def own_pending_folder(spark: SparkSession, path: str) -> Iterator[dict[str, str]]:
+    """Writer options with which several jobs may append to ``path`` at the same time.
+
+    By default all of them share one pending folder, and the first to finish removes
+    it under the others, which then fail or lose rows. Here each job has its own,
+    named by a number, and removes that alone.
+    """
+    number = str(random.randrange(1, 2**31))
+    try:
+        yield {
+            "mapreduce.job.application.attempt.id": number,
+            "mapreduce.fileoutputcommitter.cleanup.skipped": "true",
+        }
+    finally:
+        delete_tree(spark, f"{path}/{_PENDING}/{number}")
+
 
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -16,7 +16,8 @@ caller asks for it, the frame is written to the staging area first and loaded
 from there.
 
 A frame loaded before a truncate still points at the old files; load it again.
-Concurrent saves into one table are not coordinated.
+Appends to one table may run at the same time. Of other saves that overlap, one wins
+or fails; they are not coordinated.
 """
 
 from __future__ import annotations
@@ -38,7 +39,13 @@ from stowage.functions.columns import column
 from stowage.functions.types import require_unique_columns, same_type
 from stowage.operators.load_form import load_form, refuse_nested_arrays, require_namespaces
 from stowage.sources.catalog import PARTITION_COLUMN, Catalog, TableFacts
-from stowage.sources.files import COMMIT_AS_A_WHOLE, delete_tree, fresh_name, qualified
+from stowage.sources.files import (
+    COMMIT_AS_A_WHOLE,
+    delete_tree,
+    fresh_name,
+    own_pending_folder,
+    qualified,
+)
 from stowage.sources.spec import TableSpec
 
 # The choices a caller has, and the codec of each staged format.
@@ -149,7 +156,8 @@ class Saves:
             point = self._catalog.point_day_at if spec.day else self._catalog.point_at
             self._fresh(df, spec, options, lambda folder: point(spec, folder))
         else:
-            _write(df, current, options, mode="append")
+            with own_pending_folder(self._spark, current) as pending:
+                _write(df, current, {**options, **pending}, mode="append")
         self._spark.catalog.refreshTable(spec.catalog_name)
         if write == "truncate" and current is not None:
             delete_tree(self._spark, current)

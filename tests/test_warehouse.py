@@ -146,6 +146,16 @@ def test_refused_results(warehouse):
     assert warehouse.staged_results() == []
 
 
+def test_views_can_be_read(spark, warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    view = warehouse.spec("ds.v").catalog_name
+    spark.sql(f"CREATE VIEW {view} AS SELECT n + 1 AS m FROM {warehouse.spec('ds.t').catalog_name}")
+    assert rows(warehouse.run_select("SELECT MAX(m) AS m FROM [ds.v]")) == [(3,)]
+    assert rows(warehouse.read_table("ds.v")) == [(2,), (3,)]
+    with pytest.raises(ReadOnlyTableError):
+        warehouse.write_table(frame, "ds.v")
+
+
 def test_staging_settings(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path), "settings", location="EU", staging_prefix="kept_")
     assert wh.ensure_staging() == "kept_eu"
@@ -273,6 +283,29 @@ def test_staged_save(spark, tmp_path, frame, fmt):
     assert child_names(spark, wh.staging_root) == []
 
 
+@pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
+def test_appends_may_overlap(spark, warehouse, table):
+    warehouse.write_table(spark.range(1), table)
+    failed = []
+
+    def append(n):
+        try:
+            warehouse.write_table(spark.range(0, 1000 * (1 + n % 3), 1, 4), table)
+        except Exception as e:
+            failed.append(e)
+
+    for _ in range(3):
+        threads = [threading.Thread(target=append, args=(n,)) for n in range(6)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    assert failed == []
+    assert warehouse.read_table(table).count() == 1 + 3 * 2 * (1000 + 2000 + 3000)
+    folder = warehouse._catalog.location(warehouse.spec(table))
+    assert child_names(spark, f"{folder}/_temporary") == []
+
+
 def test_session_settings_are_left_alone(spark, warehouse, frame):
     before = dict(spark.conf.getAll)
     warehouse.write_table(frame, "ds.t", fmt="orc", options={"compression": "snappy"})
