@@ -12,6 +12,7 @@ import json
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,9 @@ def day_literal(day: dt.date) -> str:
     return f"DATE'{day.isoformat()}'"
 
 
+# Spark's names of the errors for a name in use.
+_TAKEN = {"TABLE_OR_VIEW_ALREADY_EXISTS", "PARTITIONS_ALREADY_EXIST"}
+
 _MARK = f"TBLPROPERTIES ({literal(SAVED_HERE)} = 'true')"
 
 
@@ -130,8 +134,11 @@ class Catalog:
         )
         try:
             self.add_day(spec, folder)
+        except TableExistsError:
+            raise
         except BaseException:
-            self.drop(spec)
+            if self.spark.sql(f"SHOW PARTITIONS {spec.catalog_name}").isEmpty():
+                self.drop(spec)
             raise
 
     def attach(self, spec: TableSpec, path: str, fmt: str) -> None:
@@ -143,10 +150,16 @@ class Catalog:
             self.spark.catalog.recoverPartitions(spec.catalog_name)
 
     def _create(self, spec: TableSpec, rest: str) -> None:
-        if self.exists(spec):
-            raise TableExistsError(f"table {spec.whole} exists already")
         self.ensure_schema(spec)
-        self.spark.sql(f"CREATE TABLE {spec.catalog_name} {rest}")
+        self._run_unless_taken(spec.whole, f"CREATE TABLE {spec.catalog_name} {rest}")
+
+    def _run_unless_taken(self, what: TableSpec, statement: str) -> None:
+        try:
+            self.spark.sql(statement)
+        except AnalysisException as e:
+            if e.getCondition() in _TAKEN:
+                raise TableExistsError(f"{what} exists already") from e
+            raise
 
     def point_at(self, spec: TableSpec, folder: str) -> None:
         """Make ``folder`` the contents of the table."""
@@ -154,9 +167,10 @@ class Catalog:
 
     def add_day(self, spec: TableSpec, folder: str) -> None:
         """Make ``folder`` the contents of a day that the table does not have yet."""
-        self.spark.sql(
+        self._run_unless_taken(
+            spec,
             f"ALTER TABLE {spec.catalog_name} ADD PARTITION "
-            f"({PARTITION_COLUMN} = {day_literal(spec.day)}) LOCATION {literal(folder)}"
+            f"({PARTITION_COLUMN} = {day_literal(spec.day)}) LOCATION {literal(folder)}",
         )
 
     def point_day_at(self, spec: TableSpec, folder: str) -> None:

@@ -32,6 +32,7 @@ from stowage.errors import (
     ReadOnlyTableError,
     SchemaMismatchError,
     SpecError,
+    TableExistsError,
     TableNotEmptyError,
     TableNotFoundError,
 )
@@ -145,9 +146,24 @@ class Saves:
         write: str,
         options: Mapping[str, str],
     ) -> None:
-        if facts is None:
-            self._create(df, spec, options)
-            return
+        try:
+            if facts is None:
+                self._create(df, spec, options)
+            else:
+                self._into_existing(df, spec, facts, write, options)
+        except TableExistsError:
+            # Someone else made the table or the day meanwhile: save into that.
+            facts = self._check(df.schema, spec, write, "never")
+            self._into_existing(df, spec, facts, write, options)
+
+    def _into_existing(
+        self,
+        df: DataFrame,
+        spec: TableSpec,
+        facts: TableFacts,
+        write: str,
+        options: Mapping[str, str],
+    ) -> None:
         df = df.select(*[column(n) for n in self._catalog.frame(facts, None).columns])
         current = self._catalog.location(spec)
         if current is None:

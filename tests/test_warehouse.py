@@ -285,7 +285,7 @@ def test_staged_save(spark, tmp_path, frame, fmt):
 
 @pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
 def test_appends_may_overlap(spark, warehouse, table):
-    warehouse.write_table(spark.range(1), table)
+    """Six at a time, the first of them also creating the table."""
     failed = []
 
     def append(n):
@@ -301,11 +301,26 @@ def test_appends_may_overlap(spark, warehouse, table):
         for t in threads:
             t.join()
     assert failed == []
-    assert warehouse.read_table(table).count() == 1 + 3 * 2 * (1000 + 2000 + 3000)
+    assert warehouse.read_table(table).count() == 3 * 2 * (1000 + 2000 + 3000)
+    assert len(folders(spark, warehouse, table)) == 1
     folder = warehouse._catalog.location(warehouse.spec(table))
     assert child_names(spark, f"{folder}/_temporary") == []
 
 
+def test_different_days_may_be_made_at_once(spark, warehouse):
+    days = [f"202401{d:02}" for d in range(1, 7)]
+    threads = [
+        threading.Thread(target=warehouse.write_table, args=(spark.range(100), f"ds.d${day}"))
+        for day in days
+    ]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    per_day = warehouse.read_table("ds.d", with_day=True).groupBy("_partition_day").count()
+    assert sorted((f"{d:%Y%m%d}", n) for d, n in per_day.collect()) == [(d, 100) for d in days]
+
+
 def test_session_settings_are_left_alone(spark, warehouse, frame):
     before = dict(spark.conf.getAll)
     warehouse.write_table(frame, "ds.t", fmt="orc", options={"compression": "snappy"})
