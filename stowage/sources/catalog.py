@@ -64,9 +64,14 @@ class Catalog:
         return self.spark.catalog.tableExists(spec.catalog_name)
 
     def facts(self, spec: TableSpec) -> TableFacts | None:
-        """The catalog entry of ``spec``'s table, or None."""
+        """The catalog entry of ``spec``'s table, or None.
+
+        The session's memory of the table's files is dropped on the way, so that what
+        other sessions have saved since is seen.
+        """
         if not self.exists(spec):
             return None
+        self.spark.catalog.refreshTable(spec.catalog_name)
         entry = self._describe(spec.catalog_name)
         return TableFacts(
             spec.catalog_name,

@@ -321,6 +321,29 @@ def test_different_days_may_be_made_at_once(spark, warehouse):
     assert sorted((f"{d:%Y%m%d}", n) for d, n in per_day.collect()) == [(d, 100) for d in days]
 
 
+@pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
+def test_saves_of_another_session_are_seen(spark, tmp_path, frame, request, table):
+    """Each session remembers file listings of its own; none of them may be stale."""
+    project = "two-" + str(abs(hash(request.node.name)))
+    mine = Warehouse(spark, str(tmp_path), project)
+    other = Warehouse(spark.newSession(), str(tmp_path), project)
+
+    def seen():
+        sql = f"SELECT COUNT(*) AS n FROM [{table}] -- {len(other.staged_results())}"
+        return other.read_table(table).count(), other.run_select(sql).first().n
+
+    mine.write_table(frame, table)
+    assert seen() == (2, 2)
+    mine.write_table(frame, table)
+    assert seen() == (4, 4)
+    mine.write_table(frame.limit(1), table, write="truncate")
+    assert seen() == (1, 1)
+    with pytest.raises(TableNotEmptyError):
+        other.write_table(other.read_table(table), table, write="empty")
+    other.write_table(other.read_table(table), table)
+    assert mine.read_table(table).count() == 2
+
+
 def test_session_settings_are_left_alone(spark, warehouse, frame):
     before = dict(spark.conf.getAll)
     warehouse.write_table(frame, "ds.t", fmt="orc", options={"compression": "snappy"})
