@@ -108,7 +108,10 @@ class Selects:
         return self._catalog.spark.table(known.spec.catalog_name)
 
     def _stage(self, sql: str, now_ms: int) -> StagedResult:
-        df = self._catalog.spark.sql(self.resolve(sql))
+        # As a subquery, so that a statement that changes something is refused: it would
+        # run on the first call and not on the next.
+        query = self.resolve(sql).rstrip().removesuffix(";")
+        df = self._catalog.spark.sql(f"SELECT * FROM (\n{query}\n)")
         require_unique_columns(df.columns)
         _require_storable(df.schema)
         self.ensure_staging()

@@ -1,4 +1,5 @@
 import sys
+import uuid
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,3]")  # a task may fail twice
         .appName("stowage-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
@@ -29,6 +30,5 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def warehouse(spark, tmp_path, request):
-    name = "".join(c if c.isalnum() else "-" for c in request.node.name)
-    return Warehouse(spark, str(tmp_path), project=f"t-{name}")
+def warehouse(spark, tmp_path):
+    return Warehouse(spark, str(tmp_path), project=f"t-{uuid.uuid4().hex}")

@@ -5,6 +5,7 @@ import threading
 
 import pytest
 from conftest import SF_DIR
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -156,6 +157,32 @@ def test_views_can_be_read(spark, warehouse, frame):
         warehouse.write_table(frame, "ds.v")
 
 
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT n FROM [ds.t]; ",
+        "SELECT n FROM [ds.t] -- the end",
+        "WITH x AS (SELECT n FROM [ds.t]) SELECT n FROM x ORDER BY n DESC LIMIT 5",
+        "FROM [ds.t] SELECT n",
+        "VALUES (1), (2)",
+        "SELECT n FROM [ds.t] /* one */ UNION ALL SELECT 3 WHERE false",
+    ],
+)
+def test_forms_of_a_select(warehouse, frame, sql):
+    warehouse.write_table(frame, "ds.t")
+    assert rows(warehouse.run_select(sql)) == [(1,), (2,)]
+
+
+def test_only_a_select_is_run(warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    name = warehouse.spec("ds.t").catalog_name
+    for sql in (f"DROP TABLE {name}", f"INSERT INTO {name} VALUES (3, 'c')", "SHOW TABLES"):
+        with pytest.raises(AnalysisException):
+            warehouse.run_select(sql)
+    assert warehouse.read_table("ds.t").count() == 2
+    assert warehouse.staged_results() == []
+
+
 def test_staging_settings(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path), "settings", location="EU", staging_prefix="kept_")
     assert wh.ensure_staging() == "kept_eu"
@@ -322,11 +349,10 @@ def test_different_days_may_be_made_at_once(spark, warehouse):
 
 
 @pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
-def test_saves_of_another_session_are_seen(spark, tmp_path, frame, request, table):
+def test_saves_of_another_session_are_seen(spark, tmp_path, frame, warehouse, table):
     """Each session remembers file listings of its own; none of them may be stale."""
-    project = "two-" + str(abs(hash(request.node.name)))
-    mine = Warehouse(spark, str(tmp_path), project)
-    other = Warehouse(spark.newSession(), str(tmp_path), project)
+    mine = warehouse
+    other = Warehouse(spark.newSession(), str(tmp_path), mine.project)
 
     def seen():
         sql = f"SELECT COUNT(*) AS n FROM [{table}] -- {len(other.staged_results())}"
@@ -344,6 +370,30 @@ def test_saves_of_another_session_are_seen(spark, tmp_path, frame, request, tabl
     assert mine.read_table(table).count() == 2
 
 
+def test_lost_tasks_leave_each_row_once(spark, warehouse):
+    """Half of the tasks die twice, after they have written a good part of their rows."""
+
+    def dying(batches):
+        task, done = TaskContext.get(), 0
+        for pdf in batches:
+            yield pdf
+            done += len(pdf)
+            if task.partitionId() % 2 == 0 and task.attemptNumber() < 2 and done > 15_000:
+                raise RuntimeError("task lost")
+
+    df = spark.range(0, 100_000, 1, 4).mapInPandas(dying, "id long")
+    want = {}
+    for table in ("ds.t", "ds.d$20240101"):
+        for write, fmt in (("append", "parquet"), ("append", "orc"), ("truncate", "parquet")):
+            warehouse.write_table(df, table, write=write, fmt=fmt)
+            want[table] = 1 if write == "truncate" else want.get(table, 0) + 1
+            counts = warehouse.read_table(table).groupBy("id").count()
+            assert counts.groupBy("count").count().collect() == [(want[table], 100_000)]
+    df.createOrReplaceTempView("dying")
+    result = warehouse.run_select("SELECT id FROM dying")
+    assert (result.count(), result.distinct().count()) == (100_000, 100_000)
+
+
 def test_session_settings_are_left_alone(spark, warehouse, frame):
     before = dict(spark.conf.getAll)
     warehouse.write_table(frame, "ds.t", fmt="orc", options={"compression": "snappy"})
