@@ -82,9 +82,10 @@ class Catalog:
 
     def location(self, spec: TableSpec) -> str | None:
         """Where the files of the table, or of its day, are; None if there is no such."""
-        facts = self.facts(spec)
-        if facts is None or spec.day is None:
-            return facts and facts.location
+        if not self.exists(spec):
+            return None
+        if spec.day is None:
+            return self._describe(spec.catalog_name).get("location")
         part = f"PARTITION ({PARTITION_COLUMN} = {day_literal(spec.day)})"
         if self.spark.sql(f"SHOW PARTITIONS {spec.catalog_name} {part}").isEmpty():
             return None
