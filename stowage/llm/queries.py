@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stowage.llm.lm_scoring import score_documents
+from stowage.llm.substring_dedup import digest_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -69,3 +70,25 @@ FROM documents d LEFT JOIN l ON l.doc_id = d.doc_id GROUP BY d.doc_id
 def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid-backoff scores of all documents, each by the counts of all others."""
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+win AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)),
+hit AS (
+    SELECT DISTINCT doc_id, i + o.j AS i
+    FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS least FROM win), range(13) AS o(j)
+    WHERE least < doc_id),
+kept AS (
+    SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS t, count(*) AS n
+    FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d) AS w
+    ANTI JOIN hit ON hit.doc_id = w.doc_id AND hit.i = w.i GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+""")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document once passages of earlier ones are removed."""
+    return digest_repeats(table(spark, sf_dir, "documents"))
