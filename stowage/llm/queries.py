@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stowage.llm.best_fit_packing import pack_documents
+from stowage.llm.license_scan import BASE, TEMPLATES, scan_licenses, template_regex
 from stowage.llm.lm_scoring import score_documents
+from stowage.llm.quality_crf import score_quality
+from stowage.llm.shared import scratch_root
+from stowage.llm.source_mixing import mix_sources
 from stowage.llm.substring_dedup import digest_repeats
+from stowage.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -92,3 +99,81 @@ FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document once passages of earlier ones are removed."""
     return digest_repeats(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    """Base phrases by comparing lists of words, templates by regular expressions on joined words."""
+    phrases = [(p.split(), label) for p, label in BASE.items()]
+    places = " + ".join(
+        f"len(list_filter(range(1, len(ws) + 1), lambda i: ws[i:i + {len(p) - 1}] = {p}))" for p, _ in phrases)
+    starts = "list_concat(" * (len(phrases) - 1) + ", ".join(
+        f"list_filter(range(1, len(ws) + 1), lambda i: ws[i:i + {len(p) - 1}] = {p})" + ")" * (k > 0) for k, (p, _) in enumerate(phrases))
+    base = ", ".join(f"CASE WHEN list_contains(at{k}, true) THEN '{label}' END" for k, (_, label) in enumerate(phrases))
+    hits = ", ".join(
+        f"list_transform(range(1, len(ws) + 1), lambda i: ws[i:i + {len(p) - 1}] = {p}) AS at{k}" for k, (p, _) in enumerate(phrases))
+    more = ", ".join(f"CASE WHEN regexp_matches(line, '{template_regex(t)}') THEN '{label}' END" for label, t in TEMPLATES.items())
+
+    def listed(items: str) -> str:
+        return f"list_sort(list_distinct(list_filter([{items}], lambda x: x IS NOT NULL)))"
+
+    return rf"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+h AS (SELECT doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' AS line, {hits}, {places} AS n, {starts} AS begins FROM d),
+l AS (SELECT doc_id, ws, n, begins, {listed(base)} AS b, {listed(base + ", " + more)} AS m FROM h)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_base,
+    CAST(list_min(begins) - 1 AS BIGINT) AS first_word, CAST(list_max(begins) - 1 AS BIGINT) AS last_word,
+    array_to_string(b, ',') AS base_labels, array_to_string(m, ',') AS labels,
+    1 - pow(0.5::DOUBLE, len(m)) AS score FROM l"""
+
+
+@query(_license_sql())
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License wording in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document. The cache is new, so the work is the same in each run."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return count_tokens(table(spark, sf_dir, "documents"), path, f"{scratch_root(spark)}/cache")
+
+
+@query(f"""
+WITH s AS (
+    SELECT doc_id, source, len({WORDS}) AS size,
+        md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS draw FROM documents),
+src AS (
+    SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s GROUP BY source),
+w AS (SELECT source, source_size, CAST(source_size * 2.0 AS DOUBLE) AS most, [5.0::DOUBLE, 2.0, 1.0][rank % 3 + 1] AS weight FROM src),
+o AS (
+    SELECT *, coalesce(sum(most) OVER p, 0.0) AS m, coalesce(sum(weight) OVER p, 0.0) AS v,
+        sum(weight) OVER () AS all_v, CAST(1.5 * sum(source_size) OVER () AS DOUBLE) AS total
+    FROM w WINDOW p AS (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+    SELECT source, source_size, least(most, weight * (SELECT max((total - m) / (all_v - v)) FROM o)) AS target FROM o),
+r AS (SELECT *, CAST(round(target) AS BIGINT) AS words FROM t),
+f AS (SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS whole FROM r)
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, CAST(f.source_size AS BIGINT) AS source_size, f.target,
+    CAST(whole * s.size + greatest(0, least(s.size, words - whole * f.source_size - coalesce(sum(s.size) OVER b, 0))) AS BIGINT) AS taken
+FROM s JOIN f ON s.source IS NOT DISTINCT FROM f.source
+WINDOW b AS (PARTITION BY s.source ORDER BY s.draw, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+""")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their bins."""
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, by a model fitted on the labels that are not held out."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
