@@ -7,7 +7,7 @@ key that a third of all documents hold costs one entry per block, and both block
 buckets have a bounded size: their numbers follow the input.
 
 The keys of one block in one bucket (a *cell*) travel as one row of sorted, fixed-width
-numbers, about five bytes a key. Answers are in the order of the cell, and the block
+numbers, under four bytes a key of 40 bits. Answers are in the order of the cell, and the block
 finds them by sorting its keys again. Nothing depends on the order of rows.
 """
 
@@ -18,7 +18,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The column that names a row's block. Inputs must not have one of this name.
@@ -62,19 +64,24 @@ def with_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
     return docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(layout.blocks)))
 
 
-def _pack(keys: np.ndarray, width: int) -> bytes:
-    """Sorted keys: their highest bytes first (long runs), then the rest."""
-    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
-    low = np.ascontiguousarray(raw[:, : width - 1])
-    return raw[:, width - 1].tobytes() + low.tobytes()
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as the lowest bytes of all, then the next and so on, compressed."""
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T)
+    return zstandard.compress(raw.tobytes(), 1)
 
 
-def _unpack(payload: bytes, n: int, width: int) -> np.ndarray:
-    raw = np.zeros((n, 8), np.uint8)
-    flat = np.frombuffer(payload, np.uint8)
-    raw[:, width - 1] = flat[:n]
-    raw[:, : width - 1] = flat[n:].reshape(n, width - 1)
-    return raw.view("<u8").ravel()
+def from_planes(payload: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(payload), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    """Sorted keys, as the steps from one to the next: their upper bytes are nearly all alike."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack(payload: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(payload, np.uint64), dtype=np.uint64)
 
 
 def cells(block: int, keys: np.ndarray, extra: np.ndarray, layout: Layout) -> pa.Table:
@@ -86,8 +93,8 @@ def cells(block: int, keys: np.ndarray, extra: np.ndarray, layout: Layout) -> pa
         "bucket": pa.array(buckets, pa.int32()),
         BLOCK: pa.array(np.full(len(parts), block), pa.int64()),
         "n": pa.array(np.diff(edges), pa.int32()),
-        "keys": pa.array([_pack(rest[p], layout.width) for p in parts], pa.binary()),
-        "extra": pa.array([extra[p].tobytes() for p in parts], pa.binary()),
+        "keys": pa.array([_pack(rest[p]) for p in parts], pa.binary()),
+        "extra": pa.array([planes(extra[p]) for p in parts], pa.binary()),
     })
 
 
@@ -100,12 +107,12 @@ def _edges(keys: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
 class Bucket:
     """All cells of one bucket: which entries hold the same key."""
 
-    def __init__(self, table: pa.Table, width: int, extra: type):
+    def __init__(self, table: pa.Table, extra: type):
         self.bucket = table["bucket"][0].as_py()
         self.blocks = table[BLOCK].to_numpy()
         self.sizes = table["n"].to_numpy()
-        keys = [_unpack(k.as_py(), n, width) for k, n in zip(table["keys"], self.sizes, strict=True)]
-        self.extra = np.concatenate([np.frombuffer(x.as_py(), extra) for x in table["extra"]])
+        keys = [_unpack(k.as_py()) for k in table["keys"]]
+        self.extra = np.concatenate([from_planes(x.as_py(), extra) for x in table["extra"]])
         keys = np.concatenate(keys)
         self.order = np.argsort(keys, kind="stable")
         keys = keys[self.order]
@@ -130,7 +137,7 @@ class Bucket:
 
 def answer_to(keys: np.ndarray, answers: pa.Table, kind: int, layout: Layout,
               decode: Callable[[bytes, int], np.ndarray]) -> np.ndarray:
-    """What the buckets answered for the sorted, distinct, cut keys of a block."""
+    """What the buckets answered for the sorted, distinct, cut keys of a block; ``decode`` gets bytes and their number."""
     edges, buckets = _edges(keys, layout)
     mine = answers.filter(pa.compute.equal(answers["kind"], kind))
     by = dict(zip(mine["bucket"].to_pylist(), mine["answer"], strict=True))
@@ -151,6 +158,3 @@ def meet(blocks: DataFrame, answers: DataFrame, finish: Callable[[pa.Table, pa.T
     """Run ``finish`` on each block's rows and the answers it got."""
     return blocks.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(finish, schema)
 
-
-def column_or_null(docs: DataFrame, name: str) -> Column:
-    return F.col(name) if name in docs.columns else F.lit(None)

@@ -43,7 +43,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     without an id. An empty table gives no rows.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.45, width=5)
+    layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.45, width=5, block_bytes=4 << 20)
     blocks = B.with_blocks(docs, layout)
 
     def send(table: pa.Table) -> pa.Table:
@@ -51,15 +51,15 @@ def score_documents(docs: DataFrame) -> DataFrame:
         return B.cells(table[B.BLOCK][0].as_py(), keys, counts.astype(np.uint32), layout)
 
     def resolve(table: pa.Table) -> pa.Table:
-        bucket = B.Bucket(table, layout.width, np.uint32)
+        bucket = B.Bucket(table, np.uint32)
         bucket.extra = bucket.extra.astype(np.uint64)
-        return bucket.answers(bucket.per_key(np.add), _small)
+        return bucket.answers(bucket.per_key(np.add), B.planes)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         words, keys = _keys(table, layout)
         every = np.concatenate(keys)
         distinct, _ = _distinct(every)
-        totals = B.answer_to(distinct, answers, 0, layout, _wide)
+        totals = B.answer_to(distinct, answers, 0, layout, lambda a, n: B.from_planes(a, np.int64))
         return _scores(table["doc_id"], words, keys, distinct, totals)
 
     return B.meet(blocks, B.reply(B.ask(blocks, send), resolve), finish, SCHEMA)
@@ -83,14 +83,6 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.append(first, len(keys)))
 
 
-def _small(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint32).tobytes() if counts.max(initial=0) < 2**32 else counts.tobytes()
-
-
-def _wide(answer: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(answer, np.uint32 if len(answer) == 4 * n else np.uint64).astype(np.int64)
-
-
 def _others(keys: np.ndarray, rows: np.ndarray, distinct: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """For each n-gram: how often it stands in other documents."""
     order = np.argsort(keys, kind="stable")

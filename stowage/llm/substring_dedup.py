@@ -71,7 +71,7 @@ def _remove(docs: DataFrame, schema, give) -> DataFrame:
         return B.cells(table[B.BLOCK][0].as_py(), distinct, several, anchors)
 
     def share(table: pa.Table) -> pa.Table:
-        bucket = B.Bucket(table, anchors.width, np.uint8)
+        bucket = B.Bucket(table, np.uint8)
         shared = (bucket.times > 1) | (bucket.per_key(np.maximum) > 0)
         return bucket.answers(shared, lambda x: np.packbits(x).tobytes(), kind=1)
 
@@ -85,8 +85,8 @@ def _remove(docs: DataFrame, schema, give) -> DataFrame:
         return B.cells(table[B.BLOCK][0].as_py(), keys[1][order][first], least, runs)
 
     def least(table: pa.Table) -> pa.Table:
-        bucket = B.Bucket(table, runs.width, np.int64)
-        return bucket.answers(bucket.per_key(np.minimum), lambda x: x.tobytes(), kind=2)
+        bucket = B.Bucket(table, np.int64)
+        return bucket.answers(bucket.per_key(np.minimum), B.planes, kind=2)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         words = _words(table)
@@ -95,7 +95,7 @@ def _remove(docs: DataFrame, schema, give) -> DataFrame:
         distinct = distinct[_firsts(distinct)]
         gone = np.zeros(len(words) + 1, np.int64)
         if len(distinct):
-            holder = B.answer_to(distinct, answers, 2, runs, lambda a, n: np.frombuffer(a, np.int64))
+            holder = B.answer_to(distinct, answers, 2, runs, lambda a, n: B.from_planes(a, np.int64))
             holder = holder[np.searchsorted(distinct, keys)]
             hit = starts[holder < _ids(table)[words.rows[starts]]]
             np.add.at(gone, hit, 1)
