@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stowage.llm.best_fit_packing import pack_documents
 from stowage.llm.license_scan import BASE, TEMPLATES, scan_licenses, template_regex
 from stowage.llm.lm_scoring import score_documents
+from stowage.llm.prob_minhash import near_duplicates
 from stowage.llm.quality_crf import score_quality
 from stowage.llm.shared import scratch_root
 from stowage.llm.source_mixing import mix_sources
@@ -128,6 +129,12 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_base,
     1 - pow(0.5::DOUBLE, len(m)) AS score FROM l"""
 
 
+@query()
+def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(_license_sql())
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License wording in every document."""
