@@ -28,8 +28,10 @@ from stowage.llm.text import slices
 
 CACHE = "content string, tokenizer string, n_tokens long"
 LIMIT = 2048
-#: Texts are encoded in batches of about this size; one above it is cut at spaces.
+#: Texts are encoded in batches of about this size.
 BATCH_BYTES = 1 << 18
+#: Stretches whose counts a worker remembers at most; beyond, it begins anew.
+STRETCHES = 1 << 20
 SPACE = "[ \t\n\x0b\f\r]+"
 
 
@@ -43,43 +45,36 @@ def _tokenizer(path: str) -> tokenizers.Tokenizer:
     return tokenizers.Tokenizer.from_file(path)
 
 
-def pieces(text: str, most: int = BATCH_BYTES) -> list[str]:
-    """``text`` cut before spaces into parts of about ``most`` characters.
+def count_batch(texts: list[str], path: str, dropped: bool) -> list[int]:
+    """Tokens of each text, without special tokens at the ends.
 
-    The parts' counts add up to the count of the whole for a tokenizer that drops white
-    space. A stretch without a space is never cut.
+    With ``dropped``, for a tokenizer that parts words at white space and drops it, a
+    text's tokens are those of its stretches between ASCII white space. Each distinct
+    stretch is encoded once in a while: up to ``STRETCHES`` counts are remembered.
     """
-    out, at = [], 0
-    while len(text) - at > most:
-        cut = text.find(" ", at + most)
-        if cut < 0:
-            break
-        out.append(text[at:cut])
-        at = cut
-    return [*out, text[at:]]
-
-
-def count_batch(texts: list[str], path: str, cut: bool) -> list[int]:
-    """Tokens of each text, without special tokens at the ends."""
-    coder = _tokenizer(path)
-    totals, batch, owners, size = [0] * len(texts), [], [], 0
-
-    def flush() -> None:
-        for owner, code in zip(owners, coder.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-            totals[owner] += len(code)
-        batch.clear()
-        owners.clear()
-
-    for i, text in enumerate(texts):
-        for part in pieces(text) if cut else [text]:
-            batch.append(part)
-            owners.append(i)
-            size += len(part)
-            if size >= BATCH_BYTES:
-                flush()
-                size = 0
-    flush()
-    return totals
+    if not dropped:
+        return [n for at in range(0, len(texts), 64) for n in _encode(texts[at : at + 64], path)]
+    known = _stretches(path)
+    counts = []
+    for text in texts:
+        parts = text.encode().split()
+        if len(known) > STRETCHES:
+            known.clear()
+        new = [p for p in set(parts) if p not in known]
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            known.update(zip(some, _encode([p.decode() for p in some], path), strict=True))
+        counts.append(sum(map(known.__getitem__, parts)))
+    return counts
+
+
+def _encode(texts: list[str], path: str) -> list[int]:
+    return [len(code) for code in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@lru_cache(maxsize=2)
+def _stretches(path: str) -> dict[bytes, int]:
+    return {}
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int = LIMIT, normalise: bool = True) -> DataFrame:
