@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stowage.llm.best_fit_packing import pack_documents
+from stowage.llm.collision_counting import near_vectors
+from stowage.llm.cross_polytope import nearest
 from stowage.llm.license_scan import BASE, TEMPLATES, scan_licenses, template_regex
 from stowage.llm.lm_scoring import score_documents
 from stowage.llm.prob_minhash import near_duplicates
@@ -129,12 +131,40 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_base,
     1 - pow(0.5::DOUBLE, len(m)) AS score FROM l"""
 
 
+@query()
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, the stated query set."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 @query()
 def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+        AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+u AS (SELECT vec_id, label, list_transform(x, lambda e: e / sqrt(list_dot_product(x, x))) AS x FROM v),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_dot_product(a.x, b.x) >= 0.93),
+reach AS (
+    SELECT a AS vec_id, b AS other FROM links UNION SELECT r.vec_id, l.b FROM reach AS r JOIN links AS l ON l.a = r.other)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links,
+    least(e.vec_id, coalesce(r.low, e.vec_id)) AS component_id, e.vec_id <= coalesce(r.low, e.vec_id) AS kept
+FROM embeddings AS e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) AS n ON n.a = e.vec_id
+LEFT JOIN (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id) AS r ON r.vec_id = e.vec_id
+""")
+def op4_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of one label."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query(_license_sql())
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License wording in every document."""
