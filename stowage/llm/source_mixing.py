@@ -42,7 +42,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs:
     scratch = scratch_root(docs.sparkSession)
     sizes, marks = _plan(docs, weights, share, epochs, seed, scratch)
     return _take(sizes, marks).select(
-        "doc_id", F.col("__source").alias("source"), F.col("__size").alias("size"), "source_size", "target",
+        "doc_id", F.col("__source").alias("source"), F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         F.col("__taken").alias("taken"),
     )
 
@@ -156,19 +157,19 @@ def _marks(sizes: DataFrame, targets: DataFrame, scratch: str) -> DataFrame:
             .withColumn("left", F.col("left") - F.coalesce(F.col("at.before"), F.lit(0))).drop("at"),
             f"{scratch}/marks{level}",
         )
-    return marks.withColumnRenamed("source", "__of")
+    return marks.withColumnRenamed("source", "of").select(*[F.col(c).alias(f"__{c}") for c in ["of", *marks.columns[1:]]])
 
 
 def _take(rows: DataFrame, marks: DataFrame) -> DataFrame:
     """``rows`` with ``__taken``, and what ``marks`` has of their sources."""
     rows = rows.join(marks, rows["__source"].eqNullSafe(marks["__of"]))
-    last = F.coalesce((F.col("range0") == _range(0)) & (F.col("range1") == _range(1)), F.lit(False))
-    below = (_range(0) < F.col("range0")) | ((_range(0) == F.col("range0")) & (_range(1) < F.col("range1")))
-    sure = rows.filter(~last).withColumn("__more", F.when((F.col("rest") > 0) & below, F.col("__size")).otherwise(F.lit(0)))
+    last = F.coalesce((F.col("__range0") == _range(0)) & (F.col("__range1") == _range(1)), F.lit(False))
+    below = (_range(0) < F.col("__range0")) | ((_range(0) == F.col("__range0")) & (_range(1) < F.col("__range1")))
+    sure = rows.filter(~last).withColumn("__more", F.when((F.col("__rest") > 0) & below, F.col("__size")).otherwise(F.lit(0)))
     order = Window.partitionBy("__source").orderBy("__draw", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("__size").over(order), F.lit(0))
-    edge = rows.filter(last).withColumn("__more", F.greatest(F.lit(0), F.least(F.col("__size"), F.col("left") - before)))
-    return sure.unionByName(edge).withColumn("__taken", (F.col("whole") * F.col("__size") + F.col("__more")).cast("long"))
+    edge = rows.filter(last).withColumn("__more", F.greatest(F.lit(0), F.least(F.col("__size"), F.col("__left") - before)))
+    return sure.unionByName(edge).withColumn("__taken", (F.col("__whole") * F.col("__size") + F.col("__more")).cast("long"))
 
 
 def _with_source(left: DataFrame, marks: DataFrame) -> DataFrame:
