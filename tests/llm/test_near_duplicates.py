@@ -1,0 +1,139 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from stowage.llm import prob_minhash as pm
+from stowage.llm.components import components
+from tests.llm.conftest import ODD
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+
+
+def jaccards(a, b):
+    both = set(a) & set(b)
+    plain = len(both) / max(len(set(a) | set(b)), 1)
+    weighted = sum(1 / sum(max(a[y] / a[x], b[y] / b[x]) for y in set(a) | set(b)) for x in both)
+    return plain, weighted
+
+
+def classes_by_hand(rows):
+    sets = [(d, shingles(t)) for d, t in rows]
+    parent = {d: d for d, _ in rows}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for i, (d, a) in enumerate(sets):
+        for e, b in sets[:i]:
+            if a and b and max(jaccards(a, b)) >= 0.8:
+                x, y = root(d), root(e)
+                parent[max(x, y)] = min(x, y)
+    return {d: root(d) for d, _ in rows}
+
+
+def edited(draw, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[draw.randrange(len(words))] = f"new{draw.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus(seed):
+    """Copies, near copies on both sides of the threshold, chains of them, shared passages, repeated lines."""
+    draw = random.Random(seed)
+    make = lambda n: [f"w{draw.randrange(900)}" for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        base = make(draw.choice([40, 120, 300]))
+        texts += [" ".join(base), " ".join(base).upper(), "\n".join(base)]
+        texts += [edited(draw, base, draw.choice([1, 2, 4, 7])) for _ in range(6)]
+    chain = make(150)
+    for _ in range(8):
+        chain = edited(draw, chain, 3).split()
+        texts.append(" ".join(chain))
+    passage = make(60)
+    texts += [" ".join([*passage, *make(60)]) for _ in range(12)]
+    line = make(9)
+    texts += [" ".join([*make(20), *line * n]) for n in (30, 31, 60, 3)]
+    texts += ["a b c", "A b  c", "a b d", "tiny", "", " ", None]
+    draw.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("rows_per_block", [1024, 3])
+def test_classes_are_those_of_all_pairs(documents, monkeypatch, rows_per_block):
+    monkeypatch.setattr(pm, "BLOCK_ROWS", rows_per_block)
+    rows = corpus(rows_per_block)
+    got = pm.near_duplicates(documents(*rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == classes_by_hand(rows)
+    assert all(r.kept == (r.doc_id == r.class_id) for r in got)
+    words = {}
+    for d, t in rows:
+        if shingles(t):
+            words.setdefault(" ".join((t or "").lower().split()), []).append(d)
+    first = {d: min(ds) for ds in words.values() for d in ds}
+    assert {r.doc_id: r.exact_id for r in got} == {d: first.get(d, d) for d, _ in rows}
+
+
+def test_odd_rows(documents):
+    rows = [*ODD, (30, "same words in all of these"), (31, "Same words  in all of THESE"), (40, "other text of six words here"),
+            (31, "other text of six words here"), (None, "same words in all of these")]
+    got = pm.near_duplicates(documents(*rows)).collect()
+    assert len(got) == len(rows)
+    assert sorted({(r.doc_id, r.class_id, r.kept) for r in got if r.doc_id in (4, 5, 30, 31, 40)}) == [
+        (4, 4, True), (5, 4, False), (30, 30, True), (31, 30, False), (40, 30, False)]
+    assert all(r.kept and r.class_id is None for r in got if r.doc_id is None)
+    assert all(r.kept for r in got if r.doc_id in (1, 2, 3, 8))
+    assert pm.near_duplicates(documents()).collect() == []
+
+
+def test_one_of_each_group_stays_with_its_columns(documents):
+    frame = documents((3, "a b c d e f"), (2, "A b c d e f"), (7, None), (None, "a b c d e f"), (2, "A b c d e f"), (9, "x"))
+    out = pm.drop_near_duplicates(frame)
+    assert out.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "a b c d e f"), (2, "A b c d e f"), (7, ""), (9, "x")]
+    assert pm.drop_near_duplicates(documents()).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sketches_estimate_the_probability_jaccard(seed):
+    draw = np.random.default_rng(seed)
+    hashes = np.sort(draw.integers(0, 2**63, 60).astype(np.uint64))
+    a, b = np.sort(draw.choice(60, 40, replace=False)), np.sort(draw.choice(60, 45, replace=False))
+    wa, wb = draw.integers(1, 5, 40), draw.integers(1, 5, 45)
+    rows = np.concatenate([np.zeros(40, np.int64), np.ones(45, np.int64)])
+    held = pm.sketch(rows, np.concatenate([hashes[a], hashes[b]]), np.concatenate([wa, wb]).astype(float), 2, 6000)
+    x, y = (Counter(dict(zip(k.tolist(), w.tolist(), strict=True))) for k, w in ((a, wa), (b, wb)))
+    exact = pm.probability_jaccard(hashes[a], wa, hashes[b], wb)
+    assert exact == pytest.approx(jaccards(x, y)[1])
+    assert (held[0] == held[1]).mean() == pytest.approx(exact, abs=0.03)
+    one = pm.sketch(np.zeros(1, np.int64), hashes[:1], np.ones(1), 1, 50)
+    assert (one == hashes[0]).all()
+
+
+def test_bands_of_equal_sketches_agree():
+    s = pm.Shingles(pa.array(["a b c d e f g", "A B c d e f g", "q r s t u v w", None, "a b"]))
+    assert s.bounds.tolist() == [0, 3, 6, 9, 9, 10]
+    held = pm.sketch(s.rows, s.hashes, np.ones(len(s.rows)), 5)
+    keys = pm.band_keys(held)
+    assert (keys[0] == keys[1]).all() and not (keys[0] == keys[2]).any()
+    assert len(set(keys[0].tolist())) == pm.BANDS
+
+
+def test_components_of_chains_and_stars(spark, tmp_path):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, i) for i in range(8, 30)]
+    links = [*chain, *star, (500, 400), (400, 450), (600, 600)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long"), str(tmp_path / "c")).collect()}
+    want = {i: 100 for i in range(100, 161)} | {i: 7 for i in range(7, 30)} | {400: 400, 450: 400, 500: 400}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long"), str(tmp_path / "none")).collect() == []
