@@ -12,7 +12,7 @@ def components(links: DataFrame, path: str) -> DataFrame:
     """For each node of ``links`` (``a``, ``b``, longs): ``id`` and ``component``, the smallest node it reaches.
 
     Each node takes the smallest label among its own and its neighbours', then the label
-    of the node it is labelled by, so that paths halve; a star ends after one round. Each
+    of the node it is labelled by, so that paths halve; a star needs no second round. Each
     round's labels are a table below ``path``. Nodes with many links are aggregated
     before the shuffle, and joins are between stored tables, which Spark can split.
     """
@@ -22,17 +22,21 @@ def components(links: DataFrame, path: str) -> DataFrame:
     labels = stored(
         both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{path}/labels0"
     )
-    n, before = 0, None
+    n, total = 0, _sum(labels)
     while True:
         n += 1
         near = both.join(labels, both["b"] == labels["id"]).select(F.col("a").alias("id"), "label")
-        least = stored(near.union(labels).groupBy("id").agg(F.min("label").alias("label")), f"{path}/least{n}")
-        next_of = least.select(F.col("id").alias("via"), F.col("label").alias("then"))
-        labels = stored(
-            least.join(next_of, F.col("label") == F.col("via")).select("id", F.col("then").alias("label")), f"{path}/labels{n}"
-        )
-        # Labels only fall, so an unchanged sum is an unchanged labelling.
-        total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+        labels = stored(near.union(labels).groupBy("id").agg(F.min("label").alias("label")), f"{path}/least{n}")
+        # Labels only fall: if their sum is what it was, all neighbours have one label.
+        before, total = total, _sum(labels)
         if total == before:
             return labels.select("id", F.col("label").alias("component"))
-        before = total
+        next_of = labels.select(F.col("id").alias("via"), F.col("label").alias("then"))
+        labels = stored(
+            labels.join(next_of, F.col("label") == F.col("via")).select("id", F.col("then").alias("label")), f"{path}/labels{n}"
+        )
+        total = _sum(labels)
+
+
+def _sum(labels: DataFrame):
+    return labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]

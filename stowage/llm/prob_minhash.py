@@ -13,12 +13,13 @@ similarity of the two sets. A document without repeated shingles has one sketch
 
 1. Documents with the same words are one *class*; only classes go on.
 2. Sketches are cut into ``BANDS`` bands; classes that agree in a band share a bucket.
-3. Each class of a bucket is compared with the bucket's smallest one; then, in buckets
-   that still hold several components, with one picked by hash; then what is outside a
-   bucket's largest component with all that its bucket holds. A comparison that could
-   join nothing any more is left out, so a group of n copies costs n comparisons.
-4. Each compared pair is checked: first by the registers' agreement, which rules out
-   pairs more than five standard errors too low, then exactly, on all shingles.
+3. Each class is compared with the smallest of each of its buckets: first by the
+   registers' agreement, which rules out pairs more than five standard errors too low,
+   then exactly, on all shingles. A group of n copies costs n comparisons.
+4. Classes that buckets join, directly or over others, are a *family*. Where a family is
+   still of several components, those outside its largest are compared with all of it,
+   exactly, block by block, through an index of the block's shingles. No pairs are
+   written, only links that join components.
 
 A pair of similarity 0.8 shares no band with probability 7e-5, of 0.9 with 2e-9.
 """
@@ -42,7 +43,7 @@ REGISTERS = 120
 BANDS = 24
 #: Five standard errors of an agreement of 0.8 over the registers.
 MARGIN = 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
-#: Rows of a bucket that are compared with one block of it at a time.
+#: Rows of a family that are compared with as many at a time.
 BLOCK_ROWS = 1024
 KEYS = "doc_id long, class1 long, class2 long, bands array<long>, sketch binary"
 
@@ -173,7 +174,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(
         keys.filter("bands IS NOT NULL").groupBy("class1", "class2").agg(F.min("doc_id").alias("id")), f"{scratch}/classes"
     )
-    groups = _groups(docs, keys, classes, scratch)
+    links = _links(docs, keys, classes, scratch)
     # Ids that stand in several classes (repeated ids) join those classes' groups.
     named = stored(
         keys.select("doc_id", "class1", "class2", F.col("bands").isNull().alias("blank"))
@@ -181,10 +182,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("doc_id", F.when(~F.col("blank"), F.col("id")).alias("id")),
         f"{scratch}/named",
     )
-    several = named.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count_distinct("id").alias("n"))
-    repeats = named.join(several.filter("n > 1").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    links = stored(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).union(repeats.filter("b IS NOT NULL")), f"{scratch}/all")
-    final = components(links, f"{scratch}/final")
+    several = named.groupBy("doc_id").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+    repeats = named.join(several.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    final = components(links.union(repeats.filter("b IS NOT NULL")), f"{scratch}/final")
     exact = F.coalesce("id", "doc_id")
     found = (
         named.select("doc_id", exact.alias("exact_id"))
@@ -204,7 +204,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     ``near_duplicates`` has the rules; of rows that repeat an id one stays.
     """
     kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept"))
-    with_id = docs.join(kept.distinct(), docs["doc_id"].cast("long") == F.col("__kept")).dropDuplicates(["__kept"]).drop("__kept")
+    with_id = docs.join(kept.distinct().hint("merge"), docs["doc_id"].cast("long") == F.col("__kept")).dropDuplicates(["__kept"]).drop("__kept")
     return with_id.unionByName(docs.filter(docs["doc_id"].isNull()))
 
 
@@ -241,78 +241,41 @@ def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(same[..., :REGISTERS].mean(-1), same[..., REGISTERS:].mean(-1))
 
 
-def _groups(docs: DataFrame, keys: DataFrame, classes: DataFrame, scratch: str) -> DataFrame:
-    """Components (``id``, ``component``) of the classes that have links."""
+def _links(docs: DataFrame, keys: DataFrame, classes: DataFrame, scratch: str) -> DataFrame:
+    """Links (``a``, ``b``) between classes, enough to join all that links join."""
     # The row whose sketch and text stand for a class: its first by id.
     of = classes.select(F.col("class1").alias("of1"), F.col("class2").alias("of2"), "id")
     same = (F.col("doc_id") == F.col("id")) & (F.col("class1") == F.col("of1")) & (F.col("class2") == F.col("of2"))
     heads = keys.join(of, same).dropDuplicates(["id", "of1", "of2"]).select("id", "bands", "sketch")
     heads = stored(heads, f"{scratch}/heads")
     members = heads.select("id", F.explode("bands").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
-    shared = stored(sizes.select("bucket", "center"), f"{scratch}/shared")
-    members = stored(members.join(shared, "bucket"), f"{scratch}/members")
-    sketches = stored(
-        heads.select("id", "sketch").join(members.select("id").distinct(), "id", "left_semi"), f"{scratch}/sketches"
+    centers = stored(
+        members.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1").select("bucket", "center"),
+        f"{scratch}/centers",
     )
+    pairs = stored(
+        members.join(centers, "bucket").filter("center < id").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct(),
+        f"{scratch}/pairs",
+    )
+    named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sketches = stored(heads.select("id", "sketch").join(named, "id", "left_semi"), f"{scratch}/sketches")
     texts = stored(
-        docs.join(sketches.select(F.col("id")), docs["doc_id"] == F.col("id"), "left_semi")
+        docs.join(sketches.select("id").hint("shuffle_hash"), docs["doc_id"] == F.col("id"), "left_semi")
         .withColumnRenamed("doc_id", "id"),
         f"{scratch}/texts",
     )
-
-    tried: list[DataFrame] = []
-    links: list[DataFrame] = []
-
-    def compare(pairs: DataFrame, name: str, filtered: bool = False) -> None:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"{scratch}/{name}/pairs")
-        tried.append(pairs)
-        likely = pairs if filtered else stored(_likely(pairs, sketches), f"{scratch}/{name}/likely")
-        checked = _with_both(likely, texts, "text").mapInArrow(_check, "a long, b long")
-        links.append(stored(checked, f"{scratch}/{name}/links"))
-
-    def grouped(name: str) -> DataFrame:
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        return components(every, f"{scratch}/{name}/components")
-
-    def open_buckets(groups: DataFrame, name: str) -> DataFrame:
-        """Members of the buckets that hold several components, with these."""
-        now = stored(
-            members.select("bucket", "id").join(groups, "id", "left")
-            .withColumn("component", F.coalesce("component", "id")), f"{scratch}/{name}/now",
-        )
-        several = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        several = stored(several.select("bucket"), f"{scratch}/{name}/several")
-        return stored(now.join(several, "bucket"), f"{scratch}/{name}/open")
-
-    compare(members.select(F.col("center").alias("a"), F.col("id").alias("b")), "by_center")
-
-    still = open_buckets(grouped("by_center"), "by_hash")
-    pick = stored(
-        still.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id"), F.col("id").alias("id"), F.col("component").alias("of"))).alias("pick"))
-        .select("bucket", F.col("pick.id").alias("pick"), F.col("pick.of").alias("of")), f"{scratch}/by_hash/pick",
-    )
-    compare(still.join(pick, "bucket").filter("component <> of").select(F.col("pick").alias("a"), F.col("id").alias("b")), "by_hash")
-
-    still = open_buckets(grouped("by_hash"), "rest")
-    compare(_rest(still, sketches, scratch), "rest", filtered=True)
-    return grouped("rest")
+    likely = _with_both(pairs, sketches, "sketch").mapInArrow(_likely, "a long, b long")
+    links = stored(_with_both(likely, texts, "text").mapInArrow(_check, "a long, b long"), f"{scratch}/links")
+    families = components(pairs, f"{scratch}/families").withColumnRenamed("component", "family")
+    return links.union(_rest(families, components(links, f"{scratch}/linked"), texts, scratch))
 
 
-def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches do not rule out a link."""
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (_prints(batch.column(f"sketch_{s}")) for s in "ab")
-                yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= THRESHOLD - MARGIN))
-
-    return _with_both(pairs, sketches, "sketch").mapInArrow(check, "a long, b long")
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (_prints(batch.column(f"sketch_{s}")) for s in "ab")
+            yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= THRESHOLD - MARGIN))
 
 
 def _prints(column: pa.Array) -> np.ndarray:
@@ -322,7 +285,7 @@ def _prints(column: pa.Array) -> np.ndarray:
 def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     """``pairs`` with a column of ``table`` for either end."""
     for end in "ab":
-        side = table.select(F.col("id").alias(f"id_{end}"), F.col(column).alias(f"{column}_{end}"))
+        side = table.select(F.col("id").alias(f"id_{end}"), F.col(column).alias(f"{column}_{end}")).hint("merge")
         pairs = pairs.join(side, F.col(end) == F.col(f"id_{end}")).drop(f"id_{end}")
     return pairs
 
@@ -334,35 +297,75 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _rest(still: DataFrame, sketches: DataFrame, scratch: str) -> DataFrame:
-    """Likely pairs of different components, one of which is not its bucket's largest.
-
-    A bucket is dealt into blocks of about ``BLOCK_ROWS`` by a hash of the id. Rows outside
-    the largest component go to all its blocks, and are compared there with the block's rows.
-    """
-    parts = still.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("rows"))
-    largest = stored(
-        largest.select("bucket", "main", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")), f"{scratch}/rest/largest"
+def _rest(families: DataFrame, linked: DataFrame, texts: DataFrame, scratch: str) -> DataFrame:
+    """Links within families of several components, between these."""
+    now = stored(
+        families.join(linked.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left")
+        .select("id", "family", F.coalesce("component", "id").alias("component")), f"{scratch}/now",
+    )
+    parts = now.groupBy("family", "component").agg(F.count("*").alias("n"))
+    split = stored(
+        parts.groupBy("family").agg(
+            F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts"),
+            F.ceil(F.sum("n") / BLOCK_ROWS).cast("int").alias("blocks"),
+            F.ceil((F.sum("n") - F.max("n")) / BLOCK_ROWS).cast("int").alias("asks"),
+        ).filter("parts > 1"),
+        f"{scratch}/split",
     )
-    rows = still.join(largest, "bucket").withColumn("outside", F.col("component") != F.col("main"))
-    own = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("seeks", F.lit(False))
-    asked = rows.filter("outside").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("seeks", F.lit(True))
-    cells = own.unionByName(asked).select("bucket", "block", "id", "component", "seeks")
-    cells = stored(cells, f"{scratch}/rest/cells").join(sketches, "id")
-
-    def compare(table: pa.Table) -> pa.Table:
-        seeks = table["seeks"].to_numpy().astype(bool)
-        ids, of = table["id"].to_numpy(), table["component"].to_numpy()
-        prints = _prints(table["sketch"].combine_chunks())
-        others = np.flatnonzero(~seeks)
-        a, b = [], []
-        for i in np.flatnonzero(seeks):
-            far = others[of[others] != of[i]]
-            hit = far[agreement(prints[far], prints[i]) >= THRESHOLD - MARGIN]
-            a.append(np.full(len(hit), ids[i]))
-            b.append(ids[hit])
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
-
-    return cells.groupBy("bucket", "block").applyInArrow(compare, "a long, b long")
+    rows = now.join(split, "family")
+    place = F.xxhash64("id")
+    own = rows.withColumn("block", F.pmod(place, F.col("blocks")).cast("int")) \
+        .withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1))).withColumn("asking", F.lit(False))
+    outside = rows.filter("component <> main").withColumn("ask", F.pmod(place, F.col("asks")).cast("int")) \
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asking", F.lit(True))
+    cells = stored(own.unionByName(outside).select("family", "block", "ask", "id", "component", "asking"), f"{scratch}/cells")
+    with_text = cells.join(texts.hint("merge"), "id")
+    found = with_text.groupBy("family", "block", "ask").applyInArrow(_join_components, "a long, b long")
+    return stored(found, f"{scratch}/rest")
+
+
+def _join_components(table: pa.Table) -> pa.Table:
+    """Links from the asking rows to the others that join components not joined before."""
+    asking = table["asking"].to_numpy().astype(bool)
+    ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+    s = Shingles(table["text"])
+    sizes = np.diff(s.bounds)
+    totals = np.add.reduceat(np.append(s.weights, 0), np.minimum(s.bounds[:-1], len(s.weights)))
+    share = s.weights / totals[s.rows]
+    repeats = np.zeros(len(ids), bool)
+    repeats[s.rows[s.weights > 1]] = True
+    # The index: for each distinct shingle of the rows that are asked, in which rows and with what share.
+    entry = np.flatnonzero(~asking[s.rows])
+    entry = entry[np.argsort(s.hashes[entry], kind="stable")]
+    held, first = np.unique(s.hashes[entry], return_index=True)
+    times = np.diff(np.append(first, len(entry)))
+    joined: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while joined.get(c, c) != c:
+            c = joined[c]
+        return c
+
+    a, b = [], []
+    for i in np.flatnonzero(asking):
+        mine = s.of_row(i)
+        at = np.searchsorted(held, s.hashes[mine])
+        hit = np.flatnonzero((at < len(held)) & (held[np.minimum(at, len(held) - 1)] == s.hashes[mine])) if len(held) else at[:0]
+        n = times[at[hit]]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        found = entry[np.repeat(first[at[hit]], n) + within]
+        rows = s.rows[found]
+        common = np.bincount(rows, minlength=len(ids))
+        alike = common / np.maximum(sizes + sizes[i] - common, 1) >= THRESHOLD
+        # The overlap of the shares bounds the weighted similarity from above.
+        overlap = np.bincount(rows, np.minimum(share[found], np.repeat(share[mine][hit], n)), len(ids))
+        for j in np.flatnonzero(~alike & (overlap >= THRESHOLD - 1e-9) & (repeats | repeats[i]) & (component != component[i])):
+            alike[j] = similarity(s, i, s, j) >= THRESHOLD
+        others = np.flatnonzero(alike & ~asking & (component != component[i]))
+        for j in others[np.unique(component[others], return_index=True)[1]]:
+            x, y = root(int(component[i])), root(int(component[j]))
+            if x != y:
+                joined[max(x, y)] = min(x, y)
+                a.append(ids[i])
+                b.append(ids[j])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
