@@ -14,23 +14,26 @@ from pyspark.sql import functions as F
 from stowage.llm.best_fit_packing import pack_documents
 from stowage.llm.prob_minhash import drop_near_duplicates
 from stowage.llm.quality_crf import keep_good
-from stowage.llm.shared import scratch_root, stored
+from stowage.llm.shared import find_package, scratch_root, stored
 from stowage.llm.source_mixing import repeat_texts
 from stowage.llm.substring_dedup import remove_repeats
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model, fitted on ``labels``, calls good. The others go."""
+    find_package(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
+    find_package(spark)
     return drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without passages of 13 words or more that an earlier one holds."""
+    find_package(spark)
     return _counted(remove_repeats(docs))
 
 
@@ -41,6 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their bins of 2,048 words."""
+    find_package(spark)
     return pack_documents(docs)
 
 

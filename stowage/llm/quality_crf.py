@@ -26,7 +26,7 @@ from stowage.llm.text import SPACES, Words, slices, text_buffer
 MOST_DOCS = 6000
 MOST_LINES = 200
 THRESHOLD = 0.7
-FEATURES = 8
+FEATURES = 9
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 _BYTES = np.arange(256)
@@ -49,11 +49,18 @@ class Lines:
         first = np.searchsorted(words.starts, lines.starts)
         n_words = np.searchsorted(words.starts, lines.ends) - first
 
-        def share(kind: np.ndarray, of: np.ndarray) -> np.ndarray:
-            total = np.zeros(len(data) + 1, np.int64)
-            np.cumsum(kind[data], out=total[1:])
+        def per_line(at: np.ndarray, of: np.ndarray) -> np.ndarray:
+            total = np.zeros(len(at) + 1, np.int64)
+            np.cumsum(at, out=total[1:])
             return (total[lines.ends] - total[lines.starts]) / np.maximum(of, 1)
 
+        def share(kind: np.ndarray, of: np.ndarray) -> np.ndarray:
+            return per_line(kind[data], of)
+
+        signs = np.zeros(len(data), bool)  # words of one symbol, as between the cells of a table
+        one = words.starts[words.ends - words.starts == 1]
+        signs[one] = _SYMBOL[data[one]]
+
         h = words.hashes()
         same = np.zeros(len(h) + 1, np.int64)
         if len(h):
@@ -64,6 +71,7 @@ class Lines:
             share(_UPPER, share(_LETTER, np.ones(1))),
             share(_DIGIT, self.lengths),
             np.minimum(share(_SYMBOL, n_words), 1.0),
+            per_line(signs, n_words),
             (same[first + n_words] - same[inner]) / np.maximum(n_words, 1),
             self.lengths / np.maximum(n_words, 1) / 10.0,
             share(_STOP, n_words),

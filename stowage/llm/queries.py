@@ -14,7 +14,7 @@ from stowage.llm.license_scan import BASE, TEMPLATES, scan_licenses, template_re
 from stowage.llm.lm_scoring import score_documents
 from stowage.llm.prob_minhash import near_duplicates
 from stowage.llm.quality_crf import score_quality
-from stowage.llm.shared import scratch_root
+from stowage.llm.shared import find_package, scratch_root
 from stowage.llm.source_mixing import mix_sources
 from stowage.llm.substring_dedup import digest_repeats
 from stowage.llm.token_counts import count_tokens
@@ -37,6 +37,7 @@ def query(check_sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

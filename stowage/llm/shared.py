@@ -1,12 +1,27 @@
-"""Intermediate tables on shared storage."""
+"""What all operators need of a session: tables on shared storage, and workers that find the code."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 
 from stowage.plans.registry import scratch_root
 
-__all__ = ["scratch_root", "stored"]
+__all__ = ["find_package", "scratch_root", "stored"]
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    It is for sessions on one machine. On a cluster the package is deployed to all
+    executors (``--py-files``, or installed), and the path added here is of no effect.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
