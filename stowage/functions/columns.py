@@ -45,6 +45,19 @@ def ntz_millis(c: Column, utc_session: bool) -> Column:
     return date_millis(c.cast("date")) + seconds.cast("bigint") * F.lit(1000) + within_minute
 
 
+def decimal_text(c: Column) -> Column:
+    """A decimal in plain digits where a cast may give an exponent (outside ANSI mode).
+
+    The exponent is always negative: scales are not.
+    """
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(F.regexp_extract(text, r"([0-9.]+)E", 1), "[.]", "")
+    zeros = F.regexp_extract(text, r"E-([0-9]+)$", 1).cast("int") - 1
+    plain = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), zeros), digits)
+    return F.when(text.contains("E"), plain).otherwise(text)
+
+
 def null_safe_struct(c: Column, fields: list[Column]) -> Column:
     """A rebuilt struct that stays null where ``c`` is null."""
     return F.when(c.isNotNull(), F.struct(*fields))

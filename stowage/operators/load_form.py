@@ -12,16 +12,18 @@ array, map with string keys, struct   the same around converted parts
 anything else                         refused
 ====================================  ==================
 
-Decimals are written as plain digits under ANSI mode, which is Spark's default.
-The schema is checked on the driver before any job runs. Columns that need no
+Decimals are written as plain digits. A cast does that under ANSI mode, Spark's default;
+outside it, an exponent that the cast gives is written out. The schema is checked on the driver before any job runs. Columns that need no
 change are passed on as they are, so a scan below stays pruned and pushed down.
-A column without times in it takes one cast, however deep it is: casts of arrays,
+A column without times in it takes one cast under ANSI mode, however deep it is: casts of arrays,
 maps and structs are compiled, while ``transform`` runs interpreted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +31,7 @@ from stowage.errors import NamespaceError, NestedArrayError, UnsupportedTypeErro
 from stowage.functions.columns import (
     column,
     date_millis,
+    decimal_text,
     ntz_millis,
     null_safe_struct,
     session_is_utc,
@@ -71,36 +74,55 @@ def load_schema(schema: T.StructType) -> T.StructType:
     return load_type(schema)
 
 
-def holds_time(dt: T.DataType) -> bool:
+@dataclass(frozen=True)
+class Session:
+    """The settings that decide which expression gives a load form; never what it gives."""
+
+    utc: bool
+    ansi: bool
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> Session:
+        return cls(session_is_utc(spark), spark.conf.get("spark.sql.ansi.enabled") == "true")
+
+    @property
+    def beyond_casts(self) -> tuple[type[T.DataType], ...]:
+        """Types of which a cast does not give the load form."""
+        return _TO_LONG if self.ansi else (*_TO_LONG, T.DecimalType)
+
+
+def holds(kinds: tuple[type[T.DataType], ...], dt: T.DataType) -> bool:
     if isinstance(dt, T.ArrayType):
-        return holds_time(dt.elementType)
+        return holds(kinds, dt.elementType)
     if isinstance(dt, T.MapType):
-        return holds_time(dt.valueType)
+        return holds(kinds, dt.valueType)
     if isinstance(dt, T.StructType):
-        return any(holds_time(f.dataType) for f in dt.fields)
-    return isinstance(dt, _TO_LONG)
+        return any(holds(kinds, f.dataType) for f in dt.fields)
+    return isinstance(dt, kinds)
 
 
-def load_column(c: Column, dt: T.DataType, utc_session: bool) -> Column:
+def load_column(c: Column, dt: T.DataType, session: Session) -> Column:
     """``c`` of type ``dt`` in load form; ``c`` itself where nothing changes."""
     out = load_type(dt)
     if out == dt:
         return c
-    if not holds_time(dt):
+    if not holds(session.beyond_casts, dt):
         return c.cast(out)
+    if isinstance(dt, T.DecimalType):
+        return decimal_text(c)
     if isinstance(dt, T.TimestampType):
         return F.unix_millis(c)
     if isinstance(dt, T.TimestampNTZType):
-        return ntz_millis(c, utc_session)
+        return ntz_millis(c, session.utc)
     if isinstance(dt, T.DateType):
         return date_millis(c)
     if isinstance(dt, T.ArrayType):
-        return F.transform(c, lambda e: load_column(e, dt.elementType, utc_session))
+        return F.transform(c, lambda e: load_column(e, dt.elementType, session))
     if isinstance(dt, T.MapType):
-        return F.transform_values(c, lambda _, v: load_column(v, dt.valueType, utc_session))
+        return F.transform_values(c, lambda _, v: load_column(v, dt.valueType, session))
     return null_safe_struct(
         c,
-        [load_column(c.getField(f.name), f.dataType, utc_session).alias(f.name) for f in dt.fields],
+        [load_column(c.getField(f.name), f.dataType, session).alias(f.name) for f in dt.fields],
     )
 
 
@@ -109,9 +131,9 @@ def load_form(df: DataFrame) -> DataFrame:
     require_unique_columns(df.columns)
     if load_schema(df.schema) == df.schema:
         return df
-    utc = session_is_utc(df.sparkSession)
+    session = Session.of(df.sparkSession)
     return df.select(
-        *[load_column(column(f.name), f.dataType, utc).alias(f.name) for f in df.schema.fields]
+        *[load_column(column(f.name), f.dataType, session).alias(f.name) for f in df.schema.fields]
     )
 
 

@@ -12,6 +12,10 @@ For the types that meet in one place (nulls put aside):
 A field that an input lacks is filled with null. With an explicit ``schema`` the
 frames are merged into that schema instead: a mix needs a target struct with as
 many fields as there are member types, and each member must conform to its field.
+Records of different types are such a mix where the target has a field for each of
+them that it conforms to; elsewhere they go field by field, and a record of which the
+target keeps no field is an error. Without a schema, ``records="members"`` gives
+different records a member struct instead of going field by field.
 
 Which member a row sets depends only on the frame it comes from, so the choice is
 made on the driver; the merge is one projection per input and a union, with no
@@ -26,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stowage.errors import UnionShapeError
+from stowage.errors import SchemaError, SpecError, UnionShapeError
 from stowage.functions.columns import column, null_of
 from stowage.functions.types import dotted, loosen, require_unique_columns, same_type
 from stowage.operators.conform import (
@@ -42,6 +46,9 @@ from stowage.operators.conform import (
     untouched,
 )
 
+# The ways in which unlike records meet.
+RECORDS = ("fields", "members")
+
 # The two pairs of types that widen, and what they widen to.
 WIDENINGS = [
     ({T.IntegerType(), T.LongType()}, T.LongType()),
@@ -75,19 +82,17 @@ def field_types(structs: Sequence[T.StructType]) -> dict[str, list[T.DataType]]:
     return out
 
 
-def merged_type(types: Sequence[T.DataType]) -> T.DataType:
-    """The type that the union rule gives for ``types``."""
+def merged_type(types: Sequence[T.DataType], apart: bool = False) -> T.DataType:
+    """The type that the union rule gives for ``types``; ``apart`` keeps unlike records apart."""
     mem = members(types)
     if not mem:
         return T.NullType()
-    if all_are(T.StructType, mem):
-        return T.StructType(
-            [T.StructField(n, merged_type(ts), True) for n, ts in field_types(mem).items()]
-        )
+    if all_are(T.StructType, mem) and not (apart and len(mem) > 1):
+        return merged_fields(mem, apart)
     if all_are(T.ArrayType, mem):
-        return T.ArrayType(merged_type([t.elementType for t in mem]), True)
+        return T.ArrayType(merged_type([t.elementType for t in mem], apart), True)
     if all(has_string_keys(t) for t in mem):
-        return T.MapType(mem[0].keyType, merged_type([t.valueType for t in mem]), True)
+        return T.MapType(mem[0].keyType, merged_type([t.valueType for t in mem], apart), True)
     if len(mem) == 1:
         return mem[0]
     return widened(mem) or T.StructType(
@@ -95,6 +100,12 @@ def merged_type(types: Sequence[T.DataType]) -> T.DataType:
     )
 
 
+def merged_fields(structs: Sequence[T.StructType], apart: bool) -> T.StructType:
+    """Structs field by field."""
+    met = field_types(structs)
+    return T.StructType([T.StructField(n, merged_type(ts, apart), True) for n, ts in met.items()])
+
+
 def merge_rule(
     source: T.DataType,
     peers: Sequence[T.DataType],
@@ -106,7 +117,7 @@ def merge_rule(
         return lambda _: null_of(target)
     mem = members(peers)
     if all_are(T.StructType, mem) and isinstance(target, T.StructType):
-        return struct_rule(source.names, merge_fields(source, mem, target, path))
+        return record_rule(source, mem, target, path)
     if all_are(T.ArrayType, mem) and isinstance(target, T.ArrayType):
         inner = merge_rule(
             source.elementType, [t.elementType for t in mem], target.elementType, path
@@ -122,6 +133,29 @@ def merge_rule(
     return member_rule(source, mem, target, path)
 
 
+def record_rule(
+    source: T.StructType, mem: list[T.StructType], target: T.StructType, path: tuple[str, ...]
+) -> Convert:
+    """As a member, where the target has a field for each record type; else field by field."""
+    if len(mem) > 1 and len(target.fields) == len(mem):
+        try:
+            return member_rule(source, mem, target, path)
+        except SchemaError:
+            pass  # the fields do not stand for the members
+    require_kept(source, target, path)
+    return struct_rule(source.names, merge_fields(source, mem, target, path))
+
+
+def require_kept(source: T.DataType, target: T.DataType, path: tuple[str, ...]) -> None:
+    """Refuse a target record that would keep no field of the source record."""
+    both = isinstance(source, T.StructType) and isinstance(target, T.StructType)
+    if both and source.names and not set(source.names) & set(target.names):
+        raise UnionShapeError(
+            f"at {dotted(path)}: {target.simpleString()} keeps no field of {source.simpleString()}",
+            dotted(path),
+        )
+
+
 def member_rule(
     source: T.DataType, mem: list[T.DataType], target: T.DataType, path: tuple[str, ...]
 ) -> Convert:
@@ -135,6 +169,7 @@ def member_rule(
             dotted(path),
         )
     own = next(i for i, t in enumerate(mem) if same_type(t, source))
+    require_kept(source, target.fields[own].dataType, (*path, target.fields[own].name))
     rules = [
         conform_rule(source if i == own else t, f.dataType, (*path, f.name))
         for i, (t, f) in enumerate(zip(mem, target.fields))
@@ -178,14 +213,23 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def merge_union(frames: Sequence[DataFrame], schema: T.StructType | None = None) -> DataFrame:
-    """One frame of all rows of ``frames``, types merged by the union rule."""
+def merge_union(
+    frames: Sequence[DataFrame], schema: T.StructType | None = None, records: str = "fields"
+) -> DataFrame:
+    """One frame of all rows of ``frames``, types merged by the union rule.
+
+    ``records``: how unlike records meet where there is no ``schema``, ``fields`` (one
+    record of all fields) or ``members`` (a member struct).
+    """
     if not frames:
         raise ValueError("merge_union needs at least one frame")
+    if records not in RECORDS:
+        raise SpecError(f"records must be one of {', '.join(RECORDS)}; got {records!r}")
     for df in frames:
         require_unique_columns(df.columns)
     schemas = [df.schema for df in frames]
-    target = schema or merged_type(schemas)
+    target = schema or merged_fields(schemas, records == "members")
+    require_unique_columns(target.names)
     return union_all(
         [
             df.select(

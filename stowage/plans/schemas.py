@@ -19,13 +19,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 @query("""
 SELECT l_orderkey, l_linenumber,
        CAST(l_linenumber AS INTEGER) AS tiny,
-       CASE WHEN l_suppkey = 7 THEN -1 ELSE CAST(l_suppkey AS INTEGER) END AS small,
+       CASE WHEN l_suppkey % 30000 = 7 THEN -1 ELSE CAST(l_suppkey % 30000 AS INTEGER) END AS small,
        l_linenumber AS whole, l_partkey AS big,
        CAST(l_tax AS REAL) AS single, l_discount AS dbl,
        CAST(CAST(NULLIF(l_extendedprice, 1) AS DECIMAL(12, 3)) AS VARCHAR) AS dec,
        l_returnflag AS txt, l_returnflag = 'R' AS flag,
        hex(encode(l_linestatus)) AS bytes,
-       (l_partkey * 86399 - 100000000) * 1000 AS ts,
+       ((l_partkey % 1000000) * 86399 - 100000000) * 1000 AS ts,
        CASE WHEN l_shipdate = TIMESTAMP '1995-01-02' THEN -1
             ELSE CAST(epoch_ms(l_shipdate) AS BIGINT) END AS ntz,
        CAST(epoch_ms(CAST(CAST(l_shipdate AS DATE) - 12000 AS TIMESTAMP)) AS BIGINT) AS dt
@@ -38,7 +38,7 @@ def load_form_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         "CAST(l_linenumber AS TINYINT) AS tiny",
-        "CAST(NULLIF(l_suppkey, 7) AS SMALLINT) AS small",
+        "CAST(NULLIF(l_suppkey % 30000, 7) AS SMALLINT) AS small",
         "l_linenumber AS whole",
         "l_partkey AS big",
         "CAST(l_tax AS FLOAT) AS single",
@@ -47,7 +47,7 @@ def load_form_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag AS txt",
         "l_returnflag = 'R' AS flag",
         "CAST(l_linestatus AS BINARY) AS bytes",
-        "timestamp_seconds(l_partkey * 86399 - 100000000) AS ts",
+        "timestamp_seconds((l_partkey % 1000000) * 86399 - 100000000) AS ts",
         "NULLIF(l_shipdate, TIMESTAMP_NTZ '1995-01-02') AS ntz",
         "date_sub(CAST(l_shipdate AS DATE), 12000) AS dt",
     )
@@ -108,15 +108,16 @@ def load_form_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS width, embedding[1] AS head
-FROM embeddings
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS width, i AS place, embedding[i] AS value
+FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
 """)
 def load_form_untouched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns that are in load form already are passed on as they are."""
     vectors = load_form(_read(spark, sf_dir, "embeddings"))
-    return vectors.select(
-        "vec_id", "label", F.size("embedding").alias("width"), F.col("embedding")[0].alias("head")
+    placed = vectors.select(
+        "vec_id", "label", F.size("embedding").alias("width"), F.posexplode("embedding").alias("at", "value")
     )
+    return placed.select("vec_id", "label", "width", (F.col("at") + 1).cast("long").alias("place"), "value")
 
 
 @query("""
@@ -374,6 +375,43 @@ def merge_union_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT l_orderkey AS k, l_linenumber AS line, l_shipdate AS shipped, CAST(NULL AS VARCHAR) AS status,
+       CAST(NULL AS DOUBLE) AS price, l_linenumber AS in_line, CAST(NULL AS VARCHAR) AS in_status,
+       'UnionShapeError at x' AS too_wide, 'UnionShapeError at x' AS loses_all
+FROM lineitem
+UNION ALL
+SELECT o_orderkey, NULL, NULL, o_orderstatus, o_totalprice, NULL, o_orderstatus,
+       'UnionShapeError at x', 'UnionShapeError at x'
+FROM orders
+""")
+def merge_union_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two shapes become the members of a target, also inside an array."""
+    wh = open_warehouse(spark, sf_dir, "lineitem", "orders")
+    line = "named_struct('line', l_linenumber, 'shipped', l_shipdate)"
+    order = "named_struct('status', o_orderstatus, 'price', o_totalprice)"
+    frames = [
+        wh.read_table("src.lineitem").selectExpr("l_orderkey AS k", f"{line} AS x", f"array({line}) AS a"),
+        wh.read_table("src.orders").selectExpr("o_orderkey AS k", f"{order} AS x", f"array({order}) AS a"),
+    ]
+    first = ("of_line", _struct(("line", T.IntegerType()), ("shipped", T.TimestampNTZType())))
+    second = ("of_order", _struct(("status", T.StringType()), ("price", T.DoubleType())))
+
+    def target(*members: tuple[str, T.DataType]) -> T.StructType:
+        both = _struct(first, second)
+        return _struct(("k", T.LongType()), ("x", _struct(*members)), ("a", T.ArrayType(both)))
+
+    reports = {
+        "too_wide": refusal(lambda: merge_union(frames, target(first, second, ("more", first[1])))),
+        "loses_all": refusal(lambda: merge_union(frames, target(second, first))),
+    }
+    flat = merge_union(frames, target(first, second)).selectExpr(
+        "k", "x.of_line.line AS line", "x.of_line.shipped AS shipped", "x.of_order.status AS status",
+        "x.of_order.price AS price", "a[0].of_line.line AS in_line", "a[0].of_order.status AS in_status",
+    )
+    return flat.withColumns({name: F.lit(kind) for name, kind in reports.items()})
+
+
 @query("""
 SELECT l_orderkey AS k, l_linenumber AS number, CAST(NULL AS VARCHAR) AS words,
        'UnionShapeError at x' AS too_wide, 'TypeMismatchError at x' AS no_struct,

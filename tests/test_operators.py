@@ -3,7 +3,9 @@
 import datetime as dt
 from decimal import Decimal
 
+import duckdb
 import pytest
+from conftest import SF_DIR
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -14,12 +16,15 @@ from stowage.errors import (
     DuplicateColumnError,
     MissingFieldError,
     NamespaceError,
+    SpecError,
     TypeMismatchError,
     UnionShapeError,
     UnsupportedTypeError,
 )
 from stowage.functions.types import same_type
 from stowage.operators.load_form import require_namespaces
+from stowage.plans.registry import REGISTERED
+import stowage.plans  # noqa: F401  (queries register themselves)
 
 INT, LONG, STR, DBL, FLT = (
     T.IntegerType(),
@@ -124,6 +129,43 @@ def test_decimals_keep_their_scale(spark):
     assert values(load_form(df)) == [("1.5", "1.500", ["0.0000000001"])]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_decimals_are_plain_digits_in_any_session(spark, ansi):
+    texts = ["0", "0.00000012", "-0.00000012", "0.000000000000000001", "-1.5", "12345678901234567890.123456789012345678"]
+    big = "9" * 38
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        flat = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("decimal(38,18)").alias("d"))
+        nested = flat.select(
+            F.struct(F.array("d", F.lit(None)).alias("a"), F.create_map(F.lit("k"), "d").alias("m")).alias("s"),
+            F.lit(big).cast("decimal(38,0)").alias("b"), F.lit("0." + big).cast("decimal(38,38)").alias("z"),
+        )
+        got = [r.d for r in load_form(flat).collect()]
+        deep = load_form(nested).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    want = [f"{Decimal(t):.18f}" for t in texts]
+    assert got == want
+    assert [(r.s.a, r.s.m) for r in deep] == [([w, None], {"k": w}) for w in want]
+    assert {(r.b, r.z) for r in deep} == {(big, "0." + big)}
+
+
+@pytest.mark.parametrize("more", [40_000, 200_000_000])
+def test_scalar_query_at_larger_keys(spark, tmp_path, more):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    moved = lines.withColumns({"l_suppkey": F.col("l_suppkey") + more, "l_partkey": F.col("l_partkey") + more})
+    moved.write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    query = REGISTERED["load_form_scalar"]
+    want = con.execute(query.check_sql).df()
+    got = query.run(spark, str(tmp_path)).toPandas()[list(want.columns)]
+    keys = ["l_orderkey", "l_linenumber"]
+    for name in ("small", "big", "ts"):
+        assert (got.sort_values(keys)[name].values == want.sort_values(keys)[name].values).all()
+
+
 def test_null_containers_stay_null(spark):
     df = spark.createDataFrame(
         [
@@ -304,6 +346,69 @@ def test_members_by_target(spark):
     assert sorted(values(out), key=str) == [((1, None),), ((None, "a"),)]
 
 
+A, B = struct(("a", INT)), struct(("b", STR))
+AS_A, AS_B = "named_struct('a', 1) AS x", "named_struct('b', 'q') AS x"
+
+
+def plain(df):
+    """The values of column ``x``, rows as tuples."""
+    def walk(v):
+        if isinstance(v, dict):
+            return {k: walk(w) for k, w in v.items()}
+        return [walk(w) for w in v] if isinstance(v, list) else tuple(map(walk, v)) if isinstance(v, tuple) else v
+
+    return sorted((walk(r.x) for r in df.collect()), key=str)
+
+
+def test_unlike_records_become_members_of_a_target(spark):
+    both = struct(("m0", A), ("m1", B))
+    got = merged(spark, AS_A, AS_B, "CAST(NULL AS STRUCT<a: INT>) AS x", schema=struct(("x", both)))
+    assert plain(got) == [((1,), None), (None, ("q",)), None]
+    arrays = [e.replace("named", "array(named").replace(" AS", ") AS") for e in (AS_A, AS_B)]
+    got = merged(spark, *arrays, schema=struct(("x", T.ArrayType(both))))
+    assert plain(got) == [[((1,), None)], [(None, ("q",))]]
+    maps = [e.replace("named", "map('k', named").replace(" AS", ") AS") for e in (AS_A, AS_B)]
+    got = merged(spark, *maps, schema=struct(("x", T.MapType(STR, both))))
+    assert plain(got) == [{"k": ((1,), None)}, {"k": (None, ("q",))}]
+
+
+@pytest.mark.parametrize(
+    "target",
+    [
+        struct(("m0", A), ("m1", B), ("m2", B)),  # wrong width
+        struct(("m0", A)),
+        struct(("m0", B), ("m1", A)),  # wrong order: each would lose all its fields
+        struct(("c", INT), ("d", STR)),
+        A,  # the second record would lose all its fields
+    ],
+)
+def test_records_never_lose_all_their_fields(spark, target):
+    with pytest.raises(UnionShapeError):
+        merged(spark, AS_A, AS_B, schema=struct(("x", target)))
+
+
+def test_records_with_a_common_field_go_field_by_field_into_a_target(spark):
+    target = struct(("x", struct(("n", LONG), ("a", STR))))
+    got = merged(spark, "named_struct('n', 1, 'a', 'p') AS x", "named_struct('n', 2L) AS x", schema=target)
+    assert sorted(values(got), key=str) == sorted([((1, "p"),), ((2, None),)], key=str)
+
+
+def test_unlike_records_without_a_schema(spark):
+    frames = [spark.sql(f"SELECT {e}, array({e.partition(' AS')[0]}) AS y") for e in (AS_A, AS_B)]
+    assert merge_union(frames).schema.simpleString() == "struct<x:struct<a:int,b:string>,y:array<struct<a:int,b:string>>>"
+    apart = merge_union(frames, records="members")
+    member = "struct<member0:struct<a:int>,member1:struct<b:string>>"
+    assert apart.schema.simpleString() == f"struct<x:{member},y:array<{member}>>"
+    assert plain(apart) == [((1,), None), (None, ("q",))]
+    with pytest.raises(SpecError):
+        merge_union(frames, records="other")
+
+
+def test_names_that_differ_in_case_only(spark):
+    with pytest.raises(DuplicateColumnError):
+        merged(spark, "1 AS A", "2 AS a")
+
+
 def test_widening_pair_may_go_to_a_struct_of_two(spark):
     pair = struct(("i", INT), ("l", LONG))
     out = merged(spark, "1 AS x", "2L AS x", schema=struct(("x", pair)))
