@@ -67,3 +67,7 @@ class PartitioningError(StowageError):
 
 class ReadOnlyTableError(StowageError):
     """The table was not made by a save, so a save does not touch it."""
+
+
+class OverlappingSaveError(StowageError):
+    """The table was replaced while rows were added to what it was; they were taken back."""

@@ -49,6 +49,18 @@ def save_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.read_table("own.customer")
 
 
+@query(f"SELECT *, 'old' AS seen FROM ({CUSTOMER}) UNION ALL SELECT *, 'new' AS seen FROM ({DOUBLED})")
+def save_truncate_old_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame that was loaded before a truncate still gives the rows it was loaded for."""
+    wh = open_warehouse(spark, sf_dir, "customer")
+    plain, doubled = _customers(wh)
+    wh.write_table(plain, "own.customer")
+    old = wh.read_table("own.customer")
+    wh.write_table(doubled, "own.customer", write="truncate")
+    new = wh.read_table("own.customer")
+    return old.withColumn("seen", F.lit("old")).union(new.withColumn("seen", F.lit("new")))
+
+
 @query(f"{CUSTOMER} UNION ALL {DOUBLED}")
 def save_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An append finds columns by name, in whatever order they come."""
@@ -92,7 +104,7 @@ def save_create_never(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The load days, and the part of the events that each takes.
+# The load days, and the part of the events that each takes.
 LOADS = [
     ("20240111", "ts < TIMESTAMP_NTZ '2024-01-11'"),
     ("20240121", "ts >= TIMESTAMP_NTZ '2024-01-11' AND ts < TIMESTAMP_NTZ '2024-01-21'"),
@@ -129,6 +141,36 @@ def save_day_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT event_id, CAST(FLOOR(epoch_us(ts) / 1000) AS BIGINT) AS ts,
+       CASE WHEN {MIDDLE} THEN value * 2 ELSE value END AS value, {LOAD_DAY} AS load_day,
+       'SpecError' AS bad_day, 'SpecError' AS two_days, 'SpecError' AS no_name
+FROM events
+""")
+def save_day_by_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days named by ``$`` in the table id of a reference: three are written, one replaced."""
+    wh = open_warehouse(spark, sf_dir, "events")
+    events = wh.read_table("src.events").select("event_id", "ts", "value")
+
+    def reference(day: str) -> TableSpec:
+        return TableSpec(wh.project, "own", f"events${day}")
+
+    for day, rows in LOADS:
+        wh.write_table(events.filter(rows), reference(day))
+    day, rows = LOADS[1]
+    corrected = events.filter(rows).withColumn("value", F.col("value") * 2)
+    wh.write_table(corrected, reference(day), write="truncate")
+    reports = {
+        "bad_day": refusal(lambda: reference("20240230")),
+        "two_days": refusal(lambda: TableSpec(wh.project, "own", "events$20240111", reference(day).day)),
+        "no_name": refusal(lambda: TableSpec(wh.project, "own", "")),
+    }
+    loaded = wh.read_table(TableSpec(wh.project, "own", "events"), with_day=True)
+    return loaded.withColumnRenamed("_partition_day", "load_day").withColumns(
+        {"load_day": F.col("load_day").cast("string"), **{n: F.lit(kind) for n, kind in reports.items()}}
+    )
+
+
 @query(f"""
 SELECT event_type, COUNT(*) AS n, {exact_sum("value")} AS total
 FROM (SELECT * FROM events WHERE {MIDDLE} UNION ALL SELECT * FROM events) both_loads

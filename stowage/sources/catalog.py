@@ -1,8 +1,8 @@
 """What the catalog knows of a table, and the few statements that change it.
 
 Each save writes its files to a folder of its own and only then points the
-catalog at it, so a failed save changes nothing and a table may be replaced by a
-query on itself. The files are written once: publishing is a catalog update.
+catalog at it, or moves it into the table's, so a failed save changes nothing and a table
+may be replaced by a query on itself. The files are written once: publishing is a catalog update.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -19,13 +20,15 @@ from pyspark.sql import types as T
 
 from stowage.errors import SpecError, TableExistsError
 from stowage.functions.types import loosen
-from stowage.sources.files import qualified
+from stowage.sources.files import child_names, qualified
 from stowage.sources.spec import TableSpec
 
-# The hidden partition column and the table properties in use.
+# The hidden partition column and the table properties in use.
 PARTITION_COLUMN = "_partition_day"
 SAVED_HERE = "stowage.saved"
 EXPIRES_AT = "stowage.expires_at_ms"
+REPLACED = "stowage.replaced."
+_FILES = "__files"
 
 
 def literal(text: str) -> str:
@@ -40,6 +43,8 @@ def day_literal(day: dt.date) -> str:
 # Spark's names of the errors for a name in use.
 _TAKEN = {"TABLE_OR_VIEW_ALREADY_EXISTS", "PARTITIONS_ALREADY_EXIST"}
 
+# Appends are folders within a table's folder.
+_NESTED = "recursiveFileLookup = 'true'"
 _MARK = f"TBLPROPERTIES ({literal(SAVED_HERE)} = 'true')"
 
 
@@ -110,7 +115,40 @@ class Catalog:
 
     def table_folder(self, spec: TableSpec) -> str:
         """Where saves of this table put their folders; no table lies there by default."""
-        return f"{self.schema_folder(spec)}/{spec.table_name}__files"
+        return f"{self.schema_folder(spec)}/{spec.table_name}{_FILES}"
+
+    def note_replaced(self, spec: TableSpec, folder: str, now_ms: int) -> None:
+        """Note when the folder fell out of use, so that it can go after a time of grace."""
+        key = literal(REPLACED + folder.rstrip("/").rpartition("/")[2])
+        self.spark.sql(
+            f"ALTER TABLE {spec.catalog_name} SET TBLPROPERTIES ({key} = {literal(str(now_ms))})"
+        )
+
+    def table_folders(self) -> Iterator[tuple[str, set[str], dict[str, int]]]:
+        """For each folder that saves made for a table: its path, the names of the folders in
+        it that the catalog refers to, and when others were replaced."""
+        for schema in child_names(self.spark, self.root):
+            for name in child_names(self.spark, f"{self.root}/{schema}"):
+                if not name.endswith(_FILES):
+                    continue
+                path = f"{self.root}/{schema}/{name}"
+                table = f"{schema}.{name.removesuffix(_FILES)}"
+                if not self.spark.catalog.tableExists(table):
+                    yield path, set(), {}
+                    continue
+                entry = self._describe(table)
+                used = [entry.get("location", "")]
+                if PARTITION_COLUMN in entry.get("partition_columns", []):
+                    used += [
+                        self._describe(f"{table} PARTITION ({PARTITION_COLUMN} = DATE{literal(r[0].partition('=')[2])})")["location"]
+                        for r in self.spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()
+                    ]
+                replaced = {
+                    key.removeprefix(REPLACED): int(at)
+                    for key, at in entry.get("table_properties", {}).items()
+                    if key.startswith(REPLACED)
+                }
+                yield path, {u.rstrip("/").rpartition("/")[2] for u in used}, replaced
 
     def ensure_schema(
         self, spec: TableSpec, comment: str = "", properties: dict[str, str] | None = None
@@ -126,7 +164,8 @@ class Catalog:
         """A new table over files that are there already."""
         self._create(
             spec,
-            f"({loosen(schema).toDDL()}) USING PARQUET LOCATION {literal(folder)} {_MARK}",
+            f"({loosen(schema).toDDL()}) USING PARQUET OPTIONS ({_NESTED}) "
+            f"LOCATION {literal(folder)} {_MARK}",
         )
 
     def create_by_day(self, spec: TableSpec, schema: T.StructType, folder: str) -> None:

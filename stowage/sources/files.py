@@ -3,38 +3,11 @@
 from __future__ import annotations
 
 import random
+import re
 import time
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Files come out of a job only when all of it has succeeded, and those of a lost task
-# never do, whatever the cluster's default is. A writer option.
-COMMIT_AS_A_WHOLE = ("mapreduce.fileoutputcommitter.algorithm.version", "1")
-
-# The folder in which a job keeps its files until it commits, below the output folder.
-_PENDING = "_temporary"
-
-
-@contextmanager
-def own_pending_folder(spark: SparkSession, path: str) -> Iterator[dict[str, str]]:
-    """Writer options with which several jobs may append to ``path`` at the same time.
-
-    By default all of them share one pending folder, and the first to finish removes
-    it under the others, which then fail or lose rows. Here each job has its own,
-    named by a number, and removes that alone.
-    """
-    number = str(random.randrange(1, 2**31))
-    try:
-        yield {
-            "mapreduce.job.application.attempt.id": number,
-            "mapreduce.fileoutputcommitter.cleanup.skipped": "true",
-        }
-    finally:
-        delete_tree(spark, f"{path}/{_PENDING}/{number}")
-
-
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -51,6 +24,30 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_in(spark: SparkSession, folder: str, parent: str, whole: bool) -> list[str]:
+    """Move ``folder`` into ``parent``; gives the new paths.
+
+    ``whole``: as one folder, by one rename. Otherwise its files go one by one; if one
+    cannot be moved, those that were are removed again.
+    """
+    fs, source = _file_system(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    names = [""] if whole else [n for n in child_names(spark, folder) if not n.startswith("_")]
+    moved = []
+    try:
+        for name in names:
+            here = path(f"{folder}/{name}") if name else source
+            there = f"{parent}/{name or fresh_name()}"
+            if not fs.rename(here, path(there)):
+                raise OSError(f"cannot move {here.toString()} to {there}")
+            moved.append(there)
+    except BaseException:
+        for there in moved:
+            delete_tree(spark, there)
+        raise
+    return moved
+
+
 def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Make ``path`` and have it removed when the session's JVM ends."""
     fs, p = _file_system(spark, path)
@@ -70,3 +67,9 @@ def fresh_name() -> str:
     """Time in milliseconds and a random number; holds no ``=``, which Spark would
     take for a partition folder."""
     return f"{time.time_ns() // 1_000_000}_{random.randrange(2**31)}"
+
+
+def made_at(name: str) -> int | None:
+    """The time in a name that ends in one of ``fresh_name``; None for other names."""
+    found = re.search(r"(\d{13,})_\d+$", name)
+    return int(found[1]) if found else None

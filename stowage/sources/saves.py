@@ -5,19 +5,23 @@ destination         how the files get there
 ==================  =====================================================
 missing             written to a fresh folder, then the table is created over it
 truncate            written to a fresh folder, then the table is pointed at it
-append, empty       written into the table's folder under Spark's job commit
-one day             the same three, on the day's folder
+append, empty       written to a fresh folder, which is then moved whole into the table's
+one day             the same three, on the day's folder; an append moves file by file
 ==================  =====================================================
 
-So every row is written once, a failed save leaves the destination as it was,
-and a table may be replaced by a query on itself. No save shuffles: the frame's
-own partitions become the files. Where the staged files are not Parquet, or the
+So every row is written once, by the cluster's own committer, since nobody sees a fresh
+folder before it is complete; a failed save leaves the destination as it was, and a table
+may be replaced by a query on itself. The move of an append is one rename, which is one
+step on a file system; on an object store, where it copies, and in an append to one day,
+readers may see a part of it, and a driver that dies just then leaves that part.
+No save shuffles: the frame's own partitions become the files. Where the staged files are not Parquet, or the
 caller asks for it, the frame is written to the staging area first and loaded
 from there.
 
-A frame loaded before a truncate still points at the old files; load it again.
-Appends to one table may run at the same time. Of other saves that overlap, one wins
-or fails; they are not coordinated.
+A truncate leaves the old files for frames and queries that were planned before it, and
+notes the time; ``clean_up`` removes them later. Appends to one table may run at the same time. An
+append that finds the table replaced meanwhile takes its rows back and raises an error.
+Of other saves that overlap, one wins or fails; they are not coordinated.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from stowage.errors import (
+    OverlappingSaveError,
     PartitioningError,
     ReadOnlyTableError,
     SchemaMismatchError,
@@ -41,15 +46,19 @@ from stowage.functions.types import require_unique_columns, same_type
 from stowage.operators.load_form import load_form, refuse_nested_arrays, require_namespaces
 from stowage.sources.catalog import PARTITION_COLUMN, Catalog, TableFacts
 from stowage.sources.files import (
-    COMMIT_AS_A_WHOLE,
+    child_names,
     delete_tree,
     fresh_name,
-    own_pending_folder,
+    made_at,
+    move_in,
     qualified,
 )
 from stowage.sources.spec import TableSpec
 
-# The choices a caller has, and the codec of each staged format.
+# Before the name of a folder that is to be moved into a table's; readers pass over it.
+PENDING = "_adding_"
+
+# The choices a caller has, and the codec of each staged format.
 WRITES = ("truncate", "append", "empty")
 CREATES = ("if_needed", "never")
 TYPES = ("load", "spark")
@@ -57,8 +66,9 @@ CODECS = {"avro": "deflate", "orc": "zlib", "parquet": "zstd"}
 
 
 class Saves:
-    def __init__(self, catalog: Catalog, staging_root: str):
+    def __init__(self, catalog: Catalog, staging_root: str, clock: Callable[[], int]):
         self._catalog = catalog
+        self._clock = clock
         self._spark = catalog.spark
         self.staging_root = qualified(self._spark, staging_root)
 
@@ -171,12 +181,37 @@ class Saves:
         elif write == "truncate":
             point = self._catalog.point_day_at if spec.day else self._catalog.point_at
             self._fresh(df, spec, options, lambda folder: point(spec, folder))
+            self._catalog.note_replaced(spec, current, self._clock())
         else:
-            with own_pending_folder(self._spark, current) as pending:
-                _write(df, current, {**options, **pending}, mode="append")
+            self._add(df, spec, current, options)
         self._spark.catalog.refreshTable(spec.catalog_name)
-        if write == "truncate" and current is not None:
-            delete_tree(self._spark, current)
+
+    def _add(
+        self, df: DataFrame, spec: TableSpec, current: str, options: Mapping[str, str]
+    ) -> None:
+        """Write beside the table, then move that into it; take it back if the table moved away."""
+        pending = f"{self._catalog.table_folder(spec)}/{PENDING}{fresh_name()}"
+        try:
+            _write(df, pending, options)
+            # Spark reads no folders below that of a partition, so a day takes files.
+            added = move_in(self._spark, pending, current, whole=spec.day is None)
+        finally:
+            delete_tree(self._spark, pending)
+        if self._catalog.location(spec) != current:
+            for path in added:
+                delete_tree(self._spark, path)
+            raise OverlappingSaveError(f"{spec} was replaced during an append; nothing was added")
+
+    def clean_up(self, now_ms: int, grace_ms: int) -> list[str]:
+        """Remove folders of tables that nothing refers to and that are older than the grace."""
+        gone = []
+        for root, in_use, replaced in self._catalog.table_folders():
+            for name in child_names(self._spark, root):
+                since = replaced.get(name, made_at(name))
+                if name not in in_use and since is not None and since + grace_ms <= now_ms:
+                    delete_tree(self._spark, f"{root}/{name}")
+                    gone.append(f"{root}/{name}")
+        return gone
 
     def _create(self, df: DataFrame, spec: TableSpec, options: Mapping[str, str]) -> None:
         create = self._catalog.create_by_day if spec.day else self._catalog.create_over
@@ -212,10 +247,8 @@ def _write(
     path: str,
     options: Mapping[str, str],
     fmt: str = "parquet",
-    mode: str = "errorifexists",
 ) -> None:
-    writer = df.write.format(fmt).mode(mode).options(**options)
-    writer.option(*COMMIT_AS_A_WHOLE).save(path)
+    df.write.format(fmt).options(**options).save(path)
 
 
 def _parquet_options() -> dict[str, str]:

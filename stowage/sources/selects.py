@@ -18,10 +18,17 @@ from pyspark.sql import types as T
 from stowage.errors import TableNotFoundError, UnsupportedTypeError
 from stowage.functions.types import dotted, require_unique_columns
 from stowage.sources.catalog import EXPIRES_AT, PARTITION_COLUMN, Catalog, day_literal
-from stowage.sources.files import COMMIT_AS_A_WHOLE
-from stowage.sources.spec import TableSpec, escape, resolve_references, unescape
-
-# How long a result lives, and how its table is named.
+from stowage.sources.files import delete_tree
+from stowage.sources.spec import (
+    TableSpec,
+    escape,
+    mentions,
+    resolve_references,
+    unescape,
+    without_closing,
+)
+
+# How long a result lives, and how its table is named.
 LIFETIME_MS = 86_400_000
 STAGING_PREFIX = "stowage_staging_"
 STAGING_COMMENT = "Staged query results"
@@ -87,6 +94,7 @@ class Selects:
         for text, result in list(self._results.items()):
             if result.spec in gone:
                 self._results.pop(text, None)
+                self._locks.pop(text, None)
         return gone
 
     def _spec(self, table: str) -> TableSpec:
@@ -110,7 +118,7 @@ class Selects:
     def _stage(self, sql: str, now_ms: int) -> StagedResult:
         # As a subquery, so that a statement that changes something is refused: it would
         # run on the first call and not on the next.
-        query = self.resolve(sql).rstrip().removesuffix(";")
+        query = self.resolve(without_closing(sql))
         df = self._catalog.spark.sql(f"SELECT * FROM (\n{query}\n)")
         require_unique_columns(df.columns)
         _require_storable(df.schema)
@@ -118,13 +126,13 @@ class Selects:
         stamp = dt.datetime.fromtimestamp(now_ms / 1000, dt.timezone.utc).strftime(TIME_FORMAT)
         spec = self._spec(f"{RESULT_PREFIX}_{stamp}_{random.randrange(2**31)}")
         result = StagedResult(spec, now_ms + LIFETIME_MS)
-        (
-            df.writeTo(spec.catalog_name)
-            .using("parquet")
-            .option(*COMMIT_AS_A_WHOLE)
-            .tableProperty(EXPIRES_AT, str(result.expires_at_ms))
-            .create()
-        )
+        writer = df.writeTo(spec.catalog_name).using("parquet")
+        try:
+            writer.tableProperty(EXPIRES_AT, str(result.expires_at_ms)).create()
+        except BaseException:
+            if not self._catalog.exists(spec):
+                delete_tree(self._catalog.spark, f"{self._catalog.schema_folder(spec)}/{spec.table_name}")
+            raise
         return result
 
     def resolve(self, sql: str) -> str:
@@ -133,7 +141,7 @@ class Selects:
         The partition column of a day-partitioned table stays out of ``*`` unless
         the statement names it.
         """
-        show_day = PARTITION_COLUMN in sql.lower()
+        show_day = mentions(sql, PARTITION_COLUMN)
 
         def relation(text: str) -> str:
             spec = self._parse(text)
@@ -150,7 +158,8 @@ class Selects:
         return resolve_references(sql, relation)
 
 
-_INTERVALS = (T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType)
+# Parquet tables hold the two ANSI intervals, but not this one.
+_INTERVALS = (T.CalendarIntervalType,)
 
 
 def _require_storable(schema: T.StructType) -> None:

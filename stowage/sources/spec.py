@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 from stowage.errors import PartitioningError, SpecError
@@ -28,6 +28,18 @@ class TableSpec:
     table: str
     day: dt.date | None = None
 
+    def __post_init__(self) -> None:
+        """A table id with ``$yyyymmdd`` names a day here too; empty parts are refused."""
+        table, mark, day = self.table.partition("$")
+        if mark:
+            if self.day is not None:
+                raise SpecError(f"{self.table!r} names a day, and day is given as well")
+            object.__setattr__(self, "table", table)
+            object.__setattr__(self, "day", _parse_day(day, f"{table}${day}"))
+        for part, name in (("project", self.project), ("dataset", self.dataset), ("table", self.table)):
+            if not name or not name.strip():
+                raise SpecError(f"the {part} of a table has no name")
+
     @classmethod
     def parse(cls, text: str, default_project: str | None = None) -> TableSpec:
         m = _SPEC.fullmatch(text)
@@ -90,19 +102,45 @@ def unescape(name: str) -> str:
     )
 
 
-# Quoted text and comments come first, so that a bracket inside them is passed over.
+# The tokens of a statement as far as references need them. Quoted text and comments come
+# first, so that nothing inside them is taken for anything else. A raw string knows no escapes.
 _TOKENS = re.compile(
     r"""
-      '(?:[^'\\]|\\.)*'
-    | "(?:[^"\\]|\\.)*"
-    | `[^`]*`
-    | --[^\n]*
-    | /\*.*?\*/
-    | \[(?P<spec>[^\[\]\s]+)\]
+      (?P<text>[rR](?:'[^']*'|"[^"]*") | '(?:[^'\\]|\\.)*' | "(?:[^"\\]|\\.)*")
+    | (?P<quoted>`(?:[^`]|``)*`)
+    | (?P<line>--[^\n]*)
+    | (?P<block>/\*)
+    | (?P<spec>\[[^\[\]\s]+\])
+    | (?P<word>\w+)
+    | (?P<space>\s+)
+    | (?P<sign>.)
     """,
     re.VERBOSE | re.DOTALL,
 )
+_BLOCK_EDGE = re.compile(r"/\*|\*/")
 _BEFORE_A_TABLE = {"FROM", "JOIN", "TABLE"}
+_SILENT = {"line", "block", "space"}
+
+
+def tokens(sql: str) -> Iterator[tuple[str, str]]:
+    """The kind and text of each token of ``sql``; together they are all of it."""
+    at = 0
+    while at < len(sql):
+        m = _TOKENS.match(sql, at)
+        end = _end_of_block(sql, at) if m.lastgroup == "block" else m.end()
+        yield m.lastgroup, sql[at:end]
+        at = end
+
+
+def _end_of_block(sql: str, start: int) -> int:
+    """Where the comment that begins at ``start`` ends; comments may hold comments."""
+    depth, at = 0, start
+    while edge := _BLOCK_EDGE.search(sql, at):
+        depth += 1 if edge[0] == "/*" else -1
+        at = edge.end()
+        if not depth:
+            return at
+    return len(sql)
 
 
 def resolve_references(sql: str, relation: Callable[[str], str]) -> str:
@@ -111,26 +149,36 @@ def resolve_references(sql: str, relation: Callable[[str], str]) -> str:
     Brackets that index an array or a map are left alone: they follow a value,
     or do not hold a spec with a dot.
     """
+    out, before = [], ("sign", "")
+    for kind, text in tokens(sql):
+        if kind == "spec" and _SPEC.fullmatch(text[1:-1]) and not _is_value(*before):
+            out.append(relation(text[1:-1]))
+        else:
+            out.append(text)
+        if kind not in _SILENT:
+            before = (kind, text)
+    return "".join(out)
+
+
+def _is_value(kind: str, text: str) -> bool:
+    """Whether a bracket after this token indexes a value."""
+    if kind == "word":
+        return text.upper() not in _BEFORE_A_TABLE
+    return kind in ("text", "quoted", "spec") or text in (")", "]")
+
+
+def mentions(sql: str, name: str) -> bool:
+    """Whether ``name`` stands in ``sql`` outside of text and comments."""
+    return any(
+        (kind == "word" and text.lower() == name) or (kind == "quoted" and text[1:-1].lower() == name)
+        for kind, text in tokens(sql)
+    )
+
 
-    def swap(m: re.Match) -> str:
-        text = m["spec"]
-        if text is None or not _SPEC.fullmatch(text) or _follows_a_value(sql, m.start()):
-            return m[0]
-        return relation(text)
-
-    return _TOKENS.sub(swap, sql)
-
-
-def _follows_a_value(sql: str, pos: int) -> bool:
-    end = pos
-    while end and sql[end - 1].isspace():
-        end -= 1
-    if not end:
-        return False
-    last = sql[end - 1]
-    if last in ")]`'\"":
-        return True
-    start = end
-    while start and (sql[start - 1].isalnum() or sql[start - 1] == "_"):
-        start -= 1
-    return start < end and sql[start:end].upper() not in _BEFORE_A_TABLE
+def without_closing(sql: str) -> str:
+    """``sql`` without a semicolon at its end, whatever comments and space follow that."""
+    parts = list(tokens(sql))
+    last = max((i for i, (kind, _) in enumerate(parts) if kind not in _SILENT), default=-1)
+    if last >= 0 and parts[last] == ("sign", ";"):
+        del parts[last]
+    return "".join(text for _, text in parts)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stowage.errors import TableNotFoundError
 from stowage.sources.catalog import Catalog
 from stowage.sources.saves import Saves
-from stowage.sources.selects import STAGING_PREFIX, Selects, StagedResult
+from stowage.sources.selects import LIFETIME_MS, STAGING_PREFIX, Selects, StagedResult
 from stowage.sources.spec import TableSpec
 
 
@@ -46,7 +46,9 @@ class Warehouse:
         self._selects = Selects(
             self._catalog, self.spec, project, location, staging_prefix, staging_dataset
         )
-        self._saves = Saves(self._catalog, staging_root or f"{self._catalog.root}/_staged_files")
+        self._saves = Saves(
+            self._catalog, staging_root or f"{self._catalog.root}/_staged_files", clock
+        )
 
     @property
     def staging_root(self) -> str:
@@ -123,6 +125,15 @@ class Warehouse:
         """
         self._saves.save(df, self.spec(table), write, create, options, fmt, types, staged)
 
+    def clean_up(self, now_ms: int, grace_ms: int = LIFETIME_MS) -> list[str]:
+        """Remove what truncates and broken saves left behind; gives the folders removed.
+
+        A folder goes if no table refers to it, once ``grace_ms`` have passed since it was
+        replaced, or since it was made if nothing notes that. No query or save may last
+        longer than the grace.
+        """
+        return self._saves.clean_up(now_ms, grace_ms)
+
     def load_staged(
         self,
         path: str,

@@ -1,7 +1,9 @@
 """Loading, selecting and saving: the rules one by one, on small frames."""
 
+import datetime as dt
 import os
 import threading
+import uuid
 
 import pytest
 from conftest import SF_DIR
@@ -14,6 +16,7 @@ from stowage.errors import (
     DuplicateColumnError,
     NamespaceError,
     NestedArrayError,
+    OverlappingSaveError,
     PartitioningError,
     ReadOnlyTableError,
     SchemaMismatchError,
@@ -23,6 +26,7 @@ from stowage.errors import (
     TableNotFoundError,
     UnsupportedTypeError,
 )
+from stowage.sources import saves
 from stowage.sources.files import child_names
 
 DAY_MS = 86_400_000
@@ -127,6 +131,7 @@ def test_failed_select_leaves_no_result(warehouse):
         with pytest.raises(Exception, match="no"):
             warehouse.run_select(text)
     assert warehouse.staged_results() == []
+    assert child_names(warehouse.spark, warehouse._catalog.schema_folder(warehouse._selects._spec("any"))) == []
 
 
 def test_same_text_in_two_threads_runs_once(warehouse):
@@ -143,8 +148,9 @@ def test_refused_results(warehouse):
     with pytest.raises(DuplicateColumnError):
         warehouse.run_select("SELECT 1 AS a, 2 AS A")
     with pytest.raises(UnsupportedTypeError):
-        warehouse.run_select("SELECT INTERVAL '1' DAY AS i")
+        warehouse.run_select("SELECT make_interval(1) AS i")
     assert warehouse.staged_results() == []
+    assert warehouse.run_select("SELECT INTERVAL '1' DAY AS i").first().i == dt.timedelta(days=1)
 
 
 def test_views_can_be_read(spark, warehouse, frame):
@@ -166,6 +172,11 @@ def test_views_can_be_read(spark, warehouse, frame):
         "FROM [ds.t] SELECT n",
         "VALUES (1), (2)",
         "SELECT n FROM [ds.t] /* one */ UNION ALL SELECT 3 WHERE false",
+        "SELECT n FROM -- all rows\n[ds.t]",
+        "SELECT n FROM [ds.t] WHERE r'\\' = r'\\' AND 'a' = 'a'",
+        "SELECT n FROM [ds.t]; -- done",
+        "SELECT n FROM [ds.t]; /* a /* nested */ note */ ",
+        "SELECT /* [ds.x] /* [ds.y] */ ' */ n FROM /* here */ [ds.t]",
     ],
 )
 def test_forms_of_a_select(warehouse, frame, sql):
@@ -294,10 +305,73 @@ def test_failed_save_changes_nothing(spark, warehouse, frame, staged):
     assert child_names(spark, warehouse.staging_root) == []
 
 
-def test_truncate_keeps_one_folder(spark, warehouse, frame):
-    for _ in range(3):
-        warehouse.write_table(frame, "ds.t", write="truncate")
-    assert len(folders(spark, warehouse, "ds.t")) == 1
+@pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
+def test_replaced_folders_go_after_their_grace(spark, tmp_path, frame, table):
+    now = 10 * DAY_MS
+    wh = Warehouse(spark, str(tmp_path), f"t-{uuid.uuid4().hex}", clock=lambda: now)
+    wh.write_table(frame, table)
+    old = wh.read_table(table)
+    for _ in range(2):
+        wh.write_table(frame.limit(1), table, write="truncate")
+    assert len(folders(spark, wh, table)) == 3
+    # A frame of days looks their folders up when it runs, one of a plain table when it is made.
+    assert rows(old) == ([(1, "a"), (2, "b")] if table == "ds.t" else [(1, "a")])
+    assert wh.clean_up(now + DAY_MS - 1) == []
+    assert len(wh.clean_up(now + DAY_MS)) == 2
+    assert len(folders(spark, wh, table)) == 1
+    assert rows(wh.read_table(table)) == [(1, "a")]
+    assert wh.clean_up(now + 99 * DAY_MS) == []
+
+
+def test_folders_that_nothing_refers_to_go(spark, warehouse, frame):
+    warehouse.write_table(frame, "ds.t")
+    root = warehouse._catalog.table_folder(warehouse.spec("ds.t"))
+    for name in ("1700000000000_5", "_adding_1700000000001_6", "somebody_elses"):
+        frame.write.parquet(f"{root}/{name}")
+    gone = warehouse.clean_up(1_700_000_000_000 + DAY_MS)
+    assert [g.rpartition("/")[2] for g in gone] == ["1700000000000_5"]
+    gone = warehouse.clean_up(1_700_000_000_001 + DAY_MS)
+    assert [g.rpartition("/")[2] for g in gone] == ["_adding_1700000000001_6"]
+    assert rows(warehouse.read_table("ds.t")) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
+def test_broken_commit_of_an_append_adds_nothing(spark, warehouse, frame, monkeypatch, table):
+    warehouse.write_table(frame, table)
+    before = folders(spark, warehouse, table)
+
+    def fail(*_, **__):
+        raise RuntimeError("file system is away")
+
+    monkeypatch.setattr(saves, "move_in", fail)
+    with pytest.raises(RuntimeError, match="file system is away"):
+        warehouse.write_table(frame, table)
+    assert rows(warehouse.read_table(table)) == [(1, "a"), (2, "b")]
+    assert folders(spark, warehouse, table) == before
+    monkeypatch.undo()
+    warehouse.write_table(frame, table)
+    assert warehouse.read_table(table).count() == 4
+    assert child_names(spark, f"{warehouse._catalog.location(warehouse.spec(table))}/_temporary") == []
+
+
+@pytest.mark.parametrize("table", ["ds.t", "ds.d$20240101"])
+def test_append_that_meets_a_truncate_takes_its_rows_back(spark, warehouse, frame, monkeypatch, table):
+    warehouse.write_table(frame, table)
+    old = warehouse._catalog.location(warehouse.spec(table))
+    move = saves.move_in
+
+    def truncate_first(*args, **how):
+        monkeypatch.setattr(saves, "move_in", move)
+        warehouse.write_table(frame.limit(1), table, write="truncate")
+        return move(*args, **how)
+
+    before = child_names(spark, old)
+    monkeypatch.setattr(saves, "move_in", truncate_first)
+    with pytest.raises(OverlappingSaveError):
+        warehouse.write_table(frame, table)
+    assert rows(warehouse.read_table(table)) == [(1, "a")]
+    assert child_names(spark, old) == before
+    assert len(folders(spark, warehouse, table)) == 2  # the table's, and the replaced one in its grace
 
 
 @pytest.mark.parametrize("fmt", ["orc", "parquet"])
@@ -431,7 +505,10 @@ def test_days(spark, warehouse, frame):
     assert warehouse.read_table("ds.d$20240101").count() == 0
     assert warehouse.read_table("ds.d$20991231").count() == 0
     assert warehouse.read_table("ds.d").columns == ["n", "s"]
+    assert len(folders(spark, warehouse, "ds.d")) == 4
+    warehouse.clean_up(2**62)
     assert len(folders(spark, warehouse, "ds.d")) == 2
+    assert per_day() == {"2024-01-02": 2}
     with pytest.raises(PartitioningError):
         warehouse.write_table(frame, "ds.d")
     warehouse.write_table(frame, "ds.plain")
@@ -443,6 +520,21 @@ def test_days(spark, warehouse, frame):
             call()
 
 
+def test_day_by_reference(warehouse, frame):
+    for day in ("20240103", "20240104"):
+        warehouse.write_table(frame, TableSpec(warehouse.project, "own", f"ev${day}"))
+    assert warehouse.table_exists("own.ev")
+    assert warehouse.read_table("own.ev").count() == 4
+    assert warehouse.read_table(TableSpec(warehouse.project, "own", "ev$20240104")).count() == 2
+
+
+def test_the_day_column_in_text_stays_hidden(warehouse, frame):
+    warehouse.write_table(frame, "own.ev$20240103")
+    for sql in ("SELECT * FROM [own.ev] -- _partition_day", "SELECT * FROM [own.ev] WHERE '_partition_day' <> s"):
+        assert warehouse.run_select(sql).columns == ["n", "s"]
+    assert warehouse.run_select("SELECT * FROM [own.ev] WHERE `_partition_day` IS NOT NULL").columns == ["n", "s", "_partition_day"]
+
+
 def test_required_columns_become_nullable(spark, warehouse):
     strict = spark.range(3).selectExpr("id")
     warehouse.write_table(strict, "ds.t")
