@@ -207,22 +207,49 @@ def select_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUBQUERY = f"""
 WITH per_segment AS (
-  SELECT c_mktsegment, COUNT(*) AS n, SUM({cents("c_acctbal")}) AS total
-  FROM [src.customer] GROUP BY c_mktsegment
+  SELECT map_from_entries(collect_list(struct(c_mktsegment, struct(n, total)))) AS of FROM (
+    SELECT c_mktsegment, COUNT(*) AS n, SUM({cents("c_acctbal")}) AS total
+    FROM [src.customer] WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment)
 )
-SELECT c_custkey, c.c_mktsegment, c_acctbal FROM [src.customer] c
-JOIN per_segment s ON s.c_mktsegment = c.c_mktsegment
-WHERE {cents("c_acctbal")} * n > total
+SELECT c_custkey, c_mktsegment, c_acctbal FROM (
+  SELECT *, (SELECT of FROM per_segment)[c_mktsegment] AS mine FROM [src.customer])
+WHERE {cents("c_acctbal")} * mine.n > mine.total
   AND c_nationkey IN (SELECT n_nationkey FROM [src.nation] WHERE n_regionkey <> 0)
 """
 
 
-@query(without_brackets(SUBQUERY))
+@query(f"""
+WITH per_segment AS (
+  SELECT c_mktsegment, COUNT(*) AS n, SUM({cents("c_acctbal")}) AS total
+  FROM customer GROUP BY c_mktsegment
+)
+SELECT c_custkey, c.c_mktsegment, c_acctbal FROM customer c
+JOIN per_segment s ON s.c_mktsegment = c.c_mktsegment
+WHERE {cents("c_acctbal")} * n > total
+  AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
+""")
 def select_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers above the mean balance of their segment: a CTE and a subquery."""
+    """Customers above the mean balance of their segment: a CTE and two subqueries.
+
+    The sums of all segments come to each task as one map, so customers stay where they are.
+    """
     return open_warehouse(spark, sf_dir, "customer", "nation").run_select(SUBQUERY)
 
 
+COMMENTED = """
+SELECT -- [src.nowhere] is no table here; it's a comment
+  r'\\' AS back, '_partition_day' AS word, o_orderkey, o_orderstatus /* a /* nested */ note */
+FROM -- all orders
+  [src.orders] WHERE 'a' = 'a'; -- done
+"""
+
+
+@query("SELECT '\\' AS back, '_partition_day' AS word, o_orderkey, o_orderstatus FROM orders")
+def select_with_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments beside references, a raw string, and a note after the closing semicolon."""
+    return open_warehouse(spark, sf_dir, "orders").run_select(COMMENTED)
+
+
 # -- the result cache ---------------------------------------------------------
 
 STATUS = f"""

@@ -86,6 +86,21 @@ def test_sums_are_partial_before_each_shuffle(spark):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_customers_are_not_dealt_out_by_their_few_segments(spark):
+    """With broadcasts off, only partial sums move by segment."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh = open_warehouse(spark, SF_DIR, "customer", "nation")
+        tree = spark.sql(wh._selects.resolve(selects.SUBQUERY))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [i for i, line in enumerate(tree.splitlines()) if "hashpartitioning(c_mktsegment" in line]
+    assert moved
+    for i in moved:
+        assert "partial_" in tree.splitlines()[i + 1]
+
+
 def test_no_cross_joins(spark):
     for sql in (selects.SEMI_ANTI, selects.SETOPS):
         text = statement(spark, sql, "orders", "customer")

@@ -5,7 +5,14 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from stowage.errors import PartitioningError, SpecError
-from stowage.sources.spec import TableSpec, escape, resolve_references, unescape
+from stowage.sources.spec import (
+    TableSpec,
+    escape,
+    mentions,
+    resolve_references,
+    unescape,
+    without_closing,
+)
 
 
 def test_parse_full():
@@ -80,7 +87,47 @@ def _mark(sql):
         ("SELECT 'it\\'s [ds.t]'", "SELECT 'it\\'s [ds.t]'"),
         ("SELECT 1 -- [ds.t]\nFROM [ds.t]", "SELECT 1 -- [ds.t]\nFROM <ds.t>"),
         ("/* [ds.t]\n */ FROM [ds.t]", "/* [ds.t]\n */ FROM <ds.t>"),
+        ("FROM -- all rows\n[ds.t]", "FROM -- all rows\n<ds.t>"),
+        ("SELECT r'\\' s FROM [ds.t] WHERE 'a' = 'a'", "SELECT r'\\' s FROM <ds.t> WHERE 'a' = 'a'"),
+        ('SELECT R"\\" s FROM [ds.t]', 'SELECT R"\\" s FROM <ds.t>'),
+        ("/* a /* [ds.u] */ [ds.v] */ FROM [ds.t]", "/* a /* [ds.u] */ [ds.v] */ FROM <ds.t>"),
+        ("SELECT a /* x */ [t.i], a -- y\n[t.i] FROM [ds.t]", "SELECT a /* x */ [t.i], a -- y\n[t.i] FROM <ds.t>"),
+        ("FROM [ds.t] /* never closed [ds.u]", "FROM <ds.t> /* never closed [ds.u]"),
     ],
 )
 def test_references_in_sql(sql, want):
     assert _mark(sql) == want
+
+
+@pytest.mark.parametrize("bad", ["t$2024", "t$20240230", "t$", "$20240103", "", " "])
+def test_references_check_their_parts(bad):
+    with pytest.raises(SpecError):
+        TableSpec("p", "ds", bad)
+
+
+def test_reference_with_a_day():
+    assert TableSpec("p", "ds", "t$20240103") == TableSpec("p", "ds", "t", dt.date(2024, 1, 3))
+    with pytest.raises(SpecError):
+        TableSpec("p", "ds", "t$20240103", dt.date(2024, 1, 3))
+    for names in (("", "ds"), ("p", "")):
+        with pytest.raises(SpecError):
+            TableSpec(*names, "t")
+
+
+@pytest.mark.parametrize(
+    "sql, want",
+    [
+        ("SELECT 1;", "SELECT 1"),
+        ("SELECT 1; -- done", "SELECT 1 -- done"),
+        ("SELECT ';' -- ;", "SELECT ';' -- ;"),
+        ("SELECT 1 /* ; */", "SELECT 1 /* ; */"),
+        ("", ""),
+    ],
+)
+def test_closing_semicolon(sql, want):
+    assert without_closing(sql) == want
+
+
+def test_mentions_are_those_outside_text():
+    assert mentions("SELECT A_b", "a_b") and mentions("SELECT `a_b`", "a_b")
+    assert not any(mentions(s, "a_b") for s in ("SELECT 'a_b'", "SELECT 1 -- a_b", "/* a_b */ SELECT a_bc"))
