@@ -11,6 +11,7 @@ import __spark_entry__
 import corpus_pipeline
 from stowage.llm.queries import CHECK_SQL, QUERIES
 from tests.conftest import SF_DIR
+from tests.llm.conftest import ODD
 from tests.llm.test_corpus_lookups import expected_repeats, words_of
 from tests.llm.test_near_duplicates import classes_by_hand
 
@@ -100,6 +101,19 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
         assert docs.collect() == []
 
 
+def test_pipeline_of_odd_rows(spark, documents):
+    """Nulls, blanks, long texts, repeated rows and columns that clash pass every stage."""
+    docs = documents(*ODD, (50, "plain words of one more text, twice", None), (50, "plain words of one more text, twice", None))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.columns == columns
+    rows = docs.collect()
+    assert {r.doc_id for r in rows} <= {d for d, _ in ODD} | {50}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+    assert sum(r.length for r in packed) == sum(len(words_of(r.text)) for r in rows)
+
+
 def test_run_gives_what_the_stages_give(spark, stages):
     got = Counter(tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).collect())
     assert got == Counter(tuple(r) for r in stages[0][5])
