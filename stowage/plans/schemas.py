@@ -376,12 +376,12 @@ def merge_union_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey AS k, l_linenumber AS line, l_shipdate AS shipped, CAST(NULL AS VARCHAR) AS status,
-       CAST(NULL AS DOUBLE) AS price, l_linenumber AS in_line, CAST(NULL AS VARCHAR) AS in_status,
+SELECT l_orderkey AS k, l_linenumber AS line, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped,
+       CAST(NULL AS VARCHAR) AS status, -1.0::DOUBLE AS price, l_linenumber AS in_line, CAST(NULL AS VARCHAR) AS in_status,
        'UnionShapeError at x' AS too_wide, 'UnionShapeError at x' AS loses_all
 FROM lineitem
 UNION ALL
-SELECT o_orderkey, NULL, NULL, o_orderstatus, o_totalprice, NULL, o_orderstatus,
+SELECT o_orderkey, -1, NULL, o_orderstatus, o_totalprice, -1, o_orderstatus,
        'UnionShapeError at x', 'UnionShapeError at x'
 FROM orders
 """)
@@ -406,8 +406,13 @@ def merge_union_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "loses_all": refusal(lambda: merge_union(frames, target(second, first))),
     }
     flat = merge_union(frames, target(first, second)).selectExpr(
-        "k", "x.of_line.line AS line", "x.of_line.shipped AS shipped", "x.of_order.status AS status",
-        "x.of_order.price AS price", "a[0].of_line.line AS in_line", "a[0].of_order.status AS in_status",
+        "k",
+        "COALESCE(x.of_line.line, -1) AS line",
+        "CAST(CAST(x.of_line.shipped AS DATE) AS STRING) AS shipped",
+        "x.of_order.status AS status",
+        "COALESCE(x.of_order.price, -1.0D) AS price",
+        "COALESCE(a[0].of_line.line, -1) AS in_line",
+        "a[0].of_order.status AS in_status",
     )
     return flat.withColumns({name: F.lit(kind) for name, kind in reports.items()})
 

@@ -28,6 +28,7 @@ PARTITION_COLUMN = "_partition_day"
 SAVED_HERE = "stowage.saved"
 EXPIRES_AT = "stowage.expires_at_ms"
 REPLACED = "stowage.replaced."
+_EXPIRY = re.compile(rf"[\[ ]{re.escape(EXPIRES_AT)}=(\d+)[,\]]")
 _FILES = "__files"
 
 
@@ -96,14 +97,13 @@ class Catalog:
             return None
         return self._describe(f"{spec.catalog_name} {part}")["location"]
 
-    def properties(self, spec: TableSpec) -> dict[str, str]:
-        return self._describe(spec.catalog_name).get("table_properties", {})
-
-    def table_names(self, schema_name: str) -> list[str]:
+    def expiries(self, schema_name: str) -> dict[str, int]:
+        """The time at which each table of a schema expires, of those that do; one statement."""
         if not self.spark.catalog.databaseExists(schema_name):
-            return []
-        rows = self.spark.sql(f"SHOW TABLES IN {schema_name}").collect()
-        return sorted(r.tableName for r in rows if not r.isTemporary)
+            return {}
+        rows = self.spark.sql(f"SHOW TABLE EXTENDED IN {schema_name} LIKE '*'").toLocalIterator()
+        found = {r.tableName: _EXPIRY.search(r.information) for r in rows if not r.isTemporary}
+        return {name: int(at[1]) for name, at in sorted(found.items()) if at}
 
     def _describe(self, what: str) -> dict:
         return json.loads(self.spark.sql(f"DESCRIBE TABLE EXTENDED {what} AS JSON").first()[0])

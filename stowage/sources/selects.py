@@ -78,13 +78,12 @@ class Selects:
 
     def staged(self) -> list[StagedResult]:
         """Every staged result in the catalog, also those of earlier sessions."""
-        specs = [
-            self._spec(unescape(name))
-            for name in self._catalog.table_names(self._spec("any").schema_name)
+        found = self._catalog.expiries(self._spec("any").schema_name)
+        return [
+            StagedResult(self._spec(unescape(name)), at)
+            for name, at in found.items()
             if name.startswith(escape(f"{RESULT_PREFIX}_"))
         ]
-        found = [(spec, self._catalog.properties(spec).get(EXPIRES_AT)) for spec in specs]
-        return [StagedResult(spec, int(at)) for spec, at in found if at is not None]
 
     def expire(self, now_ms: int) -> list[TableSpec]:
         """Drop the staged results whose time is up, files included."""
