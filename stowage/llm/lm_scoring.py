@@ -2,7 +2,9 @@
 
 Count tables of n-grams of each order up to three are held partitioned by hash. The
 n-grams of every document are sent to the tables by block (see ``blocks``), joined
-there by key, and the scores of a document's words are summed in its block.
+there by key, and the scores of a document's words are summed in its block. Words and
+pairs go first. A triple that stands in another document has both its pairs there, so only
+triples of which both pairs are known elsewhere are sent and counted.
 
 Each document is scored by the counts of **all other** documents: its own n-grams are
 taken off first. Otherwise each n-gram would be found at the highest order, and scores
@@ -10,9 +12,9 @@ would say nothing. A word's score is ``c(a b w) / c(a b)`` if that n-gram was se
 else 0.4 times the score with one word of context less; at last ``c(w) / N``, where a
 word never seen counts as seen once.
 
-N-grams are told apart by a hash of ``40 + log2(buckets)`` bits: in a corpus of n
-n-grams a given one meets another by chance with probability n / 2^(40 + log2 buckets),
-and buckets grow with n.
+N-grams are told apart by hashes of 48 bits and those that name one of the buckets, of
+which there is one for a million n-grams: whatever the size of the corpus, a given n-gram
+meets another by chance with a probability of about 2^-28.
 """
 
 from __future__ import annotations
@@ -43,44 +45,97 @@ def score_documents(docs: DataFrame) -> DataFrame:
     without an id. An empty table gives no rows.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.45, width=5, block_bytes=4 << 20)
+    layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.2, width=6, block_bytes=4 << 20)
     blocks = B.with_blocks(docs, layout)
 
-    def send(table: pa.Table) -> pa.Table:
-        keys, counts = _distinct(np.concatenate(_keys(table, layout)[1]))
-        return B.cells(table[B.BLOCK][0].as_py(), keys, counts.astype(np.uint32), layout)
+    def send_pairs(table: pa.Table) -> pa.Table:
+        return B.cells(table[B.BLOCK][0].as_py(), *_distinct(_Grams(table, layout).lower), layout)
 
-    def resolve(table: pa.Table) -> pa.Table:
-        bucket = B.Bucket(table, np.uint32)
-        bucket.extra = bucket.extra.astype(np.uint64)
-        return bucket.answers(bucket.per_key(np.add), B.planes)
+    def send_triples(table: pa.Table, answers: pa.Table) -> pa.Table:
+        grams = _Grams(table, layout)
+        grams.hear(answers)
+        return B.cells(table[B.BLOCK][0].as_py(), *_distinct(grams.triples()), layout)
+
+    def count(kind: int):
+        def resolve(table: pa.Table) -> pa.Table:
+            bucket = B.Bucket(table, np.uint32)
+            bucket.extra = bucket.extra.astype(np.uint64)
+            return bucket.answers(bucket.per_key(np.add), B.planes, kind)
+
+        return resolve
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        words, keys = _keys(table, layout)
-        every = np.concatenate(keys)
-        distinct, _ = _distinct(every)
-        totals = B.answer_to(distinct, answers, 0, layout, lambda a, n: B.from_planes(a, np.int64))
-        return _scores(table["doc_id"], words, keys, distinct, totals)
+        grams = _Grams(table, layout)
+        grams.hear(answers)
+        grams.hear_triples(answers)
+        return _scores(table["doc_id"], grams)
 
-    return B.meet(blocks, B.reply(B.ask(blocks, send), resolve), finish, SCHEMA)
+    pairs = B.reply(B.ask(blocks, send_pairs), count(1))
+    triples = B.reply(B.meet(blocks, pairs, send_triples, B.CELLS), count(2))
+    return B.meet(blocks, pairs.unionByName(triples), finish, SCHEMA)
 
 
-def _keys(table: pa.Table, layout: B.Layout):
-    """The words, and the cut keys of all n-grams of each order; last the key of each word's presence."""
-    words = space_words(table["text"])
-    h = words.hashes()
-    keys = []
-    for n in range(1, ORDER + 1):
-        k = windows(h, n)
-        keys.append(layout.cut(k[words.rows[: len(k)] == words.rows[n - 1 :]] if len(k) else k))
-    keys.append(np.repeat(layout.cut(ALL_WORDS), max(len(words), 1)))
-    return words, keys
+class _Grams:
+    """The n-grams of a block's texts, and what is known of how often they stand elsewhere.
+
+    ``seen[k][i]``: how often the (k + 1)-gram that ends at word ``i`` stands in other rows.
+    """
+
+    def __init__(self, table: pa.Table, layout: B.Layout):
+        self.layout = layout
+        self.words = words = space_words(table["text"])
+        h = words.hashes()
+        self.place = np.arange(len(words)) - np.repeat(words.bounds[:-1], words.counts)
+        self.ends = [self.place >= k for k in range(ORDER)]
+        self.keys = []
+        for k in range(ORDER):
+            runs = windows(h, k + 1)
+            self.keys.append(layout.cut(runs[np.flatnonzero(self.ends[k]) - k] if len(runs) else runs))
+        self.presence = layout.cut(ALL_WORDS)[0]
+        self.seen = [np.zeros(len(words), np.int64) for _ in range(ORDER)]
+        self.all_words = 0
+
+    @property
+    def lower(self) -> np.ndarray:
+        """The keys of all words and pairs, and that of a word's presence, once a word."""
+        return np.concatenate([*self.keys[: ORDER - 1], np.full(max(len(self.words), 1), self.presence)])
+
+    def hear(self, answers: pa.Table) -> None:
+        distinct, _ = _distinct(self.lower)
+        totals = B.answer_to(distinct, answers, 1, self.layout, _numbers)
+        if len(self.words):
+            self.all_words = int(totals[np.searchsorted(distinct, self.presence)])
+        for k in range(ORDER - 1):
+            self._note(k, self.ends[k], self.keys[k], distinct, totals)
+
+    def known(self) -> np.ndarray:
+        """Words that end a triple of which both pairs stand elsewhere."""
+        pair = self.seen[ORDER - 2] > 0
+        return self.ends[ORDER - 1] & pair & np.concatenate([[False], pair[:-1]])
+
+    def triples(self) -> np.ndarray:
+        return self.keys[ORDER - 1][self.known()[self.ends[ORDER - 1]]]
+
+    def hear_triples(self, answers: pa.Table) -> None:
+        keys = self.triples()
+        distinct, _ = _distinct(keys)
+        if len(distinct):
+            self._note(ORDER - 1, self.known(), keys, distinct, B.answer_to(distinct, answers, 2, self.layout, _numbers))
+
+    def _note(self, k: int, ends: np.ndarray, keys: np.ndarray, distinct: np.ndarray, totals: np.ndarray) -> None:
+        if ends.any():
+            self.seen[k][ends] = _others(keys, self.words.rows[ends], distinct, totals)
+
+
+def _numbers(answer: bytes, _: int) -> np.ndarray:
+    return B.from_planes(answer, np.int64)
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each is there."""
     keys = np.sort(keys)
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.diff(np.append(first, len(keys)))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys))).astype(np.uint32)
 
 
 def _others(keys: np.ndarray, rows: np.ndarray, distinct: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -95,24 +150,16 @@ def _others(keys: np.ndarray, rows: np.ndarray, distinct: np.ndarray, totals: np
     return out
 
 
-def _scores(ids, words, keys, distinct, totals) -> pa.Table:
-    n_rows, n = len(words.counts), len(words)
-    counts = words.counts
-    every = int(totals[np.searchsorted(distinct, keys[-1][0])]) if n else 0
-    place = np.arange(n) - np.repeat(words.bounds[:-1], counts)
-    seen = []  # seen[k][i]: how often the (k + 1)-gram that ends at word i stands elsewhere
-    for k in range(ORDER):
-        full = np.zeros(n, np.int64)
-        ends = place >= k
-        if ends.any():
-            full[ends] = _others(keys[k], words.rows[ends], distinct, totals)
-        seen.append(full)
-    rest = np.maximum(every - counts, 1)
+def _scores(ids, grams: _Grams) -> pa.Table:
+    words, place, seen = grams.words, grams.place, grams.seen
+    n_rows, counts = len(words.counts), words.counts
+    rest = np.maximum(grams.all_words - counts, 1)
     log = np.log(np.maximum(seen[0], 1)) - np.log(np.repeat(rest, counts))
     log += np.log(BACKOFF) * np.minimum(place, ORDER - 1)
-    level = np.ones(n, np.int64)
+    level = np.ones(len(words), np.int64)
     for k in range(1, ORDER):
         hit = np.flatnonzero(seen[k] > 0)
+        hit = hit[seen[k - 1][hit - 1] > 0]  # always so, but for hashes that meet by chance
         log[hit] = np.log(seen[k][hit] / seen[k - 1][hit - 1])
         log[hit] += np.log(BACKOFF) * (np.minimum(place[hit], ORDER - 1) - k)
         level[hit] = k + 1

@@ -63,7 +63,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def _remove(docs: DataFrame, schema, give) -> DataFrame:
     size = B.text_bytes(docs)
     anchors = B.Layout.of(size, keys_per_byte=0.08, width=5)
-    runs = B.Layout.of(size, keys_per_byte=0.08, width=7)
+    runs = B.Layout.of(size, keys_per_byte=0.08, width=8)
     blocks = B.with_blocks(docs, anchors)
 
     def send_anchors(table: pa.Table) -> pa.Table:
