@@ -6,8 +6,8 @@ key's upper bits name; a bucket sees all keys of its range and answers each bloc
 key that a third of all documents hold costs one entry per block, and both blocks and
 buckets have a bounded size: their numbers follow the input.
 
-The keys of one block in one bucket (a *cell*) travel as one row of sorted, fixed-width
-numbers, under four bytes a key of 40 bits. Answers are in the order of the cell, and the block
+The keys of one block in one bucket (a *cell*) travel as one row, sorted, as the steps from
+one to the next. Answers are in the order of the cell, and the block
 finds them by sorting its keys again. Nothing depends on the order of rows.
 """
 
@@ -22,6 +22,7 @@ import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The column that names a row's block. Inputs must not have one of this name.
 BLOCK = "__block"
@@ -35,7 +36,7 @@ class Layout:
 
     blocks: int
     bits: int  # buckets: 2 ** bits
-    width: int  # bytes of a key in a bucket
+    width: int  # bytes of a key that are kept, beside those that name its bucket
 
     @classmethod
     def of(cls, text_bytes: int, keys_per_byte: float, width: int,
@@ -60,8 +61,26 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def with_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
-    """Deal rows by their id and text, so that rows without an id spread as well."""
-    return docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(layout.blocks)))
+    """Deal rows by their id and text, so that rows without an id spread as well.
+
+    The texts are compressed one by one: each moves once, and lies there until the end.
+    """
+    dealt = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(layout.blocks)))
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in dealt.schema.fields]
+    return dealt.mapInArrow(_close, T.StructType(fields))
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    coder = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [None if t is None else coder.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.binary()))
+
+
+def _open(table: pa.Table) -> pa.Table:
+    coder = zstandard.ZstdDecompressor()
+    texts = [None if t is None else coder.decompress(t) for t in table["text"].to_pylist()]
+    return table.set_column(table.schema.get_field_index("text"), "text", pa.array(texts, pa.binary()).cast(pa.string()))
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -144,9 +163,12 @@ def answer_to(keys: np.ndarray, answers: pa.Table, kind: int, layout: Layout,
     return np.concatenate([decode(by[b].as_py(), n) for b, n in zip(buckets.tolist(), np.diff(edges).tolist(), strict=True)])
 
 
-def ask(blocks: DataFrame, send: Callable[[pa.Table], Iterator[pa.Table]]) -> DataFrame:
+def ask(blocks: DataFrame, send: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """Run ``send`` on each block's rows; gives rows of CELLS."""
-    return blocks.groupBy(BLOCK).applyInArrow(send, CELLS)
+    def run(table: pa.Table) -> pa.Table:
+        return send(_open(table))
+
+    return blocks.groupBy(BLOCK).applyInArrow(run, CELLS)
 
 
 def reply(sent: DataFrame, resolve: Callable[[pa.Table], pa.Table]) -> DataFrame:
@@ -156,5 +178,8 @@ def reply(sent: DataFrame, resolve: Callable[[pa.Table], pa.Table]) -> DataFrame
 
 def meet(blocks: DataFrame, answers: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
     """Run ``finish`` on each block's rows and the answers it got."""
-    return blocks.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(finish, schema)
+    def run(table: pa.Table, heard: pa.Table) -> pa.Table:
+        return finish(_open(table), heard)
+
+    return blocks.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(run, schema)
 
