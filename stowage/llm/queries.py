@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stowage.llm.best_fit_packing import pack_documents
 from stowage.llm.collision_counting import near_vectors
+from stowage.llm.conversation_repair import damage, digest_repairs, repair_conversations
 from stowage.llm.cross_polytope import nearest
+from stowage.llm.fim_frames import digest_outputs, fill_in_middle, store_frames
 from stowage.llm.license_scan import BASE, TEMPLATES, scan_licenses, template_regex
 from stowage.llm.lm_scoring import score_documents
+from stowage.llm.piece_agenda import encode_and_decode
 from stowage.llm.prob_minhash import near_duplicates
 from stowage.llm.quality_crf import score_quality
 from stowage.llm.shared import find_package, scratch_root
@@ -215,3 +219,109 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, by a model fitted on the labels that are not held out."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+h AS (
+    SELECT *, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) % (len(u) + 1) AS one, CAST('0x' || x[9:16] AS BIGINT) % (len(u) + 1) AS two,
+        CAST('0x' || x[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || x[25:32] AS BIGINT) % 100 AS h4 FROM d),
+c AS (
+    SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 50 THEN 'plain'
+            WHEN h4 < 80 THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(u[1:least(one, two)], '') AS p, array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS m,
+        array_to_string(u[greatest(one, two) + 1:], '') AS s FROM h)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM c
+""")
+def op11_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its fill-in-the-middle form, and rebuilt from that."""
+    store = store_frames(table(spark, sf_dir, "documents"), f"{scratch_root(spark)}/frames")
+    return digest_outputs(fill_in_middle(store))
+
+
+def _repair_sql() -> str:
+    """The same recurrence from the last row to the first, with whole audits and texts for each state."""
+    after = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    gives = [("user", 2), ("user", 2), ("assistant", 3), ("user", 2)]
+
+    def way(edit: str, cost: str, then: str, line: str = "") -> str:
+        lines = f"list_prepend({line}, {then}.l)" if line else f"{then}.l"
+        return f"{{'c': {cost} + {then}.c, 'a': '{edit}' || {then}.a, 'l': {lines}}}"
+
+    def direct(state: int) -> str:
+        keeps = " ".join(f"WHEN '{i}' THEN {way('K', 'x', f'v{to}', 'role || chr(58) || text')}" for i, to in after[state].items())
+        role, to = gives[state]
+        kept = f"CASE WHEN fault IN (0, 3) THEN CASE left(role, 1) {keeps} END END"
+        other = f"CASE WHEN fault IN (0, 3) THEN {way('R', '3 + x', f'v{to}', f'{chr(39)}{role}:{chr(39)} || text')} END"
+        return f"list_min(list_filter([{way('D', '4', f'v{state}')}, {kept}, {other}], lambda w: w IS NOT NULL))"
+
+    def with_insert(state: int, then: str) -> str:
+        return f"list_min([b{state}, {way('I', '3', f'{then}{gives[state][1]}', f'{chr(39)}{gives[state][0]}:{chr(39)}')}])"
+
+    empty = "CAST([] AS VARCHAR[])"
+    return rf"""
+WITH RECURSIVE k AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(
+        string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: CAST(ascii(ch) AS BIGINT)) AS bytes
+    FROM conversations),
+h AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: list_reduce(
+        [xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295::BIGINT) % 20 AS kind FROM k),
+hurt AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+r AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM hurt),
+r2 AS (
+    SELECT *, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM r),
+f AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN nth > 1 THEN 2
+        WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault FROM r2),
+s AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+        count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+dp AS (
+    SELECT conv_id, n + 1 AS i, {{'c': 0, 'a': '', 'l': {empty}}} AS v0, {{'c': 6, 'a': 'II', 'l': ['user:', 'assistant:']}} AS v1,
+        {{'c': 3, 'a': 'I', 'l': ['assistant:']}} AS v2, {{'c': 0, 'a': '', 'l': {empty}}} AS v3 FROM s
+    UNION ALL
+    SELECT conv_id, i, {with_insert(0, 'e')} AS v0, {with_insert(1, 'e')} AS v1, e2 AS v2, e3 AS v3 FROM (
+        SELECT *, {with_insert(2, 'b')} AS e2, {with_insert(3, 'b')} AS e3 FROM (
+            SELECT conv_id, i, {direct(0)} AS b0, {direct(1)} AS b1, {direct(2)} AS b2, {direct(3)} AS b3 FROM (
+                SELECT f.conv_id, f.i, f.role, f.text, f.fault, CASE WHEN f.fault = 3 THEN 3 ELSE 0 END AS x, v0, v1, v2, v3
+                FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i - 1))))
+SELECT o.conv_id, CAST(coalesce(s.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(s.blank, 0) AS BIGINT) AS blank,
+    CAST(coalesce(s.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(s.truncated, 0) AS BIGINT) AS truncated,
+    CAST(coalesce(s.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(dp.v0.c, 0) AS BIGINT) AS cost,
+    coalesce(dp.v0.a, '') AS audit, sha256(coalesce(array_to_string(dp.v0.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM o.conv_id AND dp.i = 1
+"""
+
+
+@query(_repair_sql())
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation, after planting faults in them."""
+    rows = table(spark, sf_dir, "conversations")
+    audits = digest_repairs(repair_conversations(damage(rows)))
+    return audits.withColumn("conv", F.col("conv").cast(rows.schema["conv_id"].dataType)).withColumnRenamed("conv", "conv_id")
+
+
+@query()
+def op13_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and what they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = encode_and_decode(table(spark, sf_dir, "documents"), path)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -18,7 +18,7 @@ from tests.llm.test_near_duplicates import classes_by_hand
 
 def test_each_operator_has_its_query():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14)) and len(names) == 13
     assert "pipeline" in __spark_entry__.queries()
     assert set(CHECK_SQL) <= set(__spark_entry__.oracle_sql())
 
@@ -26,7 +26,7 @@ def test_each_operator_has_its_query():
 @pytest.mark.parametrize("name", sorted(CHECK_SQL))
 def test_query_gives_the_rows_of_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     want = con.execute(CHECK_SQL[name]).df()
     got = QUERIES[name](spark, SF_DIR).toPandas()
