@@ -34,15 +34,46 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from stowage.llm.text import ODD, STEP, mix, slices
 
 #: Texts are encoded in batches of about this size.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 #: Stretches of more symbols than this get a heap.
 IN_STEP = 48
 SPACE = 0x2581
 CODE_POINTS = 0x110000
-NEVER = np.int64(2**62)
+NEVER = np.int32(2**31 - 1)
+LAST = np.int64(2**62)
 SCHEMA = "doc_id long, ids binary, decoded string"
 
 
+class PairTable:
+    """Numbers for pairs of symbols, found for whole arrays of pairs, by open addressing."""
+
+    def __init__(self, numbers: dict[tuple[int, int], int]):
+        self._shift = np.uint64(64 - max(4, (4 * len(numbers)).bit_length()))
+        self._keys = np.full(1 << (64 - int(self._shift)), -1, np.int64)
+        self._numbers = np.zeros(len(self._keys), np.int32)
+        for (left, right), number in numbers.items():
+            key = np.array([(left << 21) | right], np.int64)
+            slot = int(self._slots(key)[0])
+            while self._keys[slot] >= 0:
+                slot = (slot + 1) % len(self._keys)
+            self._keys[slot], self._numbers[slot] = key[0], number
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * ODD) >> self._shift).view(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each pair, and whether it has one."""
+        keys = (left.astype(np.int64) << 21) | right
+        slots = self._slots(keys)
+        held = self._keys[slots]
+        more = np.flatnonzero((held != keys) & (held >= 0))
+        while len(more):
+            slots[more] = (slots[more] + 1) & (len(self._keys) - 1)
+            held[more] = self._keys[slots[more]]
+            more = more[(held[more] != keys[more]) & (held[more] >= 0)]
+        return self._numbers[slots], held == keys
+
+
 class MergeModel:
     """A merge-type vocabulary: its pieces, and which pairs of symbols make one.
 
@@ -73,43 +104,41 @@ class MergeModel:
         self._starts = np.cumsum(self._lengths) - self._lengths
         self._spaced = np.array([p.type == kinds.NORMAL and p.piece.startswith(chr(SPACE)) for p in proto.pieces])
         # The symbol of each character, and the characters that stand side by side in a piece.
-        self.symbols = np.arange(CODE_POINTS) + self.size
+        self.symbols = np.arange(CODE_POINTS, dtype=np.int32) + np.int32(self.size)
         for piece, i in normal.items():
             if len(piece) == 1:
                 self.symbols[ord(piece)] = i
         beside = {(a, b) for piece in normal for a, b in zip(piece, piece[1:], strict=False)}
         self.parts_at_space = not any(b == chr(SPACE) != a for a, b in beside)
-        self._beside = np.sort(np.array([self._key(ord(a), ord(b)) for a, b in beside] or [0], np.int64))
+        self._beside = PairTable({(ord(a), ord(b)): 1 for a, b in beside})
         self._merges(normal, [p.score for p in proto.pieces])
 
-    @staticmethod
-    def _key(left, right):
-        return (left << 21) | right
-
     def _merges(self, normal: dict[str, int], scores: list[float]) -> None:
-        """The pairs that make a piece, sorted, with the piece and the rank of its score."""
+        """The pairs that make a piece, with the piece and the rank of its score."""
         rank = {s: r for r, s in enumerate(sorted({scores[i] for i in normal.values()}, reverse=True))}
-        found = []
+        #: For each pair of symbols: the rank of the piece they make, and that piece.
+        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for piece, i in normal.items():
             for k in range(1, len(piece)):
                 sides = [self._symbol(s, normal) for s in (piece[:k], piece[k:])]
                 if None not in sides:
-                    found.append((self._key(*sides), i, rank[scores[i]]))
-        found.sort()
-        self.pairs, self.makes, self.ranks = (np.array(c, np.int64) for c in zip(*found or [(0, 0, 0)], strict=True))
-        self.table = {k: (r, m) for k, m, r in found}
+                    self.merges[tuple(sides)] = rank[scores[i]], i
+        self._pairs = PairTable({pair: i for pair, (_, i) in self.merges.items()})
+        self._rank = np.full(self.size, NEVER, np.int32)
+        for i in normal.values():
+            self._rank[i] = rank[scores[i]]
 
     def _symbol(self, text: str, normal: dict[str, int]) -> int | None:
         return normal.get(text, int(self.symbols[ord(text)]) if len(text) == 1 else None)
 
     def beside(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether some piece holds these characters side by side."""
-        return _find(self._beside, self._key(left, right))[1]
+        return self._beside.find(left, right)[1]
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of pairs of symbols; rank ``NEVER`` where they make none."""
-        at, found = _find(self.pairs, self._key(left, right))
-        return np.where(found, self.ranks[at], NEVER), self.makes[at]
+        piece, found = self._pairs.find(left, right)
+        return np.where(found, self._rank[piece], NEVER), piece
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids. Bytes that are no UTF-8 become U+FFFD one by one."""
@@ -132,11 +161,6 @@ def _refuse_unlike(proto) -> None:
         raise ValueError("only vocabularies that leave texts as they are, with marked white space before words")
 
 
-def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
-
-
 def _lenient(raw: bytes) -> str:
     try:
         return raw.decode()
@@ -165,7 +189,7 @@ def encode_batch(texts: list[str], model: MergeModel) -> tuple[np.ndarray, np.nd
     """The ids of all texts, one after the other, and where each text's begin and the last's end."""
     spaced = [(" " + t if t and model.dummy_prefix else t).replace(" ", chr(SPACE)) for t in texts]
     lengths = np.array([len(t) for t in spaced], np.int64)
-    points = np.frombuffer("".join(spaced).encode("utf-32-le"), np.uint32).astype(np.int64)
+    points = np.frombuffer("".join(spaced).encode("utf-32-le"), np.int32)
     if not len(points):
         return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
     offsets = np.concatenate([[0], np.cumsum(lengths)])
@@ -189,7 +213,7 @@ def encode_batch(texts: list[str], model: MergeModel) -> tuple[np.ndarray, np.nd
 
 def _hashes(points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     place = np.arange(len(points)) - np.repeat(starts, sizes)
-    each = mix(points.astype(np.uint64) * ODD + mix(place.astype(np.uint64) + STEP))
+    each = mix(points.astype(np.uint64) * ODD + place.astype(np.uint64) * STEP)
     return mix(np.add.reduceat(each, starts) + sizes.astype(np.uint64))
 
 
@@ -219,21 +243,21 @@ def _encode_parts(points: np.ndarray, sizes: np.ndarray, model: MergeModel) -> t
 
 def _merge_in_step(symbols: np.ndarray, left: np.ndarray, starts: np.ndarray, lengths: np.ndarray, model: MergeModel) -> None:
     """Take the best pair of every stretch's agenda until all are empty; changes both arrays."""
-    at = _ranges(starts, lengths)  # where each symbol still there lies
+    at = _ranges(starts, lengths).astype(np.int32)  # where each symbol still there lies
     now = symbols[at]
     last = np.zeros(len(at), bool)
     last[np.cumsum(lengths) - 1] = True
     rank = np.full(len(at), NEVER)
-    makes = np.zeros(len(at), np.int64)
+    makes = np.zeros(len(at), np.int32)
     inner = np.flatnonzero(~last)
     rank[inner], makes[inner] = model.look_up(now[inner], now[inner + 1])
     while len(at):
         begins = np.flatnonzero(np.concatenate([[True], last[:-1]]))
         sizes = np.diff(np.append(begins, len(at)))
         # By rank, then by place: the agenda's order.
-        order = np.where(rank < NEVER, (rank << 32) + np.arange(len(at)), NEVER)
+        order = np.where(rank < NEVER, (rank.astype(np.int64) << 32) + np.arange(len(at)), LAST)
         best = np.minimum.reduceat(order, begins)
-        going = best < NEVER
+        going = best < LAST
         done = ~np.repeat(going, sizes)
         symbols[at[done]] = now[done]
         pick = best[going] & 0xFFFFFFFF
@@ -263,7 +287,7 @@ def _merge_by_heap(symbols: np.ndarray, left: np.ndarray, start: int, end: int,
     agenda: list[tuple[int, int, int, int]] = []
 
     def enter(i: int, j: int) -> None:
-        found = model.table.get(model._key(now[i], now[j]))
+        found = model.merges.get((now[i], now[j]))
         if found:
             heapq.heappush(agenda, (found[0], i, now[i], now[j]))
 
@@ -274,7 +298,7 @@ def _merge_by_heap(symbols: np.ndarray, left: np.ndarray, start: int, end: int,
         j = after[i]
         if now[i] != a or j >= n or now[j] != b:
             continue  # one of the two has been merged since
-        now[i] = model.table[model._key(a, b)][1]
+        now[i] = model.merges[a, b][1]
         now[j] = -1
         after[i] = after[j]
         if after[i] < n:
@@ -318,10 +342,11 @@ def encode_and_decode(docs: DataFrame, model_path: str, bos: bool = True, eos: b
         for batch in slices(batches, "text", BATCH_BYTES):
             texts = batch.column("text").to_pylist()
             ids = checked(texts, batch.column("doc_id"), model, bos, eos)
+            decoded = checked_texts(ids, batch.column("doc_id"), model)
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"),
                 "ids": pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
-                "decoded": pa.array([_decoded(i, model) for i in ids], pa.string()),
+                "decoded": pa.array(decoded, pa.string()),
             })
 
     text = F.coalesce(docs["text"], F.lit("")).alias("text")
@@ -333,8 +358,7 @@ def checked(texts: list[str], names: pa.Array, model: MergeModel, bos: bool, eos
     flat, bounds = encode_batch(texts, model)
     head, tail = [model.bos] * bos, [model.eos] * eos
     out = []
-    for row, want in enumerate(model.library.encode(texts, add_bos=bos, add_eos=eos, num_threads=1)):
-        want = np.array(want, np.int64)
+    for row, want in enumerate(model.library.encode(texts, out_type="numpy", add_bos=bos, add_eos=eos, num_threads=1)):
         got = np.concatenate([head, flat[bounds[row] : bounds[row + 1]], tail]).astype(np.int64)
         if not np.array_equal(got, want):
             got = np.concatenate([head, encode_alone(texts[row], model), tail]).astype(np.int64)
@@ -356,8 +380,10 @@ def encode_alone(text: str, model: MergeModel) -> np.ndarray:
     return _with_bytes(symbols, np.array([0, len(symbols)]), model)[0]
 
 
-def _decoded(ids: np.ndarray, model: MergeModel) -> str:
-    text = model.decode(ids)
-    if text != model.library.decode(ids.tolist()):
-        raise ValueError("a text decoded from ids differs from the library's")
-    return text
+def checked_texts(ids: list[np.ndarray], names: pa.Array, model: MergeModel) -> list[str]:
+    """The text that each list of ids decodes to, the same as the library's."""
+    texts = [model.decode(i) for i in ids]
+    for row, want in enumerate(model.library.decode([i.tolist() for i in ids], num_threads=1)):
+        if texts[row] != want:
+            raise ValueError(f"the decoded text of document {names[row]} differs from the library's")
+    return texts
