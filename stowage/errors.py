@@ -70,4 +70,4 @@ class ReadOnlyTableError(StowageError):
 
 
 class OverlappingSaveError(StowageError):
-    """The table was replaced while rows were added to what it was; they were taken back."""
+    """Another save changed the destination meanwhile; this one has changed nothing."""

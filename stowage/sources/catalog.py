@@ -27,9 +27,9 @@ from stowage.sources.spec import TableSpec
 PARTITION_COLUMN = "_partition_day"
 SAVED_HERE = "stowage.saved"
 EXPIRES_AT = "stowage.expires_at_ms"
-REPLACED = "stowage.replaced."
+LINE = "stowage.line"
 _EXPIRY = re.compile(rf"[\[ ]{re.escape(EXPIRES_AT)}=(\d+)[,\]]")
-_FILES = "__files"
+_FILES, _RECORD = "__files", "__record"
 
 
 def literal(text: str) -> str:
@@ -46,7 +46,10 @@ _TAKEN = {"TABLE_OR_VIEW_ALREADY_EXISTS", "PARTITIONS_ALREADY_EXIST"}
 
 # Appends are folders within a table's folder.
 _NESTED = "recursiveFileLookup = 'true'"
-_MARK = f"TBLPROPERTIES ({literal(SAVED_HERE)} = 'true')"
+
+
+def _mark(line: str) -> str:
+    return f"TBLPROPERTIES ({literal(SAVED_HERE)} = 'true', {literal(LINE)} = {literal(line)})"
 
 
 @dataclass(frozen=True)
@@ -57,6 +60,7 @@ class TableFacts:
     location: str | None
     by_day: bool
     writable: bool
+    line: str | None
 
 
 class Catalog:
@@ -79,11 +83,13 @@ class Catalog:
             return None
         self.spark.catalog.refreshTable(spec.catalog_name)
         entry = self._describe(spec.catalog_name)
+        properties = entry.get("table_properties", {})
         return TableFacts(
             spec.catalog_name,
             entry.get("location"),
             PARTITION_COLUMN in entry.get("partition_columns", []),
-            entry.get("table_properties", {}).get(SAVED_HERE) == "true",
+            properties.get(SAVED_HERE) == "true",
+            properties.get(LINE),
         )
 
     def location(self, spec: TableSpec) -> str | None:
@@ -117,38 +123,18 @@ class Catalog:
         """Where saves of this table put their folders; no table lies there by default."""
         return f"{self.schema_folder(spec)}/{spec.table_name}{_FILES}"
 
-    def note_replaced(self, spec: TableSpec, folder: str, now_ms: int) -> None:
-        """Note when the folder fell out of use, so that it can go after a time of grace."""
-        key = literal(REPLACED + folder.rstrip("/").rpartition("/")[2])
-        self.spark.sql(
-            f"ALTER TABLE {spec.catalog_name} SET TBLPROPERTIES ({key} = {literal(str(now_ms))})"
-        )
+    def record_folder(self, spec: TableSpec) -> str:
+        """Where the record of what was published of this table lies, a folder for each line."""
+        return f"{self.schema_folder(spec)}/{spec.table_name}{_RECORD}"
 
-    def table_folders(self) -> Iterator[tuple[str, set[str], dict[str, int]]]:
-        """For each folder that saves made for a table: its path, the names of the folders in
-        it that the catalog refers to, and when others were replaced."""
+    def saved_tables(self) -> Iterator[tuple[str, str]]:
+        """The folder of the files and that of the record of every table that saves made here,
+        whether this session's catalog knows it or not."""
         for schema in child_names(self.spark, self.root):
             for name in child_names(self.spark, f"{self.root}/{schema}"):
-                if not name.endswith(_FILES):
-                    continue
-                path = f"{self.root}/{schema}/{name}"
-                table = f"{schema}.{name.removesuffix(_FILES)}"
-                if not self.spark.catalog.tableExists(table):
-                    yield path, set(), {}
-                    continue
-                entry = self._describe(table)
-                used = [entry.get("location", "")]
-                if PARTITION_COLUMN in entry.get("partition_columns", []):
-                    used += [
-                        self._describe(f"{table} PARTITION ({PARTITION_COLUMN} = DATE{literal(r[0].partition('=')[2])})")["location"]
-                        for r in self.spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()
-                    ]
-                replaced = {
-                    key.removeprefix(REPLACED): int(at)
-                    for key, at in entry.get("table_properties", {}).items()
-                    if key.startswith(REPLACED)
-                }
-                yield path, {u.rstrip("/").rpartition("/")[2] for u in used}, replaced
+                if name.endswith(_FILES):
+                    path = f"{self.root}/{schema}/{name}"
+                    yield path, path.removesuffix(_FILES) + _RECORD
 
     def ensure_schema(
         self, spec: TableSpec, comment: str = "", properties: dict[str, str] | None = None
@@ -160,22 +146,22 @@ class Catalog:
             + (f" WITH DBPROPERTIES ({props})" if props else "")
         )
 
-    def create_over(self, spec: TableSpec, schema: T.StructType, folder: str) -> None:
+    def create_over(self, spec: TableSpec, schema: T.StructType, folder: str, line: str) -> None:
         """A new table over files that are there already."""
         self._create(
             spec,
             f"({loosen(schema).toDDL()}) USING PARQUET OPTIONS ({_NESTED}) "
-            f"LOCATION {literal(folder)} {_MARK}",
+            f"LOCATION {literal(folder)} {_mark(line)}",
         )
 
-    def create_by_day(self, spec: TableSpec, schema: T.StructType, folder: str) -> None:
+    def create_by_day(self, spec: TableSpec, schema: T.StructType, folder: str, line: str) -> None:
         """A new table partitioned by day, with one day over files that are there already."""
         day = T.StructField(PARTITION_COLUMN, T.DateType())
         columns = T.StructType([*loosen(schema).fields, day]).toDDL()
         self._create(
             spec,
             f"({columns}) USING PARQUET PARTITIONED BY ({PARTITION_COLUMN}) "
-            f"LOCATION {literal(self.table_folder(spec))} {_MARK}",
+            f"LOCATION {literal(self.table_folder(spec))} {_mark(line)}",
         )
         try:
             self.add_day(spec, folder)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import time
+import urllib.parse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -24,28 +28,67 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def move_in(spark: SparkSession, folder: str, parent: str, whole: bool) -> list[str]:
-    """Move ``folder`` into ``parent``; gives the new paths.
-
-    ``whole``: as one folder, by one rename. Otherwise its files go one by one; if one
-    cannot be moved, those that were are removed again.
-    """
+def move_in(spark: SparkSession, folder: str, parent: str) -> str:
+    """Move ``folder`` into ``parent`` under a fresh name, by one rename; gives the new path."""
     fs, source = _file_system(spark, folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    names = [""] if whole else [n for n in child_names(spark, folder) if not n.startswith("_")]
-    moved = []
+    there = f"{parent}/{fresh_name()}"
+    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(there)):
+        raise OSError(f"cannot move {folder} to {there}")
+    return there
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with ``text``; False, and no change, where there is one already. One step."""
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.getScheme() == "file":
+        # Hadoop's local file system looks first and creates then, which is two steps.
+        local = urllib.parse.unquote(urllib.parse.urlparse(fs.makeQualified(p).toUri().toString()).path)
+        mine = f"{os.path.dirname(local)}/.{fresh_name()}"
+        with open(mine, "x", encoding="utf-8") as out:
+            out.write(text)
+        try:
+            os.link(mine, local)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(mine)
+        return True
     try:
-        for name in names:
-            here = path(f"{folder}/{name}") if name else source
-            there = f"{parent}/{name or fresh_name()}"
-            if not fs.rename(here, path(there)):
-                raise OSError(f"cannot move {here.toString()} to {there}")
-            moved.append(there)
-    except BaseException:
-        for there in moved:
-            delete_tree(spark, there)
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
         raise
-    return moved
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _file_system(spark, path)
+    data = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8")
+    finally:
+        data.close()
+
+
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and length of each data file below ``path``, without those that readers pass over."""
+    fs, p = _file_system(spark, path)
+    found, todo = [], [p]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            if status.getPath().getName().startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                todo.append(status.getPath())
+            else:
+                found.append((status.getPath().toString(), status.getLen()))
+    return sorted(found)
 
 
 def delete_at_exit(spark: SparkSession, path: str) -> None:

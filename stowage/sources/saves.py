@@ -4,30 +4,40 @@
 destination         how the files get there
 ==================  =====================================================
 missing             written to a fresh folder, then the table is created over it
-truncate            written to a fresh folder, then the table is pointed at it
+truncate            written to a fresh folder, then the table or day is pointed at it
 append, empty       written to a fresh folder, which is then moved whole into the table's
-one day             the same three, on the day's folder; an append moves file by file
+append to a day     the day's rows and the new ones are written to a fresh folder, then the
+                    day is pointed at it
 ==================  =====================================================
 
-So every row is written once, by the cluster's own committer, since nobody sees a fresh
-folder before it is complete; a failed save leaves the destination as it was, and a table
-may be replaced by a query on itself. The move of an append is one rename, which is one
-step on a file system; on an object store, where it copies, and in an append to one day,
-readers may see a part of it, and a driver that dies just then leaves that part.
+Rows are written by the cluster's own committer, since nobody sees a fresh folder before it
+is complete; a failed save leaves the destination as it was, and a table may be replaced by
+a query on itself. The move of an append is one rename, which is one step on a file system;
+on an object store, where it copies, readers may see a part of it. An append to a day writes
+that day's rows anew, so that readers see all of it or nothing, on any store.
 No save shuffles: the frame's own partitions become the files. Where the staged files are not Parquet, or the
 caller asks for it, the frame is written to the staging area first and loaded
 from there.
 
-A truncate leaves the old files for frames and queries that were planned before it, and
-notes the time; ``clean_up`` removes them later. Appends to one table may run at the same time. An
-append that finds the table replaced meanwhile takes its rows back and raises an error.
-Of other saves that overlap, one wins or fails; they are not coordinated.
+Data is written first; then the save takes its turn (``publishing``), in which it compares what
+there is with what it started from, and changes the catalog:
+
+* a truncate finds any other change: it is refused, so no append that succeeded is lost;
+* ``empty`` finds any other change: it looks again whether there are rows;
+* an append finds the table or day replaced: it is refused. Appends to a table go one after
+  the other; one to a day that finds another is written again over the new rows.
+
+What was replaced stays for frames and queries that were planned before; ``clean_up`` removes it
+later, by the record of what was published alone, so it may run in any session.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -53,10 +63,15 @@ from stowage.sources.files import (
     move_in,
     qualified,
 )
+from stowage.sources.publishing import WHOLE, Record, Turn
 from stowage.sources.spec import TableSpec
 
 # Before the name of a folder that is to be moved into a table's; readers pass over it.
 PENDING = "_adding_"
+# How often a save looks anew that finds others' changes.
+TRIES = 10
+# The line of tables whose catalog entry names none; their folders are never cleaned up.
+NO_LINE = "none"
 
 # The choices a caller has, and the codec of each staged format.
 WRITES = ("truncate", "append", "empty")
@@ -65,9 +80,27 @@ TYPES = ("load", "spark")
 CODECS = {"avro": "deflate", "orc": "zlib", "parquet": "zstd"}
 
 
+class _MovedOn(Exception):
+    """Others have changed the destination since it was looked at."""
+
+
+@dataclass(frozen=True)
+class _Found:
+    """What a save starts from: the table, and the number of its last change."""
+
+    facts: TableFacts
+    record: Record
+    number: int
+
+
+def _unit(spec: TableSpec) -> str:
+    return f"{spec.day:%Y%m%d}" if spec.day else WHOLE
+
+
 class Saves:
     def __init__(self, catalog: Catalog, staging_root: str, clock: Callable[[], int]):
         self._catalog = catalog
+        self._day_locks: dict[TableSpec, threading.Lock] = {}
         self._clock = clock
         self._spark = catalog.spark
         self.staging_root = qualified(self._spark, staging_root)
@@ -91,17 +124,17 @@ class Saves:
         out = _outgoing(df, types)
         if fmt == "avro":
             require_namespaces(out.schema, options.get("recordNamespace", ""))
-        facts = self._check(out.schema, spec, write, create)
+        found = self._check(out.schema, spec, write, create)
         if staged is None:
             staged = fmt != "parquet"
         if not staged:
-            self._publish(out, spec, facts, write, options)
+            self._publish(out, spec, found, write, options)
             return
         path = f"{self.staging_root}/{fresh_name()}"
         try:
             _write(out, path, options, fmt)
             self._publish(
-                self._staged_files(path, fmt, out.schema), spec, facts, write, _parquet_options()
+                self._staged_files(path, fmt, out.schema), spec, found, write, _parquet_options()
             )
         finally:
             delete_tree(self._spark, path)
@@ -119,8 +152,8 @@ class Saves:
         write, create = _dispositions(write, create)
         _require_choice("format", fmt, CODECS)
         out = _outgoing(self._staged_files(path, fmt, None), types)
-        facts = self._check(out.schema, spec, write, create)
-        self._publish(out, spec, facts, write, _parquet_options())
+        found = self._check(out.schema, spec, write, create)
+        self._publish(out, spec, found, write, _parquet_options())
 
     def _staged_files(self, path: str, fmt: str, schema: T.StructType | None) -> DataFrame:
         reader = self._spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}")
@@ -130,7 +163,7 @@ class Saves:
 
     def _check(
         self, schema: T.StructType, spec: TableSpec, write: str, create: str
-    ) -> TableFacts | None:
+    ) -> _Found | None:
         facts = self._catalog.facts(spec)
         if facts is None:
             if create == "never":
@@ -142,9 +175,15 @@ class Saves:
         if facts.by_day and spec.day is None:
             raise PartitioningError(f"{spec} is partitioned by day; add $yyyymmdd")
         _require_same_columns(schema, self._catalog.frame(facts, None).schema, spec)
+        record = self._record(spec, facts.line or NO_LINE)
+        # Read before the rows are looked at: a change between the two is seen later.
+        found = _Found(facts, record, record.last_done(_unit(spec)))
         if write == "empty" and not self._catalog.frame(facts, spec.day).isEmpty():
             raise TableNotEmptyError(f"{spec} holds rows and write is 'empty'")
-        return facts
+        return found
+
+    def _record(self, spec: TableSpec, line: str) -> Record:
+        return Record(self._spark, f"{self._catalog.record_folder(spec)}/{line}", self._clock)
 
     # -- publishing ----------------------------------------------------------
 
@@ -152,96 +191,164 @@ class Saves:
         self,
         df: DataFrame,
         spec: TableSpec,
-        facts: TableFacts | None,
+        found: _Found | None,
         write: str,
         options: Mapping[str, str],
     ) -> None:
-        try:
-            if facts is None:
-                self._create(df, spec, options)
-            else:
-                self._into_existing(df, spec, facts, write, options)
-        except TableExistsError:
-            # Someone else made the table or the day meanwhile: save into that.
-            facts = self._check(df.schema, spec, write, "never")
-            self._into_existing(df, spec, facts, write, options)
+        for _ in range(TRIES):
+            try:
+                if found is None:
+                    self._create(df, spec, options)
+                else:
+                    self._into_existing(df, spec, found, write, options)
+                return
+            except TableExistsError as e:
+                # Someone else made the table or the day meanwhile: save into that.
+                if write == "truncate":
+                    raise _overlapping(spec) from e
+            except _MovedOn:
+                pass
+            found = self._check(df.schema, spec, write, "never")
+        raise _overlapping(spec)
 
     def _into_existing(
         self,
         df: DataFrame,
         spec: TableSpec,
-        facts: TableFacts,
+        found: _Found,
         write: str,
         options: Mapping[str, str],
     ) -> None:
-        df = df.select(*[column(n) for n in self._catalog.frame(facts, None).columns])
-        current = self._catalog.location(spec)
-        if current is None:
-            self._fresh(df, spec, options, lambda folder: self._catalog.add_day(spec, folder))
-        elif write == "truncate":
-            point = self._catalog.point_day_at if spec.day else self._catalog.point_at
-            self._fresh(df, spec, options, lambda folder: point(spec, folder))
-            self._catalog.note_replaced(spec, current, self._clock())
+        df = df.select(*[column(n) for n in self._catalog.frame(found.facts, None).columns])
+        if spec.day is None:
+            if write == "truncate":
+                self._fresh(df, spec, found, write, options, self._catalog.point_at)
+            else:
+                self._add(df, spec, found, write, options)
         else:
-            self._add(df, spec, current, options)
+            self._into_day(df, spec, found, write, options)
         self._spark.catalog.refreshTable(spec.catalog_name)
 
+    def _into_day(
+        self, df: DataFrame, spec: TableSpec, found: _Found, write: str, options: Mapping[str, str]
+    ) -> None:
+        if write != "append":
+            there = self._catalog.location(spec) is not None
+            publish = self._catalog.point_day_at if there else self._catalog.add_day
+            self._fresh(df, spec, found, write, options, publish)
+            return
+        # Appends of one process to one day queue up, so that none is written again for another.
+        with self._day_locks.setdefault(spec, threading.Lock()):
+            if found.record.only_added_since(_unit(spec), found.number):
+                found = _Found(found.facts, found.record, found.record.last_done(_unit(spec)))
+            current = self._catalog.location(spec)
+            if current is None:
+                self._fresh(df, spec, found, write, options, self._catalog.add_day)
+                return
+            held = self._spark.read.schema(df.schema).parquet(current)
+            self._fresh(held.unionByName(df), spec, found, write, options, self._catalog.point_day_at)
+
     def _add(
-        self, df: DataFrame, spec: TableSpec, current: str, options: Mapping[str, str]
+        self, df: DataFrame, spec: TableSpec, found: _Found, write: str, options: Mapping[str, str]
     ) -> None:
-        """Write beside the table, then move that into it; take it back if the table moved away."""
+        """Write beside the table's folder, then move that into it."""
+        current = found.facts.location
         pending = f"{self._catalog.table_folder(spec)}/{PENDING}{fresh_name()}"
         try:
             _write(df, pending, options)
-            # Spark reads no folders below that of a partition, so a day takes files.
-            added = move_in(self._spark, pending, current, whole=spec.day is None)
+            moved = lambda: not child_names(self._spark, pending)
+            with found.record.turn(WHOLE, _name(current), adds=True, changed=moved) as turn:
+                if self._catalog.location(spec) != current:
+                    raise _overlapping(spec)
+                if write == "empty" and turn.before != found.number:
+                    raise _MovedOn
+                turn.check()
+                move_in(self._spark, pending, current)
         finally:
             delete_tree(self._spark, pending)
-        if self._catalog.location(spec) != current:
-            for path in added:
-                delete_tree(self._spark, path)
-            raise OverlappingSaveError(f"{spec} was replaced during an append; nothing was added")
 
     def clean_up(self, now_ms: int, grace_ms: int) -> list[str]:
-        """Remove folders of tables that nothing refers to and that are older than the grace."""
+        """Remove folders that the record says were replaced, or does not know, once the grace is over.
+
+        A table without a record, or with entries that cannot be read, is left alone.
+        """
         gone = []
-        for root, in_use, replaced in self._catalog.table_folders():
-            for name in child_names(self._spark, root):
+        for folder, records in self._catalog.saved_tables():
+            names = child_names(self._spark, folder)  # before the record: what is published since is young
+            lines = [Record(self._spark, f"{records}/{line}", self._clock) for line in child_names(self._spark, records)]
+            if not lines or NO_LINE in child_names(self._spark, records):
+                continue
+            live, replaced = set(), {}
+            try:
+                for line in lines:
+                    named, over = line.folders()
+                    live |= named
+                    replaced |= over
+            except (ValueError, Py4JJavaError):
+                continue
+            for name in names:
                 since = replaced.get(name, made_at(name))
-                if name not in in_use and since is not None and since + grace_ms <= now_ms:
-                    delete_tree(self._spark, f"{root}/{name}")
-                    gone.append(f"{root}/{name}")
+                if name not in live and since is not None and since + grace_ms <= now_ms:
+                    delete_tree(self._spark, f"{folder}/{name}")
+                    gone.append(f"{folder}/{name}")
+            there = set(child_names(self._spark, folder))
+            for line in lines:
+                line.forget(there)
         return gone
 
     def _create(self, df: DataFrame, spec: TableSpec, options: Mapping[str, str]) -> None:
-        create = self._catalog.create_by_day if spec.day else self._catalog.create_over
-        self._fresh(df, spec, options, lambda folder: create(spec, df.schema, folder))
+        line = fresh_name()
+        make = self._catalog.create_by_day if spec.day else self._catalog.create_over
+        facts = TableFacts(spec.catalog_name, None, spec.day is not None, True, line)
+        self._fresh(
+            df, spec, _Found(facts, self._record(spec, line), 0), "append", options,
+            lambda spec, folder: make(spec, df.schema, folder, line),
+        )
 
     def _fresh(
         self,
         df: DataFrame,
         spec: TableSpec,
+        found: _Found,
+        write: str,
         options: Mapping[str, str],
-        publish: Callable[[str], None],
+        publish: Callable[[TableSpec, str], None],
     ) -> None:
         """Write ``df`` to a folder of its own and publish that, or leave nothing."""
         day = f"{spec.day:%Y%m%d}_" if spec.day else ""
         name = f"{day}{fresh_name()}"
         folder = f"{self._catalog.table_folder(spec)}/{name}"
+        published = lambda: _name(self._catalog.location(spec)) == name
         try:
             _write(df, folder, options)
-        except BaseException:
-            delete_tree(self._spark, folder)
-            raise
-        try:
-            publish(folder)
+            with found.record.turn(_unit(spec), name, adds=write == "append", changed=published) as turn:
+                _require_unchanged(spec, found, write, turn)
+                turn.check()
+                publish(spec, folder)
         except BaseException:
             # An update may have gone through although its answer was lost.
-            if not (self._catalog.location(spec) or "").endswith(f"/{name}"):
+            if not published():
                 delete_tree(self._spark, folder)
             raise
 
 
+def _name(path: str | None) -> str:
+    return (path or "").rstrip("/").rpartition("/")[2]
+
+
+def _overlapping(spec: TableSpec) -> OverlappingSaveError:
+    return OverlappingSaveError(f"{spec} was changed by another save meanwhile; this one changed nothing")
+
+
+def _require_unchanged(spec: TableSpec, found: _Found, write: str, turn: Turn) -> None:
+    """Compare what there is with what the save started from."""
+    if turn.before == found.number:
+        return
+    if write == "truncate" or (write == "append" and not found.record.only_added_since(_unit(spec), found.number)):
+        raise _overlapping(spec)
+    raise _MovedOn
+
+
 def _write(
     df: DataFrame,
     path: str,

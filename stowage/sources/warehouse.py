@@ -128,9 +128,10 @@ class Warehouse:
     def clean_up(self, now_ms: int, grace_ms: int = LIFETIME_MS) -> list[str]:
         """Remove what truncates and broken saves left behind; gives the folders removed.
 
-        A folder goes if no table refers to it, once ``grace_ms`` have passed since it was
-        replaced, or since it was made if nothing notes that. No query or save may last
-        longer than the grace.
+        A folder goes once ``grace_ms`` have passed since it was replaced, or since it was made
+        if it was never published. No query or save may last longer than the grace. What is
+        live is read from the tables' own storage, so any session on this root may call this,
+        also one whose catalog does not know the tables.
         """
         return self._saves.clean_up(now_ms, grace_ms)
 
