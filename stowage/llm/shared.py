@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stowage.plans.registry import scratch_root
 
-__all__ = ["find_package", "scratch_root", "stored"]
+__all__ = ["find_package", "free_names", "scratch_root", "stored"]
 
 
 def find_package(spark: SparkSession) -> None:
@@ -28,3 +28,15 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to ``path`` and read from there: computed once, and safe from lost executors."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for working columns: like ``wanted``, but such as ``df`` has none of, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -84,6 +84,63 @@ def test_classes_are_those_of_all_pairs(documents, monkeypatch, rows_per_block):
     assert {r.doc_id: r.exact_id for r in got} == {d: first.get(d, d) for d, _ in rows}
 
 
+def template_pages(n, seed=3):
+    """Pages of one template, about 0.66 alike, and a few near copies of some of them."""
+    draw = random.Random(seed)
+    template = [f"t{i}" for i in range(160)]
+    pages = [" ".join([*template, *(f"p{k}x{i}" for i in range(36))]) for k in range(n)]
+    assert 0.6 < jaccards(shingles(pages[0]), shingles(pages[1]))[0] < 0.7
+    of = list(range(0, n, n // 7))
+    near = [edited(draw, pages[k].split(), 2) for k in of]
+    return list(enumerate([*pages, *near])), list(range(n)) + of
+
+
+def counted(monkeypatch):
+    """The rows of each stored table, by name, as they are written."""
+    found, write = {}, pm._Search._stored
+
+    def count(self, df, name):
+        out = write(self, df, name)
+        found[name] = out.count()
+        return out
+
+    monkeypatch.setattr(pm._Search, "_stored", count)
+    return found
+
+
+def test_pages_of_one_template_cost_few_rows(documents, monkeypatch):
+    monkeypatch.setattr(pm, "BLOCK_ROWS", 64)
+    found = counted(monkeypatch)
+    rows, want = template_pages(300)
+    got = {r.doc_id: r.class_id for r in pm.near_duplicates(documents(*rows)).collect()}
+    assert got == dict(enumerate(want))
+    assert found["sized"] > 250  # nearly all share buckets with others
+    assert all(found[f"candidates{n}"] <= len(rows) for n in range(pm.ROUNDS))
+    assert found["cells"] <= 50  # texts that blocks get: only those with a near copy not found before
+
+
+def test_a_large_group_of_near_copies_costs_rows_in_proportion(documents, monkeypatch):
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(900)}" for _ in range(200)]
+    found = counted(monkeypatch)
+    made = {}
+    for n in (100, 400):
+        rows = [(i, edited(draw, base, 2)) for i in range(n)]
+        assert {r.class_id for r in pm.near_duplicates(documents(*rows)).collect()} == {0}
+        made[n] = sum(v for k, v in found.items() if k not in ("heads", "shared", "sketches", "texts"))
+    assert made[400] <= 5 * made[100]
+
+
+def test_settings_are_parameters(documents):
+    a = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(a)), (2, " ".join([*a[:34], *"uvwxyz"])), (3, "b c d"), (4, "b c d e")]
+    assert {r.doc_id: r.class_id for r in pm.near_duplicates(documents(*rows)).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    loose = pm.near_duplicates(documents(*rows), threshold=0.5, bands=40, shingle=2)
+    assert {r.doc_id: r.class_id for r in loose.collect()} == {1: 1, 2: 1, 3: 3, 4: 3}
+    with pytest.raises(ValueError):
+        pm.near_duplicates(documents(*rows), bands=7)
+
+
 def test_odd_rows(documents):
     rows = [*ODD, (30, "same words in all of these"), (31, "Same words  in all of THESE"), (40, "other text of six words here"),
             (31, "other text of six words here"), (None, "same words in all of these")]
@@ -98,6 +155,7 @@ def test_odd_rows(documents):
 
 def test_one_of_each_group_stays_with_its_columns(documents):
     frame = documents((3, "a b c d e f"), (2, "A b c d e f"), (7, None), (None, "a b c d e f"), (2, "A b c d e f"), (9, "x"))
+    frame = frame.withColumns({"kept_": frame.n_words, "__kept": frame.n_words, "__KEPT_": frame.n_words})
     out = pm.drop_near_duplicates(frame)
     assert out.columns == frame.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "a b c d e f"), (2, "A b c d e f"), (7, ""), (9, "x")]
