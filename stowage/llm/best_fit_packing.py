@@ -8,7 +8,8 @@ it opens a bin.
 
 A document longer than a bin is cut into full bins and a rest, which is packed like a
 document. Documents are dealt by a hash into shards of about ``SHARD_DOCS``, and each
-shard is packed by itself: a shard is what a task holds, and its size is bounded.
+shard is packed by itself: a shard is what a task holds. Equal rows are collapsed and numbered first,
+and the number is part of the hash, so that they are dealt to all shards.
 """
 
 from __future__ import annotations
@@ -55,7 +56,9 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, cluster: Column |
         (docs["text"] if cluster is None else cluster).isNotNull().alias("has_cluster"),
     )
     shards = max(1, -(-docs.count() // shard_docs))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    equal = items.groupBy(*items.columns).agg(F.count("*").alias("copies"))
+    items = equal.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
+    items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "copy"), F.lit(shards)))
 
     def pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return _pack_shard(key[0], rows, capacity)
@@ -67,13 +70,18 @@ def best_fit(items: Iterable[tuple[int, int, int]], capacity: int) -> list[int]:
     """The bin of each item (length, source bit, cluster bit), in the order given.
 
     Bits are masks: a bin takes an item if it holds none of its bits; 0 never conflicts.
+    An item equal to the one before goes on where that one's search ended, as all bins
+    passed over conflict with it too.
     """
     order: list[tuple[int, int]] = []  # (room left, bin), by room
     sources: list[int] = []
     clusters: list[int] = []
     chosen = []
+    last, resume = None, 0
     for length, source, cluster in items:
-        at = bisect_left(order, (length, -1))
+        same = (length, source, cluster) == last and bool(source or cluster)
+        at = resume if same else bisect_left(order, (length, -1))
+        last = (length, source, cluster)
         while at < len(order):
             b = order[at][1]
             if not (sources[b] & source or clusters[b] & cluster):
@@ -87,8 +95,11 @@ def best_fit(items: Iterable[tuple[int, int, int]], capacity: int) -> list[int]:
             room, b = capacity, len(sources)
             sources.append(source)
             clusters.append(cluster)
+        resume = at
         if room > length:
-            insort(order, (room - length, b))
+            left = (room - length, b)
+            resume += bisect_left(order, left) <= at
+            insort(order, left)
         chosen.append(b)
     return chosen
 

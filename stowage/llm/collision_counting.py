@@ -77,7 +77,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     numbers, links with nothing. Vectors of different lengths do not link. Rows that
     repeat an id link like other rows, and their components are one. A row without an id
     links with nothing and has a null component; it is kept. An empty table gives no
-    rows. Other columns are not read.
+    rows. Labels may be of any type that can be grouped, and are compared as they are. Other
+    columns are not read.
     """
     scratch = scratch_root(vectors.sparkSession)
     half, need = WINDOW * sqrt(2 - 2 * threshold), needed()
@@ -105,7 +106,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def compare(table: pa.Table) -> pa.Table:
         return _compare(table, threshold, half, need)
 
-    found = stored(dealt.groupBy("label", "dim", "low", "high").applyInArrow(compare, "a long, b long, links long, label int"), f"{scratch}/found")
+    found = stored(dealt.groupBy("label", "dim", "low", "high").applyInArrow(compare, f"a long, b long, links long, label {_label_type(vectors)}"), f"{scratch}/found")
     direct = found.filter("b IS NULL").groupBy(F.col("a").alias("id"), "label").agg(F.sum("links").alias("links"))
     named = stored(
         rows.select("vec_id", *same).join(classes, same).select("vec_id", "label", "id", "n"), f"{scratch}/named"
@@ -126,7 +127,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _slim(vectors: DataFrame) -> DataFrame:
-    return vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["label"].cast("int").alias("label"), vectors["embedding"])
+    return vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["label"], vectors["embedding"])
+
+
+def _label_type(vectors: DataFrame) -> str:
+    return vectors.schema["label"].dataType.simpleString()
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -141,7 +146,7 @@ def _usable(vectors: DataFrame) -> DataFrame:
                 })
 
     good = _slim(vectors).filter("vec_id IS NOT NULL AND label IS NOT NULL")
-    return good.mapInArrow(usable, "vec_id long, label int, dim int, vector binary").withColumns({
+    return good.mapInArrow(usable, f"vec_id long, label {_label_type(vectors)}, dim int, vector binary").withColumns({
         "key1": F.xxhash64("vector"), "key2": F.xxhash64(F.lit(SEED), "vector"),
     })
 
@@ -198,4 +203,4 @@ def _compare(table: pa.Table, threshold: float, half: float, need: int) -> pa.Ta
     b = pa.array([None] * len(some) + [int(ids[e[1]]) for e in forest], pa.int64())
     count = np.concatenate([links[some], np.zeros(len(forest), np.int64)])
     return pa.table({"a": pa.array(a, pa.int64()), "b": b, "links": pa.array(count),
-                     "label": pa.array(np.full(len(a), table["label"][0].as_py()), pa.int32())})
+                     "label": table["label"].take(pa.array(np.zeros(len(a), np.int64)))})

@@ -6,9 +6,10 @@ labels are tied by a transition weight. Forward-backward gives each line's proba
 of being good, and a document's quality is their mean, weighted by the lines' lengths.
 
 Weights are fitted by maximum likelihood, where all lines of a labelled document bear
-its label, on a bounded sample: at most ``MOST_DOCS`` labelled documents, taken in the
-order of a hash of the id, and of each at most the first ``MOST_LINES`` lines. Scoring
-reads whole texts. Fitting is done on the driver, with the features of the sample only.
+its label, on a bounded sample of labelled documents: in the order of a hash of the id, at most
+``MOST_DOCS``, and as many as have ``MOST_LINES`` lines together. Of each all lines are
+used, and scoring reads whole texts. Fitting is done on the driver, with the features of the sample
+only: at its bounds they are 10 MB there for 10^5 lines, some ten times that while it fits.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stowage.llm.shared import scratch_root, stored
 from stowage.llm.text import SPACES, Words, slices, text_buffer
 
 MOST_DOCS = 6000
-MOST_LINES = 200
+MOST_LINES = 400_000
 THRESHOLD = 0.7
 FEATURES = 9
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -171,11 +173,13 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Model:
+def fit_on_labels(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_lines: int = MOST_LINES) -> Model:
     """Fit on the labelled documents that are not held out.
 
     ``labels`` has ``doc_id`` and ``quality`` (0 or 1; rows with anything else are not
-    used). A document labelled twice counts with its lower label.
+    used). A document labelled twice counts with its lower label. Rows that repeat an id
+    are one document, with the smallest of their texts. No more than ``most_docs`` rows with no more
+    than ``most_lines`` lines reach the driver, whatever repeats.
     """
     chosen = (
         labels.filter(labels["quality"].isin(0, 1) & labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"]))
@@ -183,12 +187,17 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
     )
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most most_docs rows of two numbers
+    sample = sample.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    sample = sample.withColumn("lines", F.coalesce(F.regexp_count("text", F.lit(r"[^\n]+")), F.lit(0)).cast("long"))
+    sample = stored(sample, f"{scratch_root(docs.sparkSession)}/sample")
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # over at most most_docs rows of two numbers
+    upto = sample.select("doc_id", F.sum("lines").over(in_order).alias("upto")).filter(F.col("upto") <= most_lines)
+    sample = sample.drop("lines").join(upto.select("doc_id"), "doc_id", "left_semi")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             lines = Lines(batch.column("text"))
-            rows = [lines.features[a : min(b, a + MOST_LINES)].astype(np.float32).tobytes()
-                    for a, b in zip(lines.bounds[:-1], lines.bounds[1:], strict=True)]
+            rows = [lines.features[a:b].astype(np.float32).tobytes() for a, b in zip(lines.bounds[:-1], lines.bounds[1:], strict=True)]
             yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("quality"), pa.array(rows, pa.binary())],
                                   names=["doc_id", "quality", "x"])
 

@@ -37,7 +37,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs:
     order of their code points, null last, get ``weights`` in turn. A null or empty text
     has size 0 and nothing is taken of it; a source of such texts has target 0. Rows
     without an id, and repeated rows, are documents of their own. Reruns give the same.
-    An empty table gives no rows. Other columns are not read.
+    An empty table gives no rows. Other columns are not read. Words of a text are counted in
+    whole, however long it is.
     """
     scratch = scratch_root(docs.sparkSession)
     sizes, marks = _plan(docs, weights, share, epochs, seed, scratch)
@@ -53,29 +54,40 @@ def repeat_texts(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs:
 
     A document that is taken in part (one of a source) comes with as many of its first
     words as are taken, joined by spaces; of one that is not taken there is no row.
-    ``mix_sources`` has the rules.
+    ``mix_sources`` has the rules. Columns may have any names.
     """
     _, marks = _plan(docs, weights, share, epochs, seed, scratch_root(docs.sparkSession))
-    rows = _take(_sized(docs, seed), marks)
+    # The input row is one column, so no working name meets one of its own.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row"))
+    rows = _take(_sized(rows, seed, F.col("__row")), marks)
+    text = F.col("__row").getField("text")
     whole = F.floor(F.col("__taken") / F.greatest(F.col("__size"), F.lit(1))).cast("int")
     part = (F.col("__taken") - whole * F.col("__size")).cast("int")
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORDS), F.lit(0))
+    words = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
     texts = F.concat(
-        F.array_repeat(F.col("text"), whole),
+        F.array_repeat(text, whole),
         F.when(part > 0, F.array(F.array_join(F.slice(words, F.lit(1), part), " "))).otherwise(F.array().cast("array<string>")),
     )
     return rows.withColumn("__text", F.explode(texts)).select(
-        *[F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+        *[(F.col("__text") if c == "text" else F.col("__row").getField(c)).alias(c) for c in docs.columns]
     )
 
 
-def _sized(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with each row's source, number of words and place in the random order."""
-    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                             F.coalesce(F.col("text"), F.lit(""))).cast("binary"))
+def _sized(docs: DataFrame, seed: int, row: Column | None = None) -> DataFrame:
+    """``docs`` with each row's id, source, number of words and place in the random order.
+
+    ``row`` is the column that holds the row, where it is not spread over columns.
+    """
+    def of(name: str) -> Column:
+        return F.col(name) if row is None else row.getField(name)
+
+    doc_id = of("doc_id").cast("long")
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")),
+                             F.coalesce(of("text"), F.lit(""))).cast("binary"))
     return docs.withColumns({
-        "__source": F.col("source").cast("string"),
-        "__size": F.coalesce(F.regexp_count(F.col("text"), F.lit(WORDS)), F.lit(0)).cast("long"),
+        "doc_id": doc_id,
+        "__source": of("source").cast("string"),
+        "__size": F.coalesce(F.regexp_count(of("text"), F.lit(WORDS)), F.lit(0)).cast("long"),
         "__draw": draw,
     })
 

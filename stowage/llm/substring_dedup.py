@@ -54,10 +54,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     than 13 words never change. Rows with the same id are one document: they take
     nothing from each other, so a repeated row is kept. Rows without an id come after
     all others: they lose what others hold and take nothing from anyone. Columns other
-    than ``doc_id`` and ``text`` are carried along, whatever their names; only
-    ``__block`` is taken. An empty table gives no rows.
+    than ``doc_id`` and ``text`` are carried along, whatever their names. A text is held whole by a
+    task. An empty table gives no rows.
     """
-    return _remove(docs, docs.schema, _cut)
+    # Carried columns have numbers for names on the way, so that none meets a working column.
+    names = [c if c in ("doc_id", "text") else f"carried{i}" for i, c in enumerate(docs.columns)]
+    carried = docs.toDF(*names)
+    return _remove(carried, carried.schema, _cut).toDF(*docs.columns)
 
 
 def _remove(docs: DataFrame, schema, give) -> DataFrame:

@@ -128,3 +128,14 @@ def test_cut_texts_keep_their_layout_and_columns(documents):
     assert out.schema == frame.schema
     assert {r.doc_id: r.text for r in out.collect()} == {1: passage, 2: "  Before\t after,\n  end ", 3: "", 4: None, 5: "  as\n it is  "}
     assert {r.doc_id: r.bucket for r in out.collect()} == {r.doc_id: r.bucket for r in frame.collect()}
+
+
+def test_columns_named_like_working_ones_are_carried(documents):
+    rows = [(1, " ".join(f"w{i}" for i in range(20))), (2, " ".join(f"w{i}" for i in range(25))), (3, None)]
+    frame = documents(*rows)
+    wide = frame.withColumns({"__block": frame.n_words, "a.b": frame.n_words, "carried0": frame.n_words})
+    out = remove_repeats(wide)
+    assert out.columns == wide.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(r["__block"] == r["a.b"] == r["carried0"] == r.n_words for r in got.values())
+    assert got[2].text.split() == [f"w{i}" for i in range(20, 25)] and got[3].text is None

@@ -1,10 +1,12 @@
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stowage.llm.best_fit_packing import best_fit, pack_documents
 from stowage.llm.source_mixing import mix_sources, repeat_texts
@@ -139,3 +141,52 @@ def test_packing_odd_rows(documents):
     assert pack_documents(documents()).collect() == []
     with pytest.raises(ValueError):
         pack_documents(documents(), capacity=0)
+
+
+def test_working_names_of_the_mix_are_free_for_columns(spark, documents):
+    rows = sized(5, 40)
+    odd = ["__row", "__size", "__source", "__draw", "__text", "__taken", "__more", "__range0", "__of", "__left", "a.b"]
+    frame = documents(*rows)
+    plain = Counter(tuple(r) for r in repeat_texts(frame).collect())
+    wide = frame.select("*", *[(F.col("n_words") + i).alias(c) for i, c in enumerate(odd)])
+    out = repeat_texts(wide)
+    assert out.columns == wide.columns
+    got = out.collect()
+    assert all(tuple(r[len(frame.columns):]) == tuple(r.n_words + i for i in range(len(odd))) for r in got)
+    assert Counter(tuple(r[: len(frame.columns)]) for r in got) == plain
+    assert Counter(r.doc_id for r in mix_sources(wide).collect()) == Counter(r[0] for r in rows)
+
+
+def test_equal_rows_are_dealt_to_all_shards(spark):
+    one = spark.range(20_000).selectExpr("CAST(7 AS LONG) AS doc_id", "'a b c d' AS text", "'s' AS source")
+    none = spark.range(20_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "CAST(NULL AS STRING) AS text", "CAST(NULL AS STRING) AS source")
+    got = pack_documents(one.union(none), shard_docs=4096).groupBy(
+        "doc_id", F.shiftright("bin_id", 40).alias("shard")).agg(F.count("*").alias("n"), F.count_distinct("bin_id").alias("bins")).collect()
+    mine = [r for r in got if r.doc_id == 7]
+    assert len(mine) == 10 and sum(r.n for r in mine) == 20_000 and max(r.n for r in mine) < 3000
+    assert all(r.bins == r.n for r in mine)  # copies never share a bin
+    assert sum(r.n for r in got if r.doc_id is None) == 20_000
+
+
+def test_many_equal_items_are_packed_at_once():
+    begin = time.perf_counter()
+    assert best_fit([(5, 1, 1)] * 20_000, 100) == list(range(20_000))
+    assert time.perf_counter() - begin < 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9), st.sampled_from([0, 1, 2, 4]), st.sampled_from([0, 1, 2])), max_size=40))
+def test_a_resumed_search_finds_what_a_whole_one_finds(items):
+    items = sorted(items, reverse=True)
+    want, bins = [], []
+    for length, source, cluster in items:
+        fits = [(room, b) for b, (room, s, c) in enumerate(bins) if room >= length and not (s & source or c & cluster)]
+        if fits:
+            _, b = min(fits)
+        else:
+            b = len(bins)
+            bins.append((10, 0, 0))
+        room, s, c = bins[b]
+        bins[b] = (room - length, s | source, c | cluster)
+        want.append(b)
+    assert best_fit(items, 10) == want

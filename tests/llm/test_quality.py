@@ -91,3 +91,28 @@ def test_only_good_documents_are_kept(spark, documents):
     docs = documents(*[(i, "fine words, plain.\n" * 3 if i % 2 else "### $$$ !!! ###\n" * 3) for i in range(60)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
     assert sorted(r.doc_id for r in crf.keep_good(docs, labels).collect()) == list(range(1, 60, 2))
+
+
+def rows_on_the_driver(monkeypatch):
+    seen, fit = [], crf.fit
+    monkeypatch.setattr(crf, "fit", lambda x, bounds, truth: seen.append((len(bounds) - 1, len(x))) or fit(x, bounds, truth))
+    return seen
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, documents, monkeypatch):
+    seen = rows_on_the_driver(monkeypatch)
+    docs = spark.range(20_000).selectExpr("id % 2 AS doc_id", "concat('some words\n', id) AS text")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (4, 1)], "doc_id long, quality int")
+    crf.fit_on_labels(docs, labels, most_docs=2)
+    assert seen == [(2, 4)]
+
+
+def test_all_lines_of_a_sampled_text_count(spark, documents, monkeypatch):
+    seen = rows_on_the_driver(monkeypatch)
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2][:4]
+    docs = documents(*[(i, "words of a line\n" * 1000) for i in ids])
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    crf.fit_on_labels(docs, labels)
+    crf.fit_on_labels(docs, labels, most_lines=2500)
+    crf.fit_on_labels(docs, labels, most_lines=10)
+    assert seen == [(4, 4000), (2, 2000), (0, 0)]

@@ -114,3 +114,14 @@ def test_count_is_calibrated():
     assert (far >= cc.needed()).mean() < 0.05
     brute = (np.abs((a @ p)[:, None] - (b @ p)[None]) <= cc.WINDOW * np.sqrt(2 - 2 * 0.93)).sum(2)
     assert (counts == brute).all()
+
+
+@pytest.mark.parametrize("kind, labels", [
+    ("string", ["a", "A", "a ", None]), ("double", [1.2, 1.7, float("nan"), None]), ("long", [2**40, 2**40 + 1, -1, None]), ("boolean", [True, False, True, None])])
+def test_labels_are_compared_as_they_are(spark, kind, labels):
+    rows = [(10 * k + i, [1.0, 0.1 * i], label) for k, label in enumerate(labels) for i in range(3)]
+    vectors = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cc.near_vectors(vectors).collect()}
+    several = kind == "boolean"
+    assert all(got[10 * k + i] == ((5, 0) if several and k != 1 else (2, 10 * k)) for k in range(3) for i in range(3))
+    assert all(got[30 + i] == (0, 30 + i) for i in range(3))
