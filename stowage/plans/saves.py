@@ -331,3 +331,64 @@ def write_from_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     wh.write_table(per_customer, "own.spending", write="truncate")
     return wh.read_table("own.spending")
+
+
+def _second(wh: Warehouse) -> Warehouse:
+    """Another warehouse on the same catalog and root, with nothing in its memory."""
+    return Warehouse(wh.spark, wh.staging_root.rpartition("/")[0], project=wh.project)
+
+
+@query(f"{CUSTOMER.replace(' FROM', ', 1 AS first, 0 AS again, 1 AS later FROM')} UNION ALL "
+       f"{DOUBLED.replace(' FROM', ', 1 AS first, 0 AS again, 1 AS later FROM')}")
+def load_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that is repeated adds rows once; files that came meanwhile are added."""
+    wh = open_warehouse(spark, sf_dir, "customer")
+    folder = f"{wh.staging_root}/handed_over"
+    loads = []
+    for df, times in zip(_customers(wh), (2, 1), strict=True):
+        df.coalesce(1).write.mode("append").orc(folder)
+        loads += [wh.load_staged(folder, "own.customer", fmt="orc", once=True) for _ in range(times)]
+    return wh.read_table("own.customer").withColumns(
+        {name: F.lit(n) for name, n in zip(("first", "again", "later"), loads, strict=True)})
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity, true AS fewer, false AS again, true AS one_file
+FROM lineitem
+""")
+def save_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small files become one, with the same rows; a second compaction finds nothing to do."""
+    wh = open_warehouse(spark, sf_dir, "lineitem")
+    lines = wh.read_table("src.lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    for part in range(4):
+        wh.write_table(lines.filter(F.pmod("l_orderkey", F.lit(4)) == part), "own.lines")
+    done = {"fewer": wh.compact("own.lines"), "again": wh.compact("own.lines")}
+    saved = wh.read_table("own.lines")
+    done["one_file"] = len(saved.inputFiles()) == 1
+    return saved.withColumns({name: F.lit(was) for name, was in done.items()})
+
+
+@query(f"{CUSTOMER.replace(' FROM', ', 2 AS removed FROM')} UNION ALL {DOUBLED.replace(' FROM', ', 2 AS removed FROM')}")
+def clean_up_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was replaced is removed by another warehouse, by the record; what is live stays."""
+    wh = open_warehouse(spark, sf_dir, "customer")
+    plain, doubled = _customers(wh)
+    for _ in range(3):
+        wh.write_table(plain, "own.customer", write="truncate")
+    wh.write_table(doubled, "own.customer")
+    removed = _second(wh).clean_up(2**62)
+    return wh.read_table("own.customer").withColumn("removed", F.lit(len(removed)))
+
+
+@query(f"""
+SELECT o_orderstatus, COUNT(*) AS n, {exact_sum("o_totalprice")} AS total, 1 AS results
+FROM orders GROUP BY o_orderstatus
+""")
+def select_met_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second warehouse meets the result that the first one staged for the same text."""
+    wh = open_warehouse(spark, sf_dir, "orders")
+    text = f"SELECT o_orderstatus, COUNT(*) AS n, {exact_sum('o_totalprice')} AS total FROM [src.orders] GROUP BY o_orderstatus"
+    wh.run_select(text)
+    other = _second(wh)
+    found = other.run_select(text)
+    return found.withColumn("results", F.lit(len(other.staged_results())))

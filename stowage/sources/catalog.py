@@ -111,6 +111,13 @@ class Catalog:
         found = {r.tableName: _EXPIRY.search(r.information) for r in rows if not r.isTemporary}
         return {name: int(at[1]) for name, at in sorted(found.items()) if at}
 
+    def marked(self, schema_name: str, key: str, value: str) -> set[str]:
+        """The tables of a schema that have this property, by one statement."""
+        if not self.spark.catalog.databaseExists(schema_name):
+            return set()
+        rows = self.spark.sql(f"SHOW TABLE EXTENDED IN {schema_name} LIKE '*'").toLocalIterator()
+        return {r.tableName for r in rows if not r.isTemporary and re.search(rf"[\[ ]{re.escape(key)}={re.escape(value)}[,\]]", r.information)}
+
     def _describe(self, what: str) -> dict:
         return json.loads(self.spark.sql(f"DESCRIBE TABLE EXTENDED {what} AS JSON").first()[0])
 

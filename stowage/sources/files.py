@@ -76,6 +76,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         data.close()
 
 
+def files_in(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of each file right in ``path``, without those that readers pass over."""
+    fs, p = _file_system(spark, path)
+    return sorted(
+        (s.getPath().toString(), s.getLen(), s.getModificationTime())
+        for s in fs.listStatus(p)
+        if s.isFile() and not s.getPath().getName().startswith(("_", "."))
+    )
+
+
 def files_below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Path and length of each data file below ``path``, without those that readers pass over."""
     fs, p = _file_system(spark, path)

@@ -33,6 +33,7 @@ later, by the record of what was published alone, so it may run in any session.
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
@@ -57,11 +58,15 @@ from stowage.operators.load_form import load_form, refuse_nested_arrays, require
 from stowage.sources.catalog import PARTITION_COLUMN, Catalog, TableFacts
 from stowage.sources.files import (
     child_names,
+    create_new,
     delete_tree,
+    files_below,
+    files_in,
     fresh_name,
     made_at,
     move_in,
     qualified,
+    read_text,
 )
 from stowage.sources.publishing import WHOLE, Record, Turn
 from stowage.sources.spec import TableSpec
@@ -72,6 +77,8 @@ PENDING = "_adding_"
 TRIES = 10
 # The line of tables whose catalog entry names none; their folders are never cleaned up.
 NO_LINE = "none"
+# The list of the files that a folder's rows were loaded from; readers pass over it.
+LOADED = "_loaded.json"
 
 # The choices a caller has, and the codec of each staged format.
 WRITES = ("truncate", "append", "empty")
@@ -147,13 +154,60 @@ class Saves:
         create: str | None,
         fmt: str,
         types: str,
-    ) -> None:
-        """Load the files of one folder; they are left in place."""
+        once: bool,
+    ) -> int:
+        """Load the files of one folder, which are left in place; gives their number."""
         write, create = _dispositions(write, create)
         _require_choice("format", fmt, CODECS)
+        folder = qualified(self._spark, path)
+        files = [f for f in files_in(self._spark, folder) if f[0].endswith(f".{fmt}")]
         out = _outgoing(self._staged_files(path, fmt, None), types)
         found = self._check(out.schema, spec, write, create)
-        self._publish(out, spec, found, write, _parquet_options())
+        if not once:
+            self._publish(out, spec, found, write, _parquet_options())
+            return len(files)
+        for _ in range(TRIES):
+            known = {tuple(f) for f in self._loaded(spec)} if write != "truncate" else set()
+            fresh = [f for f in files if f not in known]
+            if not fresh:
+                return 0
+            part = self._spark.read.format(fmt).schema(self._staged_files(path, fmt, None).schema).load([f[0] for f in fresh])
+            try:
+                self._publish(_outgoing(part, types), spec, found, write, _parquet_options(), fresh)
+                return len(fresh)
+            except _MovedOn:
+                # Someone else has saved meanwhile, and may have loaded some of these files.
+                found = self._check(out.schema, spec, write, "never")
+        raise _overlapping(spec)
+
+    def _loaded(self, spec: TableSpec) -> list[list]:
+        """What is on the lists of loaded files that lie with the rows that are there now."""
+        current = self._catalog.location(spec)
+        if current is None:
+            return []
+        folders = [current, *(f"{current}/{n}" for n in child_names(self._spark, current) if made_at(n))]
+        lists = [f"{f}/{LOADED}" for f in folders if LOADED in child_names(self._spark, f)]
+        return [entry for path in lists for entry in json.loads(read_text(self._spark, path))]
+
+    def compact(self, spec: TableSpec, file_bytes: int, options: Mapping[str, str] | None) -> bool:
+        """Write the files of the table or day anew, about ``file_bytes`` each; tells whether that was done."""
+        facts = self._catalog.facts(spec)
+        if facts is None:
+            raise TableNotFoundError(f"table {spec.whole} does not exist")
+        found = self._check(self._catalog.frame(facts, None).schema, spec, "truncate", "never")
+        current = self._catalog.location(spec)
+        if current is None:
+            return False
+        files = files_below(self._spark, current)
+        wanted = max(1, -(-sum(size for _, size in files) // file_bytes))
+        if len(files) <= wanted:
+            return False
+        # By path and not by the catalog, so that these are the rows of the number that was found.
+        rows = self._spark.read.schema(self._catalog.frame(facts, None).schema).option("recursiveFileLookup", "true").parquet(current)
+        point = self._catalog.point_day_at if spec.day else self._catalog.point_at
+        self._fresh(rows.coalesce(wanted), spec, found, "truncate", {**_parquet_options(), **(options or {})}, point, self._loaded(spec))
+        self._spark.catalog.refreshTable(spec.catalog_name)
+        return True
 
     def _staged_files(self, path: str, fmt: str, schema: T.StructType | None) -> DataFrame:
         reader = self._spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}")
@@ -194,20 +248,26 @@ class Saves:
         found: _Found | None,
         write: str,
         options: Mapping[str, str],
+        loaded: list | None = None,
     ) -> None:
+        """Publish ``df``. With ``loaded``, the list of the files it is from, an append too is
+        right only for the state it was made for: ``_MovedOn`` goes to the caller."""
         for _ in range(TRIES):
             try:
                 if found is None:
-                    self._create(df, spec, options)
+                    self._create(df, spec, options, loaded)
                 else:
-                    self._into_existing(df, spec, found, write, options)
+                    self._into_existing(df, spec, found, write, options, loaded)
                 return
             except TableExistsError as e:
                 # Someone else made the table or the day meanwhile: save into that.
                 if write == "truncate":
                     raise _overlapping(spec) from e
+                if loaded is not None:
+                    raise _MovedOn from e
             except _MovedOn:
-                pass
+                if loaded is not None:
+                    raise
             found = self._check(df.schema, spec, write, "never")
         raise _overlapping(spec)
 
@@ -218,49 +278,52 @@ class Saves:
         found: _Found,
         write: str,
         options: Mapping[str, str],
+        loaded: list | None,
     ) -> None:
         df = df.select(*[column(n) for n in self._catalog.frame(found.facts, None).columns])
         if spec.day is None:
             if write == "truncate":
-                self._fresh(df, spec, found, write, options, self._catalog.point_at)
+                self._fresh(df, spec, found, write, options, self._catalog.point_at, loaded)
             else:
-                self._add(df, spec, found, write, options)
+                self._add(df, spec, found, write, options, loaded)
         else:
-            self._into_day(df, spec, found, write, options)
+            self._into_day(df, spec, found, write, options, loaded)
         self._spark.catalog.refreshTable(spec.catalog_name)
 
     def _into_day(
-        self, df: DataFrame, spec: TableSpec, found: _Found, write: str, options: Mapping[str, str]
+        self, df: DataFrame, spec: TableSpec, found: _Found, write: str, options: Mapping[str, str], loaded: list | None
     ) -> None:
         if write != "append":
             there = self._catalog.location(spec) is not None
             publish = self._catalog.point_day_at if there else self._catalog.add_day
-            self._fresh(df, spec, found, write, options, publish)
+            self._fresh(df, spec, found, write, options, publish, loaded)
             return
         # Appends of one process to one day queue up, so that none is written again for another.
         with self._day_locks.setdefault(spec, threading.Lock()):
-            if found.record.only_added_since(_unit(spec), found.number):
+            if loaded is None and found.record.only_added_since(_unit(spec), found.number):
                 found = _Found(found.facts, found.record, found.record.last_done(_unit(spec)))
             current = self._catalog.location(spec)
             if current is None:
-                self._fresh(df, spec, found, write, options, self._catalog.add_day)
+                self._fresh(df, spec, found, write, options, self._catalog.add_day, loaded)
                 return
             held = self._spark.read.schema(df.schema).parquet(current)
-            self._fresh(held.unionByName(df), spec, found, write, options, self._catalog.point_day_at)
+            every = [*self._loaded(spec), *(loaded or [])]
+            self._fresh(held.unionByName(df), spec, found, write, options, self._catalog.point_day_at, every, loaded is not None)
 
     def _add(
-        self, df: DataFrame, spec: TableSpec, found: _Found, write: str, options: Mapping[str, str]
+        self, df: DataFrame, spec: TableSpec, found: _Found, write: str, options: Mapping[str, str], loaded: list | None
     ) -> None:
         """Write beside the table's folder, then move that into it."""
         current = found.facts.location
         pending = f"{self._catalog.table_folder(spec)}/{PENDING}{fresh_name()}"
         try:
             _write(df, pending, options)
+            self._note_loaded(pending, loaded)
             moved = lambda: not child_names(self._spark, pending)
             with found.record.turn(WHOLE, _name(current), adds=True, changed=moved) as turn:
                 if self._catalog.location(spec) != current:
                     raise _overlapping(spec)
-                if write == "empty" and turn.before != found.number:
+                if (write == "empty" or loaded is not None) and turn.before != found.number:
                     raise _MovedOn
                 turn.check()
                 move_in(self._spark, pending, current)
@@ -296,13 +359,18 @@ class Saves:
                 line.forget(there)
         return gone
 
-    def _create(self, df: DataFrame, spec: TableSpec, options: Mapping[str, str]) -> None:
+    def _note_loaded(self, folder: str, loaded: list | None) -> None:
+        """Put the list of loaded files beside the rows, so that both are published, replaced and removed together."""
+        if loaded:
+            create_new(self._spark, f"{folder}/{LOADED}", json.dumps(loaded))
+
+    def _create(self, df: DataFrame, spec: TableSpec, options: Mapping[str, str], loaded: list | None) -> None:
         line = fresh_name()
         make = self._catalog.create_by_day if spec.day else self._catalog.create_over
         facts = TableFacts(spec.catalog_name, None, spec.day is not None, True, line)
         self._fresh(
             df, spec, _Found(facts, self._record(spec, line), 0), "append", options,
-            lambda spec, folder: make(spec, df.schema, folder, line),
+            lambda spec, folder: make(spec, df.schema, folder, line), loaded,
         )
 
     def _fresh(
@@ -313,15 +381,23 @@ class Saves:
         write: str,
         options: Mapping[str, str],
         publish: Callable[[TableSpec, str], None],
+        loaded: list | None = None,
+        strict: bool = False,
     ) -> None:
-        """Write ``df`` to a folder of its own and publish that, or leave nothing."""
+        """Write ``df`` to a folder of its own and publish that, or leave nothing.
+
+        ``strict``: any change by others since is too much, additions as well.
+        """
         day = f"{spec.day:%Y%m%d}_" if spec.day else ""
         name = f"{day}{fresh_name()}"
         folder = f"{self._catalog.table_folder(spec)}/{name}"
         published = lambda: _name(self._catalog.location(spec)) == name
         try:
             _write(df, folder, options)
+            self._note_loaded(folder, loaded)
             with found.record.turn(_unit(spec), name, adds=write == "append", changed=published) as turn:
+                if strict and turn.before != found.number:
+                    raise _MovedOn
                 _require_unchanged(spec, found, write, turn)
                 turn.check()
                 publish(spec, folder)

@@ -1,5 +1,11 @@
 """SELECT results: run once into a staged table, reused by exact text until expiry.
 
+Results are found again through the catalog, by a digest in the staged table's properties, so
+other warehouses, sessions and drivers on it meet them too. The digest is over the exact text and
+over what else decides its meaning: the session's settings of Spark SQL, catalog and schema. A
+text that names one of the session's temporary views is met by this warehouse alone. Only one driver
+runs a text at a time (``publishing.held``); the others wait and then load what it staged.
+
 The result is a written table, so it survives lost executors and a repeated
 statement costs one scan. It holds no row order; sort again after loading.
 """
@@ -7,6 +13,8 @@ statement costs one scan. It holds no row order; sort again after loading.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import random
 import threading
 from collections.abc import Callable
@@ -19,6 +27,7 @@ from stowage.errors import TableNotFoundError, UnsupportedTypeError
 from stowage.functions.types import dotted, require_unique_columns
 from stowage.sources.catalog import EXPIRES_AT, PARTITION_COLUMN, Catalog, day_literal
 from stowage.sources.files import delete_tree
+from stowage.sources.publishing import held
 from stowage.sources.spec import (
     TableSpec,
     escape,
@@ -35,6 +44,8 @@ STAGING_COMMENT = "Staged query results"
 RESULT_PREFIX = "result"
 LOCATION = "stowage.location"
 LIFETIME = "stowage.default_lifetime_ms"
+DIGEST = "stowage.text_digest"
+RUNNING = "__running"
 TIME_FORMAT = "%Y%m%d%H%M%S"
 
 
@@ -111,10 +122,37 @@ class Selects:
             known = self._results.get(sql)
             if known is None or known.expired(now_ms) or not self._catalog.exists(known.spec):
                 self._results.pop(sql, None)
-                known = self._results[sql] = self._stage(sql, now_ms)
+                known = self._results[sql] = self._shared(sql, now_ms)
         return self._catalog.spark.table(known.spec.catalog_name)
 
-    def _stage(self, sql: str, now_ms: int) -> StagedResult:
+    def _shared(self, sql: str, now_ms: int) -> StagedResult:
+        """The result that any driver has staged for this text, or a new one."""
+        digest = self._digest(sql)
+        if digest is None:
+            return self._stage(sql, now_ms, None)
+        found = self._staged_for(digest, now_ms)
+        if found is None:
+            running = f"{self._catalog.schema_folder(self._spec('any'))}{RUNNING}/{digest}"
+            with held(self._catalog.spark, running):
+                found = self._staged_for(digest, now_ms) or self._stage(sql, now_ms, digest)
+        return found
+
+    def _staged_for(self, digest: str, now_ms: int) -> StagedResult | None:
+        named = self._catalog.marked(self._spec("any").schema_name, DIGEST, digest)
+        alive = [r for r in self.staged() if r.spec.table_name in named and not r.expired(now_ms)]
+        return max(alive, key=lambda r: r.expires_at_ms, default=None)
+
+    def _digest(self, sql: str) -> str | None:
+        """What the text means in this session; None if that hangs on a temporary view."""
+        spark = self._catalog.spark
+        said = sql.lower()
+        if any(t.isTemporary and t.name.lower() in said for t in spark.catalog.listTables()):
+            return None
+        settings = sorted((k, v) for k, v in dict(spark.conf.getAll).items() if k.startswith("spark.sql."))
+        place = [spark.catalog.currentCatalog(), spark.catalog.currentDatabase()]
+        return hashlib.sha256(json.dumps([sql, settings, place]).encode()).hexdigest()
+
+    def _stage(self, sql: str, now_ms: int, digest: str | None) -> StagedResult:
         # As a subquery, so that a statement that changes something is refused: it would
         # run on the first call and not on the next.
         query = self.resolve(without_closing(sql))
@@ -126,6 +164,8 @@ class Selects:
         spec = self._spec(f"{RESULT_PREFIX}_{stamp}_{random.randrange(2**31)}")
         result = StagedResult(spec, now_ms + LIFETIME_MS)
         writer = df.writeTo(spec.catalog_name).using("parquet")
+        if digest is not None:
+            writer = writer.tableProperty(DIGEST, digest)
         try:
             writer.tableProperty(EXPIRES_AT, str(result.expires_at_ms)).create()
         except BaseException:

@@ -14,6 +14,10 @@ from stowage.sources.selects import LIFETIME_MS, STAGING_PREFIX, Selects, Staged
 from stowage.sources.spec import TableSpec
 
 
+# The size of files that compaction aims at.
+COMPACT_BYTES = 256 << 20
+
+
 def _system_clock_ms() -> int:
     return time.time_ns() // 1_000_000
 
@@ -143,6 +147,22 @@ class Warehouse:
         create: str | None = None,
         fmt: str = "parquet",
         types: str = "load",
-    ) -> None:
-        """Load all ``*.fmt`` files of one folder into a table; the files stay."""
-        self._saves.load(path, self.spec(table), write, create, fmt, types)
+        once: bool = False,
+    ) -> int:
+        """Load all ``*.fmt`` files of one folder into a table; the files stay. Gives their number.
+
+        With ``once``, files that are in the table already are passed over, so a load can
+        be repeated. Files are told apart by path, length and time of change, and are listed
+        beside the rows loaded with ``once``: rows that a truncate replaces, or that
+        never were published, are on no list.
+        """
+        return self._saves.load(path, self.spec(table), write, create, fmt, types, once)
+
+    def compact(self, table: TableSpec | str, file_bytes: int = COMPACT_BYTES, options: Mapping[str, str] | None = None) -> bool:
+        """Write the files of a table, or of one day of it, anew as files of about ``file_bytes``.
+
+        Does nothing, and gives False, where they are not more than that takes. All rows of
+        the table or day are written, without a shuffle; of one partitioned by day give a day. An append or
+        other save meanwhile is kept: then this is refused with ``OverlappingSaveError``.
+        """
+        return self._saves.compact(self.spec(table), file_bytes, options)
