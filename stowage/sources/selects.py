@@ -46,6 +46,13 @@ LOCATION = "stowage.location"
 LIFETIME = "stowage.default_lifetime_ms"
 DIGEST = "stowage.text_digest"
 RUNNING = "__running"
+# Settings that decide how a statement is run, not what it gives; fixed names.
+EXECUTION_ONLY = (
+    "spark.sql.adaptive.",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.files.",
+    "spark.sql.shuffle.partitions",
+)
 TIME_FORMAT = "%Y%m%d%H%M%S"
 
 
@@ -148,7 +155,9 @@ class Selects:
         said = sql.lower()
         if any(t.isTemporary and t.name.lower() in said for t in spark.catalog.listTables()):
             return None
-        settings = sorted((k, v) for k, v in dict(spark.conf.getAll).items() if k.startswith("spark.sql."))
+        # Values in effect, so that a setting and its default count as the same.
+        every = spark.sql("SET -v").toLocalIterator()
+        settings = sorted((r.key, r.value) for r in every if not r.key.startswith(EXECUTION_ONLY))
         place = [spark.catalog.currentCatalog(), spark.catalog.currentDatabase()]
         return hashlib.sha256(json.dumps([sql, settings, place]).encode()).hexdigest()
 

@@ -45,6 +45,8 @@ def before_write(monkeypatch, act):
 def test_another_warehouse_meets_a_result_until_it_expires(warehouse, other, frame):
     warehouse.write_table(frame, "ds.t")
     text = "SELECT SUM(n) AS n FROM [ds.t]"
+    other.spark.conf.set("spark.sql.ansi.enabled", other.spark.conf.get("spark.sql.ansi.enabled"))  # set, to what it was
+    other.spark.conf.set("spark.sql.shuffle.partitions", "3")
     assert warehouse.run_select(text, 0).first().n == 3
     warehouse.write_table(frame, "ds.t")
     assert other.run_select(text, DAY_MS - 1).first().n == 3
