@@ -72,7 +72,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = T
     numbers, or have no id take no part; vectors of different lengths never meet. Rows
     that repeat an id are versions of one vector, and the nearest version counts. A query
     with fewer than ``k`` candidates gets all. Empty tables give no rows. Other columns are
-    not read. On the data here at least 0.95 of the true neighbours are found (tested).
+    not read.
     """
     scratch = scratch_root(vectors.sparkSession)
     rows = stored(_hashed(vectors, tables, 1), f"{scratch}/rows")
