@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,43 @@ def null_of(dt: T.DataType) -> Column:
     return F.lit(None).cast(dt)
 
 
+# A value of each plain type; any would do.
+_SOME = {
+    T.BooleanType: False,
+    T.StringType: "",
+    T.BinaryType: b"",
+    T.ByteType: 0,
+    T.ShortType: 0,
+    T.IntegerType: 0,
+    T.LongType: 0,
+    T.FloatType: 0.0,
+    T.DoubleType: 0.0,
+    T.DateType: datetime.date(1970, 1, 1),
+    T.TimestampType: datetime.datetime(1970, 1, 2),
+}
+
+
+def some_value(dt: T.DataType) -> Column | None:
+    """A constant of type ``dt`` that Spark knows not to be null; None where there is none."""
+    if isinstance(dt, T.StructType):
+        parts = [null_of(f.dataType) if f.nullable else some_value(f.dataType) for f in dt.fields]
+        if any(p is None for p in parts):
+            return None
+        return F.struct(*[p.alias(f.name) for p, f in zip(parts, dt.fields)])
+    if isinstance(dt, T.ArrayType):
+        element = null_of(dt.elementType) if dt.containsNull else some_value(dt.elementType)
+        return None if element is None else F.array(element)
+    if isinstance(dt, T.MapType):
+        key = some_value(dt.keyType)
+        value = null_of(dt.valueType) if dt.valueContainsNull else some_value(dt.valueType)
+        return None if key is None or value is None else F.create_map(key, value)
+    if isinstance(dt, T.DecimalType):
+        return F.lit(decimal.Decimal(0).scaleb(-dt.scale)).cast(dt)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.expr("TIMESTAMP_NTZ '1970-01-02'")
+    return F.lit(_SOME[type(dt)]).cast(dt) if type(dt) in _SOME else None
+
+
 def session_is_utc(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
 

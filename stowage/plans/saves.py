@@ -392,3 +392,16 @@ def select_met_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = _second(wh)
     found = other.run_select(text)
     return found.withColumn("results", F.lit(len(other.staged_results())))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, true AS fewer FROM lineitem")
+def save_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uneven partitions, most of them tiny, are saved as fewer files."""
+    wh = open_warehouse(spark, sf_dir, "lineitem")
+    lines = wh.read_table("src.lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    uneven = lines.filter("l_orderkey % 3 = 0").repartition(64, "l_quantity").unionByName(lines.filter("l_orderkey % 3 <> 0"))
+    wh.write_table(uneven, "own.lines", balance=True)
+    wh.write_table(uneven, "own.uneven")
+    saved = wh.read_table("own.lines")
+    fewer = len(saved.inputFiles()) < len(wh.read_table("own.uneven").inputFiles())
+    return saved.withColumn("fewer", F.lit(fewer))

@@ -224,7 +224,7 @@ def _run_time_refusal(df: DataFrame) -> str:
     try:
         df.write.format("noop").mode("overwrite").save()
     except Exception as e:
-        found = re.search(r"null (array element|map value) at path [\w.]+", str(e))
+        found = re.search(r"null (array element|map value|in required field) at path [\w.]+", str(e))
         if not found:
             raise
         return found[0]
@@ -279,6 +279,46 @@ def conform_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumns(reports)
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity AS q, l_tax AS t, l_discount AS d, true AS same_schema,
+       'null in required field at path q' AS field_null, 'null in required field at path r.d' AS inner_null,
+       'accepted' AS not_strict
+FROM lineitem
+""")
+def conform_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ``strict`` the frame's schema is the target, and nulls in required fields stop the run."""
+    lines = _read(spark, sf_dir, "lineitem")
+    dbl = T.DoubleType()
+    target = _struct(
+        ("l_orderkey", T.LongType(), False),
+        ("l_linenumber", T.IntegerType()),
+        ("q", dbl, False),
+        ("m", T.MapType(T.StringType(), dbl, False), False),
+        ("r", _struct(("d", dbl, False), ("more", T.ArrayType(_struct(("t", dbl, False)), False)))),
+    )
+
+    def source(q: str, d: str) -> DataFrame:
+        return lines.selectExpr(
+            "l_linenumber",
+            f"named_struct('more', array(named_struct('t', l_tax)), 'd', {d}) AS r",
+            "map('t', l_tax) AS m",
+            f"{q} AS q",
+            "l_orderkey",
+        )
+
+    some_null = "NULLIF(l_linenumber, 1) * 1D"
+    good = conform(source("l_quantity", "l_discount"), target, strict=True)
+    cases = {
+        "field_null": conform(source(some_null, "l_discount"), target, strict=True),
+        "inner_null": conform(source("l_quantity", some_null), target, strict=True),
+        "not_strict": conform(source(some_null, some_null), target),
+    }
+    reports = {name: F.lit(_run_time_refusal(df)) for name, df in cases.items()}
+    return good.selectExpr(
+        "l_orderkey", "l_linenumber", "q", "coalesce(m['t'], r.more[0].t) AS t", "r.d AS d"
+    ).withColumns({"same_schema": F.lit(good.schema == target), **reports})
+
+
 @query("""
 SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS n, CAST(CAST(l_tax AS REAL) AS DOUBLE) AS x,
        l_returnflag AS flag, CAST(NULL AS VARCHAR) AS extra

@@ -15,7 +15,7 @@ is complete; a failed save leaves the destination as it was, and a table may be
 a query on itself. The move of an append is one rename, which is one step on a file system;
 on an object store, where it copies, readers may see a part of it. An append to a day writes
 that day's rows anew, so that readers see all of it or nothing, on any store.
-No save shuffles: the frame's own partitions become the files. Where the staged files are not Parquet, or the
+No save shuffles unless it is asked to balance its files: the frame's own partitions become the files. Where the staged files are not Parquet, or the
 caller asks for it, the frame is written to the staging area first and loaded
 from there.
 
@@ -124,6 +124,7 @@ class Saves:
         fmt: str,
         types: str,
         staged: bool | None,
+        balance: bool,
     ) -> None:
         write, create = _dispositions(write, create)
         _require_choice("format", fmt, CODECS)
@@ -135,14 +136,13 @@ class Saves:
         if staged is None:
             staged = fmt != "parquet"
         if not staged:
-            self._publish(out, spec, found, write, options)
+            self._publish(_balanced(out) if balance else out, spec, found, write, options)
             return
         path = f"{self.staging_root}/{fresh_name()}"
         try:
             _write(out, path, options, fmt)
-            self._publish(
-                self._staged_files(path, fmt, out.schema), spec, found, write, _parquet_options()
-            )
+            files = self._staged_files(path, fmt, out.schema)
+            self._publish(_balanced(files) if balance else files, spec, found, write, _parquet_options())
         finally:
             delete_tree(self._spark, path)
 
@@ -434,6 +434,11 @@ def _write(
     df.write.format(fmt).options(**options).save(path)
 
 
+def _balanced(df: DataFrame) -> DataFrame:
+    """Rows dealt anew to partitions of about the session's advisory size, small ones joined and large ones split."""
+    return df.hint("rebalance")
+
+
 def _parquet_options() -> dict[str, str]:
     return {"compression": CODECS["parquet"]}
 

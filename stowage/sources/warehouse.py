@@ -117,6 +117,7 @@ class Warehouse:
         fmt: str = "parquet",
         types: str = "load",
         staged: bool | None = None,
+        balance: bool = False,
     ) -> None:
         """Save ``df`` as a table, or as one day of it (``dataset.table$yyyymmdd``).
 
@@ -126,8 +127,15 @@ class Warehouse:
         keeps Spark's types. ``fmt`` is the format of staged files; other than
         ``parquet`` the files pass through the staging area, as they do with
         ``staged=True``, and are removed from it whatever happens.
+
+        ``balance``: one shuffle before the write, after which adaptive execution joins small
+        partitions and splits large ones, so that each file holds about
+        ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of the shuffle's bytes, however many or
+        uneven the frame's partitions are. What is split are shuffle partitions, so a frame of one huge
+        partition needs ``spark.sql.shuffle.partitions`` to be at least the number of files it should
+        become. Without ``balance`` there is no shuffle and each partition is a file.
         """
-        self._saves.save(df, self.spec(table), write, create, options, fmt, types, staged)
+        self._saves.save(df, self.spec(table), write, create, options, fmt, types, staged, balance)
 
     def clean_up(self, now_ms: int, grace_ms: int = LIFETIME_MS) -> list[str]:
         """Remove what truncates and broken saves left behind; gives the folders removed.

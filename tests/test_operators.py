@@ -21,7 +21,7 @@ from stowage.errors import (
     UnionShapeError,
     UnsupportedTypeError,
 )
-from stowage.functions.types import same_type
+from stowage.functions.types import loosen, same_type
 from stowage.operators.load_form import require_namespaces
 from stowage.plans.registry import REGISTERED
 import stowage.plans  # noqa: F401  (queries register themselves)
@@ -281,6 +281,101 @@ def test_conform_keeps_nulls_where_allowed(spark):
     assert values(conform(df, df.schema)) == [([1, None], {"k": None})]
 
 
+NULLS = [True, False]
+DEEP = "named_struct('x', array(named_struct('y', map('k', array(1)), 'z', id)), 'w', 'v') AS r"
+
+
+def deep(outer, inner):
+    """The type of ``DEEP`` without its last field, with these null rules."""
+    values_of = T.MapType(STR, T.ArrayType(INT, inner), inner)
+    return struct(("x", T.ArrayType(struct(("y", values_of, inner), ("z", LONG, inner)), inner), outer))
+
+
+@pytest.mark.parametrize("outer", NULLS)
+@pytest.mark.parametrize("inner", NULLS)
+@pytest.mark.parametrize("loose_source", NULLS)
+def test_a_strict_frame_has_the_target_schema(spark, outer, inner, loose_source):
+    df = spark.range(3).selectExpr("id", "CAST(id AS STRING) AS s", DEEP)
+    if loose_source:
+        df = df.select(*[F.when(F.col("id") >= 0, F.col(c).cast(loosen(df.schema[c].dataType))).alias(c) for c in df.columns])
+    target = struct(("r", deep(outer, inner), outer), ("id", LONG, inner), ("new", DBL), ("s", STR, outer))
+    out = conform(df, target, strict=True)
+    assert out.schema == target
+    assert sorted(r.id for r in out.collect()) == [0, 1, 2]
+    assert out.filter("r.x[0].z = 1 AND r.x[0].y['k'][0] = 1 AND new IS NULL AND s = '1'").count() == 1
+
+
+def test_a_frame_says_what_was_checked(spark):
+    df = spark.sql("SELECT array(1, id) AS a, map('k', id) AS m, named_struct('x', id, 'y', id) AS r, id FROM VALUES (1L), (2L) AS v(id)")
+    df = df.withColumns({c: F.when(F.col("id") > 0, F.col(c)).cast(loosen(df.schema[c].dataType)) for c in df.columns})
+    target = struct(("a", T.ArrayType(LONG, False)), ("m", T.MapType(STR, LONG, False)), ("r", struct(("x", LONG, False))), ("id", LONG, False))
+    out = conform(df, target)
+    assert [out.schema[c] == target[c] for c in target.names] == [True, True, False, False]  # fields are not checked
+    assert conform(df, target, strict=True).schema == target
+    assert values(conform(df, target, strict=True)) == values(out)
+    out.write.format("noop").mode("overwrite").save()
+
+
+def test_looser_rules_cost_nothing(spark):
+    df = spark.range(3).selectExpr("id", "array(id) AS a", "named_struct('x', id) AS r")
+    target = struct(("id", LONG), ("a", T.ArrayType(LONG)), ("r", struct(("x", LONG))))
+    out = conform(df, target)
+    assert out.schema == target
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(w in text.lower() for w in ("case", "coalesce", "transform", "if"))
+
+
+def test_metadata_of_the_target_comes_along(spark):
+    target = T.StructType([T.StructField("id", LONG, False, {"unit": "row"}), T.StructField("n", INT, True, {"a": 1})])
+    assert conform(spark.range(2), target).schema == target
+
+
+@pytest.mark.parametrize(
+    "source, target, path",
+    [
+        ("CAST(NULL AS INT) AS a", struct(("a", INT, False)), "a"),
+        ("named_struct('x', CAST(NULL AS STRING)) AS a", struct(("a", struct(("x", STR, False)))), "a.x"),
+        (
+            "array(named_struct('x', 1), named_struct('x', NULL)) AS a",
+            struct(("a", T.ArrayType(struct(("x", INT, False))))),
+            "a.x",
+        ),
+        ("CAST(NULL AS ARRAY<INT>) AS a", struct(("a", T.ArrayType(INT), False)), "a"),
+    ],
+)
+def test_strict_stops_at_nulls_in_required_fields(spark, source, target, path):
+    df = spark.sql(f"SELECT {source}")
+    conform(df, target).collect()
+    with pytest.raises(Exception, match=f"null in required field at path {path}"):
+        conform(df, target, strict=True).collect()
+
+
+def test_strict_lets_null_containers_of_required_fields_pass(spark):
+    df = spark.createDataFrame([(None, [None])], "r struct<x:int>, a array<struct<x:int>>")
+    target = struct(("r", struct(("x", INT, False))), ("a", T.ArrayType(struct(("x", INT, False)))))
+    assert values(conform(df, target, strict=True)) == [(None, [None])]
+
+
+@pytest.mark.parametrize("kind", [
+    "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal(3,3)", "decimal(38,0)", "string",
+    "binary", "date", "timestamp", "timestamp_ntz", "array<int>", "map<string,date>", "struct<x:binary>",
+])
+def test_every_plain_type_can_be_required(spark, kind):
+    df = spark.createDataFrame([], f"a {kind}")
+    target = T.StructType([T.StructField("a", df.schema["a"].dataType, False)])
+    out = conform(df, target, strict=True)
+    assert out.schema == target
+    assert out.collect() == []
+
+
+def test_strict_refuses_types_that_cannot_be_required(spark):
+    df = spark.sql("SELECT IF(id < 0, NULL, INTERVAL '1' DAY) AS a FROM range(1)")
+    target = T.StructType([T.StructField("a", df.schema["a"].dataType, False)])
+    with pytest.raises(UnsupportedTypeError):
+        conform(df, target, strict=True)
+    assert conform(df, target).count() == 1
+
+
 # -- merge by the union rule ---------------------------------------------------
 
 

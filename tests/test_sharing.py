@@ -1,4 +1,4 @@
-"""Results met by other warehouses, loads that can be repeated, and compaction."""
+"""Results met by other warehouses, loads that can be repeated, compaction, and files of even size."""
 
 import threading
 
@@ -224,3 +224,65 @@ def test_what_compaction_refuses(spark, warehouse, frame):
     assert warehouse.compact("ds.d$20250101") is False
     with pytest.raises(SchemaMismatchError):
         warehouse.write_table(spark.range(3), "ds.t")
+
+
+# -- files of even size --------------------------------------------------------
+
+
+@pytest.fixture
+def small_files(other):
+    other.spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100kb")
+    other.spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1kb")
+    other.spark.conf.set("spark.sql.shuffle.partitions", "64")
+    return other
+
+
+def sizes(wh, table):
+    return [size for _, size in files_below(wh.spark, wh._catalog.location(wh.spec(table)))]
+
+
+def noisy(spark, ids, parts):
+    """Rows of about 40 bytes that do not compress."""
+    return spark.range(0, ids, 1, parts).selectExpr("id", "unhex(sha2(CAST(id AS STRING), 256)) AS b")
+
+
+@pytest.mark.parametrize("table", PLACES)
+@pytest.mark.parametrize("how", [{}, {"fmt": "orc"}])
+def test_many_small_partitions_become_few_files(small_files, table, how):
+    df = noisy(small_files.spark, 4000, 100)
+    small_files.write_table(df, table, balance=True, **how)
+    assert len(sizes(small_files, table)) <= 8  # about 250 kB of the shuffle's bytes
+    assert rows(small_files.read_table(table).select("id")) == [(i,) for i in range(4000)]
+
+
+@pytest.mark.parametrize("write", ["truncate", "append"])
+def test_one_huge_partition_becomes_files_near_the_size(small_files, write):
+    small_files.write_table(noisy(small_files.spark, 0, 1), "ds.t")
+    small_files.write_table(noisy(small_files.spark, 40000, 1), "ds.t", write, balance=True)
+    found = [size for size in sizes(small_files, "ds.t") if size > 1000]
+    assert 10 <= len(found) <= 40
+    assert max(found) < 200_000
+    assert rows(small_files.read_table("ds.t").select("id")) == [(i,) for i in range(40000)]
+
+
+def test_skewed_partitions_become_even(small_files):
+    df = noisy(small_files.spark, 30000, 1).unionByName(noisy(small_files.spark, 50, 50))
+    small_files.write_table(df, "ds.t", balance=True)
+    found = sizes(small_files, "ds.t")
+    assert max(found) < 200_000
+    assert len(found) <= 40
+    assert small_files.read_table("ds.t").count() == 30050
+
+
+def test_an_empty_frame_can_be_balanced(small_files):
+    small_files.write_table(noisy(small_files.spark, 0, 3), "ds.t", balance=True)
+    assert small_files.read_table("ds.t").count() == 0
+
+
+def test_only_a_balanced_save_shuffles(spark, warehouse, monkeypatch):
+    seen = []
+    write = saves._write
+    monkeypatch.setattr(saves, "_write", lambda df, *a, **k: (seen.append(df._jdf.queryExecution().toString()), write(df, *a, **k)))
+    warehouse.write_table(spark.range(9), "ds.t")
+    warehouse.write_table(spark.range(9), "ds.t", balance=True)
+    assert ["Exchange" in text for text in seen] == [False, True]
