@@ -9,6 +9,9 @@ buckets have a bounded size: their numbers follow the input.
 The keys of one block in one bucket (a *cell*) travel as one row, sorted, as the steps from
 one to the next. Answers are in the order of the cell, and the block
 finds them by sorting its keys again. Nothing depends on the order of rows.
+
+Equal rows have the same block. Before they move, each task joins those that stand within 32 MB
+of its input to one row with a number (``TIMES``); results are repeated as often at the end.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The column that names a row's block. Inputs must not have one of this name.
-BLOCK = "__block"
+#: The columns for a row's block, and for how often it is there. Inputs must not have such names.
+BLOCK, TIMES = "__block", "__times"
+#: Rows among which a task looks for equal ones are of about this size.
+JOINED_BYTES = 32 << 20
 CELLS = "bucket int, __block long, n int, keys binary, extra binary"
 ANSWERS = "__block long, bucket int, kind int, answer binary"
 
@@ -67,14 +72,45 @@ def with_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
     """
     dealt = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(layout.blocks)))
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in dealt.schema.fields]
-    return dealt.mapInArrow(_close, T.StructType(fields))
+    return dealt.mapInArrow(_close, T.StructType([*fields, T.StructField(TIMES, T.LongType())]))
+
+
+def as_often(df: DataFrame) -> DataFrame:
+    """Each row ``TIMES`` times, without that column."""
+    return df.withColumn(TIMES, F.explode(F.array_repeat(F.lit(0), F.col(TIMES).cast("int")))).drop(TIMES)
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    coder = zstandard.ZstdCompressor(level=3)
+    held, size = [], 0
     for batch in batches:
-        texts = [None if t is None else coder.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.binary()))
+        held.append(batch)
+        size += batch.nbytes
+        if size >= JOINED_BYTES:
+            yield from _joined(pa.Table.from_batches(held))
+            held, size = [], 0
+    if held:
+        yield from _joined(pa.Table.from_batches(held))
+
+
+def _joined(table: pa.Table) -> list[pa.RecordBatch]:
+    """One row for equal ones, with their number, and texts compressed."""
+    texts = table["text"].cast(pa.binary()).to_pylist()
+    rows = list(zip(table["doc_id"].to_pylist(), texts, strict=True))
+    if len(set(rows)) < len(rows):
+        rest = table.drop_columns(["doc_id", "text", BLOCK]).to_pylist()
+        rows = [(*r, repr(other)) for r, other in zip(rows, rest, strict=True)]
+    times: dict[tuple, int] = {}
+    first: list[int] = []
+    for i, row in enumerate(rows):
+        if row not in times:
+            first.append(i)
+        times[row] = times.get(row, 0) + 1
+    if len(first) < len(rows):
+        table = table.take(first)
+    coder = zstandard.ZstdCompressor(level=3)
+    closed = pa.array([None if texts[i] is None else coder.compress(texts[i]) for i in first], pa.binary())
+    table = table.set_column(table.schema.get_field_index("text"), "text", closed)
+    return table.append_column(TIMES, pa.array(times.values(), pa.int64())).combine_chunks().to_batches()
 
 
 def _open(table: pa.Table) -> pa.Table:

@@ -42,24 +42,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     logarithms over the words, and ``mean_log_score``, that per word, to six digits.
     A text that is null, empty or all spaces has zero words, ``log_score`` 0 and
     ``mean_log_score`` null. Rows that repeat are documents of their own, and so is one
-    without an id. An empty table gives no rows.
+    without an id; equal rows are counted and scored together, so a third of all may be one
+    row. A text is held whole by a task. An empty table gives no rows.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.2, width=6, block_bytes=4 << 20)
     blocks = B.with_blocks(docs, layout)
 
     def send_pairs(table: pa.Table) -> pa.Table:
-        return B.cells(table[B.BLOCK][0].as_py(), *_distinct(_Grams(table, layout).lower), layout)
+        return B.cells(table[B.BLOCK][0].as_py(), *_distinct(*_Grams(table, layout).lower()), layout)
 
     def send_triples(table: pa.Table, answers: pa.Table) -> pa.Table:
         grams = _Grams(table, layout)
         grams.hear(answers)
-        return B.cells(table[B.BLOCK][0].as_py(), *_distinct(grams.triples()), layout)
+        return B.cells(table[B.BLOCK][0].as_py(), *_distinct(*grams.triples()), layout)
 
     def count(kind: int):
         def resolve(table: pa.Table) -> pa.Table:
-            bucket = B.Bucket(table, np.uint32)
-            bucket.extra = bucket.extra.astype(np.uint64)
+            bucket = B.Bucket(table, np.uint64)
             return bucket.answers(bucket.per_key(np.add), B.planes, kind)
 
         return resolve
@@ -68,11 +68,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
         grams = _Grams(table, layout)
         grams.hear(answers)
         grams.hear_triples(answers)
-        return _scores(table["doc_id"], grams)
+        return _scores(table["doc_id"], grams).append_column(B.TIMES, table[B.TIMES])
 
     pairs = B.reply(B.ask(blocks, send_pairs), count(1))
     triples = B.reply(B.meet(blocks, pairs, send_triples, B.CELLS), count(2))
-    return B.meet(blocks, pairs.unionByName(triples), finish, SCHEMA)
+    return B.as_often(B.meet(blocks, pairs.unionByName(triples), finish, f"{SCHEMA}, {B.TIMES} long"))
 
 
 class _Grams:
@@ -91,17 +91,24 @@ class _Grams:
         for k in range(ORDER):
             runs = windows(h, k + 1)
             self.keys.append(layout.cut(runs[np.flatnonzero(self.ends[k]) - k] if len(runs) else runs))
+        times = table[B.TIMES].to_numpy()
+        #: How many copies of its row a word stands for; None where all rows are there once.
+        self.times = np.repeat(times, words.counts).astype(np.uint64) if (times > 1).any() else None
         self.presence = layout.cut(ALL_WORDS)[0]
         self.seen = [np.zeros(len(words), np.int64) for _ in range(ORDER)]
         self.all_words = 0
 
-    @property
-    def lower(self) -> np.ndarray:
-        """The keys of all words and pairs, and that of a word's presence, once a word."""
-        return np.concatenate([*self.keys[: ORDER - 1], np.full(max(len(self.words), 1), self.presence)])
+    def lower(self) -> tuple[np.ndarray, np.ndarray | None]:
+        """The keys of all words and pairs, and that of a word's presence, once a word; how often each counts."""
+        if not len(self.words):
+            return np.array([self.presence]), np.zeros(1, np.uint64)
+        keys = np.concatenate([*self.keys[: ORDER - 1], np.full(len(self.words), self.presence)])
+        if self.times is None:
+            return keys, None
+        return keys, np.concatenate([*[self.times[e] for e in self.ends[: ORDER - 1]], self.times])
 
     def hear(self, answers: pa.Table) -> None:
-        distinct, _ = _distinct(self.lower)
+        distinct, _ = _distinct(*self.lower())
         totals = B.answer_to(distinct, answers, 1, self.layout, _numbers)
         if len(self.words):
             self.all_words = int(totals[np.searchsorted(distinct, self.presence)])
@@ -113,11 +120,12 @@ class _Grams:
         pair = self.seen[ORDER - 2] > 0
         return self.ends[ORDER - 1] & pair & np.concatenate([[False], pair[:-1]])
 
-    def triples(self) -> np.ndarray:
-        return self.keys[ORDER - 1][self.known()[self.ends[ORDER - 1]]]
+    def triples(self) -> tuple[np.ndarray, np.ndarray | None]:
+        known = self.known()
+        return self.keys[ORDER - 1][known[self.ends[ORDER - 1]]], None if self.times is None else self.times[known]
 
     def hear_triples(self, answers: pa.Table) -> None:
-        keys = self.triples()
+        keys, _ = self.triples()
         distinct, _ = _distinct(keys)
         if len(distinct):
             self._note(ORDER - 1, self.known(), keys, distinct, B.answer_to(distinct, answers, 2, self.layout, _numbers))
@@ -131,11 +139,17 @@ def _numbers(answer: bytes, _: int) -> np.ndarray:
     return B.from_planes(answer, np.int64)
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys in order, and how often each is there."""
-    keys = np.sort(keys)
+def _distinct(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each is there; an entry counts once, or as ``times`` says."""
+    if times is not None:
+        order = np.argsort(keys, kind="stable")
+        keys, times = keys[order], times[order]
+    else:
+        keys = np.sort(keys)
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.diff(np.append(first, len(keys))).astype(np.uint32)
+    if times is not None and len(keys):
+        return keys[first], np.add.reduceat(times, first)
+    return keys[first], np.diff(np.append(first, len(keys))).astype(np.uint64)
 
 
 def _others(keys: np.ndarray, rows: np.ndarray, distinct: np.ndarray, totals: np.ndarray) -> np.ndarray:

@@ -24,6 +24,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from stowage.llm import blocks as B
 from stowage.llm.text import space_words, whole_runs, windows
@@ -32,7 +33,7 @@ WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
-DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+DIGEST = T.StructType().add("doc_id", "long").add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
 #: Rows without an id come after all others.
 LAST = np.iinfo(np.int64).max
 
@@ -108,7 +109,7 @@ def _remove(docs: DataFrame, schema, give) -> DataFrame:
     shared = B.reply(B.ask(blocks, send_anchors), share)
     windows_sent = B.meet(blocks, shared, send_runs, B.CELLS)
     answers = shared.unionByName(B.reply(windows_sent, least))
-    return B.meet(blocks, answers, finish, schema)
+    return B.as_often(B.meet(blocks, answers, finish, T.StructType([*schema.fields, T.StructField(B.TIMES, T.LongType())])))
 
 
 def _words(table: pa.Table):
@@ -124,7 +125,10 @@ def _firsts(ordered: np.ndarray) -> np.ndarray:
 
 
 def _anchors(words, layout: B.Layout):
-    """Where anchors begin, their keys; the distinct keys, and which stand in several rows."""
+    """Where anchors begin, their keys; the distinct keys, and which stand in several rows.
+
+    Equal rows take nothing from each other, so it does not matter how often a row is there.
+    """
     h = words.hashes()
     keys = windows(h, ANCHOR)
     at = whole_runs(words.rows, ANCHOR)
@@ -169,6 +173,7 @@ def _digest(table: pa.Table, words, gone: np.ndarray) -> pa.Table:
         "n_words": pa.array(words.counts, pa.int64()),
         "n_removed": pa.array(removed, pa.int64()),
         "kept_sha256": pa.array(shas, pa.string()),
+        B.TIMES: table[B.TIMES],
     })
 
 

@@ -77,6 +77,52 @@ def test_scores_of_odd_rows(documents):
     assert score_documents(documents()).collect() == []
 
 
+def test_equal_rows_are_counted_together_and_scored_apart(documents, layout):
+    """As many copies as there are: by the formula over all rows, whatever a task joins."""
+    texts = [*babble(3, 12, 40, 8), *babble(4, 2, 30, 4) * 30, *[""] * 20]
+    rows = [(i if i < 12 else 100 + len(t), t) for i, t in enumerate(texts)]
+    got = Counter((r.doc_id, r.n_words, r.n_trigrams, r.n_bigrams, r.n_unigrams, round(r.log_score, 4))
+                  for r in score_documents(documents(*rows).repartition(3)).collect())
+    want = Counter((d, n, three, two, one, round(total, 4))
+                   for (d, _), (n, three, two, one, total) in zip(rows, expected_scores(texts), strict=True))
+    assert got == want
+
+
+def test_texts_without_words_add_none_to_the_corpus(documents, layout):
+    texts = ["a b c", None, None, "c d"]
+    got = {r.doc_id: r.log_score for r in score_documents(documents(*[(i, t) for i, t in enumerate(texts)])).collect()}
+    assert [got[i] for i in range(4)] == [pytest.approx(e[-1], abs=2e-6) for e in expected_scores(texts)]
+
+
+@pytest.mark.parametrize("row", [(7, "five words that come often " * 4), (None, None)])
+def test_a_hot_row_reaches_its_block_joined(spark, row):
+    """10^5 equal rows are one for each task that reads them, with their number; results are for all."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(0, 100_000, 1, 4).select(
+        F.lit(row[0]).cast("long").alias("doc_id"), F.lit(row[1]).cast("string").alias("text"))
+    frame = hot.unionByName(spark.createDataFrame([(1, "other words here"), (9, "that come often and more")], hot.schema))
+    layout = blocks.Layout.of(blocks.text_bytes(frame), 0.2, 6)
+    dealt = blocks.with_blocks(frame, layout)
+    sizes = {r[blocks.BLOCK]: (r.n, r.all) for r in
+             dealt.groupBy(blocks.BLOCK).agg(F.count("*").alias("n"), F.sum(blocks.TIMES).alias("all")).collect()}
+    assert sum(a for _, a in sizes.values()) == 100_002
+    assert max(n for n, _ in sizes.values()) <= 6
+    got = score_documents(frame).groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("log_score").alias("k")).collect()
+    assert {r.doc_id: (r.n, r.k) for r in got} == {row[0]: (100_000, 1), 1: (1, 1), 9: (1, 1)}
+    left = remove_repeats(frame.withColumn("x", F.lit(0.5)))
+    assert {r.doc_id: r.n for r in left.groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {row[0]: 100_000, 1: 1, 9: 1}
+    assert left.filter(~F.col("text").eqNullSafe(F.lit(row[1]))).count() == 2
+
+
+def test_rows_that_differ_in_a_carried_column_stay_apart(documents):
+    rows = [(1, "same text"), (1, "same text"), (1, "same text")]
+    frame = documents(*rows)  # they differ in their clashing columns
+    assert sorted(tuple(r) for r in remove_repeats(frame).collect()) == sorted(tuple(r) for r in frame.collect())
+    twice = frame.unionByName(frame).coalesce(1)
+    assert sorted(tuple(r) for r in remove_repeats(twice).collect()) == sorted(2 * [tuple(r) for r in frame.collect()])
+
+
 def expected_repeats(rows):
     first = {}
     for d, text in rows:
