@@ -9,22 +9,24 @@ All other words are mandatory. A template is compiled to an automaton over words
 place in a text matches if the automaton accepts words from there on: mandatory wording
 is the same, word for word, optional regions are whole or absent.
 
-Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are made lower case, so case,
-punctuation and line breaks play no part. All words of all texts are hashed at once. The
-longest stretch of mandatory words of each template is looked for by its hash, and the
-automaton reads only texts that hold it.
+Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are made lower case, in texts
+and templates, so case, punctuation and line breaks play no part. All words of all texts
+are hashed at once. The beginning of the longest stretch of mandatory words of each
+template is looked for by its hash, and the automaton starts only where it can reach such
+a place. ``license_texts`` has whole licenses.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from stowage.llm.license_texts import LICENSE_TEXTS
 from stowage.llm.text import LOWER, WORD_BYTES, Words, slices, text_buffer, windows
 
 # The base phrases and their labels, then wording of public licenses.
@@ -50,10 +52,14 @@ TEMPLATES = {
                  "associated documentation files <<optional>>the software<<end>> to deal in the software without restriction",
     "mit-release": "released under the mit license",
     "mpl-2": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    **LICENSE_TEXTS,
 }
+#: Of the longest mandatory stretch of a template so many words are looked for by hash.
+CORE = 8
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
           "labels string, score double")
-_MARKUP = re.compile(r"<<(optional|end|any (\d+)-(\d+))>>|([^\s<]+)")
+_MARKUP = re.compile(r"<<(optional|end|any (\d+)-(\d+))>>|(<<)|([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)")
+_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
 
 @dataclass
@@ -64,7 +70,9 @@ class Automaton:
     other: list[int | None] = field(default_factory=list)
     free: list[list[int]] = field(default_factory=list)
     last: int = 0
-    core: list[str] = field(default_factory=list)  # the longest stretch of mandatory words
+    core: list[str] = field(default_factory=list)  # the first words of the longest mandatory stretch
+    least: int = 0  # so many words at least, and at most, stand before the core
+    most: int = 0
 
     def state(self) -> int:
         self.words.append({})
@@ -82,7 +90,7 @@ class Automaton:
                     todo.append(s)
         return seen
 
-    def accepts(self, text: list[str], at: int) -> bool:
+    def accepts(self, text: Sequence[str], at: int) -> bool:
         """Whether the wording stands in ``text`` from word ``at`` on."""
         now = self.reach({0})
         while now and self.last not in now and at < len(text):
@@ -96,23 +104,27 @@ class Automaton:
 
 def compile_template(markup: str) -> Automaton:
     made = Automaton()
-    now, opened, stretch = made.state(), [], []
-
-    def longest() -> None:
-        if len(stretch) > len(made.core):
-            made.core = list(stretch)
+    now, opened, stretch, longest = made.state(), [], [], 0
+    fewest = largest = 0  # words up to here
+
+    def close() -> None:
+        nonlocal longest
+        if len(stretch) > longest:
+            longest = len(stretch)
+            made.core, made.least, made.most = stretch[:CORE], fewest - longest, largest - longest
         stretch.clear()
 
-    for mark in _MARKUP.finditer(markup):
-        kind, least, most, word = mark.groups()
+    for kind, least, most, word in _marks(markup):
         if word:
             new = made.state()
             made.words[now][word] = new
             now = new
+            largest += 1
             if not opened:
+                fewest += 1
                 stretch.append(word)
             continue
-        longest()
+        close()
         if kind == "optional":
             new = made.state()
             made.free[now].append(new)
@@ -123,6 +135,8 @@ def compile_template(markup: str) -> Automaton:
             made.free[opened.pop()].append(new)
             now = new
         else:
+            largest += int(most)
+            fewest += 0 if opened else int(least)
             begin = [now]
             for _ in range(int(most)):
                 new = made.state()
@@ -133,22 +147,30 @@ def compile_template(markup: str) -> Automaton:
             new = made.state()
             made.free[now].append(new)
             now = new
-    longest()
+    close()
     if opened or not made.core:
         raise ValueError(f"not a template: {markup!r}")
     made.last = now
     return made
 
 
+def _marks(markup: str) -> Iterator[tuple[str, str, str, str]]:
+    """The marks and words of a template: kind, fewest and most words of ``any``, word."""
+    for mark in _MARKUP.finditer(markup.translate(_LOWER)):
+        kind, least, most, unknown, word = mark.groups()
+        if unknown:
+            raise ValueError(f"not a mark: {markup[mark.start() : mark.start() + 20]!r}")
+        yield kind, least, most, word
+
+
 def template_regex(markup: str) -> str:
     """The same template as a regular expression over words that each follow a space."""
-    def turn(mark: re.Match) -> str:
-        kind, least, most, word = mark.groups()
+    def turn(kind: str, least: str, most: str, word: str) -> str:
         if word:
             return f" {re.escape(word)}"
         return {"optional": "(?:", "end": ")?"}.get(kind) or f"(?: [^ ]+){{{least},{most}}}"
 
-    return "".join(turn(m) for m in _MARKUP.finditer(markup)) + " "
+    return "".join(turn(*m) for m in _marks(markup)) + " "
 
 
 def license_words(texts: pa.Array | pa.ChunkedArray) -> Words:
@@ -165,7 +187,8 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] | None = None, templates
     distinct, sorted and joined by commas ('' if none); ``score``: 1 - 2^-k for k
     distinct labels, 0 where there is none. A null text counts as empty: no words, no
     labels. Rows without an id and repeated rows are scanned as they are. An empty table
-    gives no rows.
+    gives no rows. Texts are read in whole: the work is linear in a text's length and in the
+    places that hold a template's core, and a text lies in one task's memory.
     """
     base = BASE if base is None else base
     automata = {label: compile_template(t) for label, t in (TEMPLATES if templates is None else templates).items()}
@@ -180,6 +203,24 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] | None = None, templates
     return docs.mapInArrow(scan, SCHEMA)
 
 
+class _Text(Sequence):
+    """The words of one row, each spelled when it is asked for."""
+
+    def __init__(self, words: Words, row: int):
+        mine = words.of_row(row)
+        self.words, self.begin, self.end = words, mine.start, mine.stop
+
+    def __len__(self) -> int:
+        return self.end - self.begin
+
+    def __getitem__(self, i: int) -> str:
+        return _spell(self.words, self.begin + i)
+
+
+def _spell(words: Words, i: int) -> str:
+    return words.data[words.starts[i] : words.ends[i]].tobytes().decode()
+
+
 def _hash(words: tuple[str, ...] | list[str]) -> np.uint64:
     h = license_words(pa.array([" ".join(words)])).hashes()
     return windows(h, len(words))[0]
@@ -190,13 +231,10 @@ def _scan(batch: pa.RecordBatch, phrases: dict, automata: dict, known: dict) ->
     h = words.hashes()
     by_size = {k: windows(h, k) for k in {len(p) for p in known}}
 
-    def spell(i: int) -> str:
-        return words.data[words.starts[i] : words.ends[i]].tobytes().decode()
-
     def places(phrase: tuple[str, ...]) -> np.ndarray:
         at = np.flatnonzero(by_size[len(phrase)] == known[phrase])
         at = at[words.rows[at] == words.rows[at + len(phrase) - 1]]
-        return np.array([i for i in at if all(spell(i + k) == w for k, w in enumerate(phrase))], np.int64)
+        return np.array([i for i in at if all(_spell(words, i + k) == w for k, w in enumerate(phrase))], np.int64)
 
     n = batch.num_rows
     n_base, first, last = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
@@ -211,14 +249,14 @@ def _scan(batch: pa.RecordBatch, phrases: dict, automata: dict, known: dict) ->
         for row in rows.tolist():
             base_labels.setdefault(row, set()).add(label)
     labels = {row: set(found) for row, found in base_labels.items()}
-    texts: dict[int, list[str]] = {}
     for label, automaton in automata.items():
-        for row in np.unique(words.rows[places(tuple(automaton.core))]).tolist():
-            if row not in texts:
-                mine = words.of_row(row)
-                texts[row] = [spell(i) for i in range(mine.start, mine.stop)]
-            text = texts[row]
-            if any(automaton.accepts(text, at) for at in range(len(text))):
+        for core in places(tuple(automaton.core)).tolist():
+            row = int(words.rows[core])
+            if label in labels.get(row, ()):
+                continue
+            text = _Text(words, row)
+            place = core - text.begin
+            if any(automaton.accepts(text, at) for at in range(max(place - automaton.most, 0), place - automaton.least + 1)):
                 labels.setdefault(row, set()).add(label)
     none = n_base == 0
     return pa.record_batch({

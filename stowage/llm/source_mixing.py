@@ -111,19 +111,7 @@ def _targets(sizes: DataFrame, weights, share: float, epochs: float, scratch: st
         f"{scratch}/weights",
     )
     total = share * (ranked.agg(F.sum("source_size")).first()[0] or 0)
-    level, full = 0.0, -1
-    while True:  # the level only rises; it ends when it fills no further source
-        is_full = F.col("most") <= F.col("weight") * F.lit(level)
-        got = ranked.agg(
-            F.count_if(is_full).alias("n"),
-            F.sum(F.when(is_full, F.col("most"))).alias("given"),
-            F.sum(F.when(~is_full, F.col("weight"))).alias("open"),
-        ).first()
-        if got["n"] == full or not got["open"]:
-            break
-        full = got["n"]
-        level = (total - (got["given"] or 0.0)) / got["open"]
-    filled = F.least(F.col("most"), F.col("weight") * F.lit(level)) if got["open"] else F.col("most")
+    filled = F.least(F.col("most"), F.col("weight") * F.lit(_level(ranked, total, f"{scratch}/levels")))
     words = F.round("target").cast("long")
     return ranked.select(
         "source", "source_size", filled.alias("target"),
@@ -131,6 +119,31 @@ def _targets(sizes: DataFrame, weights, share: float, epochs: float, scratch: st
     ).withColumn("rest", words - F.col("whole") * F.col("source_size"))
 
 
+def _level(sources: DataFrame, total: float, path: str) -> float:
+    """The water level at which the targets of ``sources`` come to ``total``.
+
+    Sources fill in the order of most / weight. Whichever are taken for filled, the level is
+    at least (total - their limits) / (weights of the others), and for the right ones it is
+    that; so it is the largest of these over the order. Sources that fill at one level count as one.
+    """
+    steps = sources.groupBy(F.try_divide("most", "weight").alias("at")).agg(
+        F.sum("most").alias("most"), F.sum("weight").alias("weight"))
+    parts = stored(steps.repartitionByRange(F.col("at").asc_nulls_last()).withColumn("part", F.spark_partition_id()), path)
+    sums = sorted(parts.groupBy("part").agg(F.sum("most"), F.sum("weight")).collect())  # a row per partition
+    filled, open_, begins = 0.0, sum(weight for _, _, weight in sums), []
+    for part, most, weight in sums:
+        begins.append((part, F.struct(F.lit(filled).alias("filled"), F.lit(open_).alias("open"))))
+        filled, open_ = filled + most, open_ - weight
+    if not begins:
+        return 0.0
+    begin = F.create_map(*[x for part, sums_there in begins for x in (F.lit(part), sums_there)])[F.col("part")]
+    before = Window.partitionBy("part").orderBy(F.col("at").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    filled_there = begin["filled"] + F.coalesce(F.sum("most").over(before), F.lit(0.0))
+    open_there = begin["open"] - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    levels = parts.select(F.try_divide(F.lit(float(total)) - filled_there, open_there).alias("level"))
+    return levels.agg(F.max("level")).first()[0] or 0.0
+
+
 def _with_rank(df: DataFrame, order: Column, path: str) -> DataFrame:
     """Number the rows from 0 in order, without bringing them to one task."""
     parts = stored(

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import lru_cache
 from pathlib import Path
 
@@ -30,8 +31,10 @@ CACHE = "content string, tokenizer string, n_tokens long"
 LIMIT = 2048
 #: Texts are encoded in batches of about this size.
 BATCH_BYTES = 1 << 18
-#: Stretches whose counts a worker remembers at most; beyond, it begins anew.
-STRETCHES = 1 << 20
+#: A worker remembers counts of stretches up to about this size; beyond, it begins anew.
+MEMO_BYTES = 1 << 27
+#: What an entry takes beside its stretch.
+ENTRY_BYTES = 100
 SPACE = "[ \t\n\x0b\f\r]+"
 
 
@@ -50,31 +53,41 @@ def count_batch(texts: list[str], path: str, dropped: bool) -> list[int]:
 
     With ``dropped``, for a tokenizer that parts words at white space and drops it, a
     text's tokens are those of its stretches between ASCII white space. Each distinct
-    stretch is encoded once in a while: up to ``STRETCHES`` counts are remembered.
+    stretch is encoded once in a while: counts are remembered up to ``MEMO_BYTES``.
     """
     if not dropped:
         return [n for at in range(0, len(texts), 64) for n in _encode(texts[at : at + 64], path)]
-    known = _stretches(path)
+    memo = _memo(path)
     counts = []
     for text in texts:
         parts = text.encode().split()
-        if len(known) > STRETCHES:
-            known.clear()
-        new = [p for p in set(parts) if p not in known]
+        if memo.size > MEMO_BYTES:
+            memo.known.clear()
+            memo.size = 0
+        new = [p for p in set(parts) if p not in memo.known]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
-            known.update(zip(some, _encode([p.decode() for p in some], path), strict=True))
-        counts.append(sum(map(known.__getitem__, parts)))
+            memo.known.update(zip(some, _encode([p.decode() for p in some], path), strict=True))
+        memo.size += sum(map(len, new)) + ENTRY_BYTES * len(new)
+        counts.append(sum(map(memo.known.__getitem__, parts)))
     return counts
 
 
+@dataclass
+class Memo:
+    """Tokens by stretch, and about how many bytes they take."""
+
+    known: dict[bytes, int] = field(default_factory=dict)
+    size: int = 0
+
+
 def _encode(texts: list[str], path: str) -> list[int]:
     return [len(code) for code in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
-def _stretches(path: str) -> dict[bytes, int]:
-    return {}
+def _memo(path: str) -> Memo:
+    return Memo()
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int = LIMIT, normalise: bool = True) -> DataFrame:
@@ -84,7 +97,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int =
     storage, made when there is none. One row per input row: ``doc_id``, ``n_bytes``
     (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit``). A null text counts as
     empty: 0 bytes, 0 tokens. Repeated rows, rows without an id and copies get the count
-    of their content. An empty table gives no rows. Two calls that overlap may both
+    of their content. An empty table gives no rows. Texts are encoded in whole; a text lies in
+    one task's memory, as do the counts of its stretches beside the remembered ones. Two calls that overlap may both
     append a content; counts are then equal, and one is used.
     """
     spark = docs.sparkSession

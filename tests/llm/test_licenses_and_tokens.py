@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from stowage.llm import token_counts as tc
+from stowage.llm.license_texts import LICENSE_TEXTS
 from stowage.llm.license_scan import BASE, TEMPLATES, compile_template, scan_licenses, template_regex
 from tests.llm.conftest import ODD
 
@@ -22,9 +23,13 @@ def test_automata_accept_what_the_expression_matches(markup, text):
     automaton = compile_template(markup)
     accepted = any(automaton.accepts(text, at) for at in range(len(text)))
     assert accepted == bool(re.search(template_regex(markup), " " + " ".join(text) + " "))
+    for at in range(len(text)):  # a match has the core where the scan starts from
+        if automaton.accepts(text, at):
+            reach = range(at + automaton.least, at + automaton.most + 1)
+            assert any(text[i : i + len(automaton.core)] == automaton.core for i in reach)
 
 
-@pytest.mark.parametrize("bad", ["<<optional>>a<<end>>", "a <<optional>>b", "<<any 1-2>>"])
+@pytest.mark.parametrize("bad", ["<<optional>>a<<end>>", "a <<optional>>b", "<<any 1-2>>", "a <<optinal>>b<<end>>"])
 def test_templates_need_mandatory_words_and_closed_regions(bad):
     with pytest.raises(ValueError):
         compile_template(bad)
@@ -63,6 +68,41 @@ def test_scans_are_those_by_hand(documents):
     assert scan_licenses(documents()).collect() == []
 
 
+def copy_of(template, optional=True):
+    """A license as it stands in the world: regions filled in, marks of optional ones gone or with their words."""
+    text = re.sub(r"<<any 0-1>>", "3. " if optional else "", template)
+    text = re.sub(r"<<any 1-\d+>>", "Jane Doe & others", text)
+    return re.sub(r"<<optional>>(.*?)<<end>>", r"\1" if optional else "", text)
+
+
+@pytest.mark.parametrize("optional", [True, False])
+def test_whole_licenses_are_found_and_changed_ones_refused(documents, optional):
+    rows, want = [], {}
+    for label, template in LICENSE_TEXTS.items():
+        words = copy_of(template, optional).split()
+        for text, found in [
+            ("The Title\n(c) 2024 J. Doe\n" + " ".join(words) + " and more", True),
+            ("x " * 3000 + "\n * ".join(words).upper(), True),
+            (" ".join([*words[:3], "not", *words[3:]]), False),
+            (" ".join([*words[:3], *words[4:]]), False),
+            (" ".join([*words[:-2], "not", *words[-2:]]), False),
+            (" ".join(words[:-1]), False),
+        ]:
+            want[len(rows)] = (label, found)
+            rows.append((len(rows), text))
+    for r in scan_licenses(documents(*rows)).collect():
+        label, found = want[r.doc_id]
+        assert (label in r.labels.split(",")) == found, (label, r.doc_id)
+        assert r.labels == by_hand(rows[r.doc_id][1])[5]
+
+
+def test_a_core_that_repeats_is_read_on(documents):
+    tail = " international license"
+    rows = [(1, "creative commons attribution " * 3000), (2, "licensed under creative commons attribution " * 2000 + "4 0" + tail),
+            (3, "licensed under a the creative commons attribution x y z w" + tail)]
+    assert [r.labels for r in sorted(scan_licenses(documents(*rows)).collect())] == ["", "cc-by", ""]
+
+
 TEXTS = ["Hello  World", "hello world", " Hello World\n", "Hello World", "", None, "<|endoftext|>", "a<|endoftext|>b　c", "don't 123",
          "İstanbul ΣΑΣ ǆ é", "日本語 テキスト", "\xa0a\x1cb\x85c", "x" * 5000, "tok " * 50_000, "<|startoftext|> <|end oftext|>"]
 
@@ -98,3 +138,12 @@ def test_only_misses_are_encoded(spark, documents, tmp_path):
     assert spark.read.parquet(lied).count() == 5
     whole = tc.count_tokens(documents((1, "a b"), (2, "a  b")), PATH, lied, normalise=False).collect()
     assert [r.n_tokens for r in whole] == [7, 2] or {r.doc_id: r.n_tokens for r in whole} == {1: 7, 2: 2}
+
+
+def test_what_a_worker_remembers_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tc, "MEMO_BYTES", 2000)
+    texts = [f"{chr(97 + n % 26) * 50}{n} word {n}" for n in range(100)]
+    assert tc.count_batch(texts, PATH, True) == tc.count_batch(texts, PATH, False)
+    memo = tc._memo(PATH)
+    assert memo.size <= 2000 + 3 * tc.ENTRY_BYTES + 200
+    assert memo.size == sum(map(len, memo.known)) + tc.ENTRY_BYTES * len(memo.known)

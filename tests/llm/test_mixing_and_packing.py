@@ -60,6 +60,26 @@ def test_targets_and_taken_words(documents, seed):
     assert {r.doc_id: r.taken for r in got} == {r.doc_id: r.taken for r in again}
 
 
+@pytest.mark.parametrize(("weights", "share", "epochs"), [((5, 2, 1), 1.5, 2.0), ((1, 7), 0.3, 1.0), ((3, 0), 0.9, 2.0), ((1,), 3.0, 2.0)])
+def test_targets_of_many_sources(documents, weights, share, epochs):
+    rows = sized(9, 900, [f"s{i:03}" for i in range(250)], 9)
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    weighed = {s: weights[i % len(weights)] for i, s in enumerate(sorted(sizes))}
+    got = {r.source: r.target for r in mix_sources(documents(*rows), weights, share, epochs).collect()}
+    if share > epochs:  # more than can be taken: all are filled
+        assert got == {s: epochs * n for s, n in sizes.items()}
+        return
+    total = share * sum(sizes.values())
+    low, high = 0.0, 1e9
+    for _ in range(200):  # the level, by halving
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(epochs * n, weighed[s] * level) for s, n in sizes.items()) < total else (low, level)
+    for s, n in sizes.items():
+        assert got[s] == pytest.approx(min(epochs * n, weighed[s] * low))
+
+
 def test_texts_come_as_often_as_taken(documents):
     rows = sized(5, 80)
     frame = documents(*rows)
