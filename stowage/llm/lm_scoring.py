@@ -12,9 +12,10 @@ would say nothing. A word's score is ``c(a b w) / c(a b)`` if that n-gram was se
 else 0.4 times the score with one word of context less; at last ``c(w) / N``, where a
 word never seen counts as seen once.
 
-N-grams are told apart by hashes of 48 bits and those that name one of the buckets, of
-which there is one for a million n-grams: whatever the size of the corpus, a given n-gram
-meets another by chance with a probability of about 2^-28.
+N-grams are told apart by hashes of 56 bits and those that name one of the buckets, of
+which there is one for a million n-grams, 64 bits together at most. A given n-gram meets
+another by chance with a probability of about 2^-36, and of n / 2^64 from n = 2^28 distinct
+n-grams on.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     row. A text is held whole by a task. An empty table gives no rows.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.2, width=6, block_bytes=4 << 20)
+    layout = B.Layout.of(B.text_bytes(docs), keys_per_byte=0.2, width=7, block_bytes=4 << 20)
     blocks = B.with_blocks(docs, layout)
 
     def send_pairs(table: pa.Table) -> pa.Table:
