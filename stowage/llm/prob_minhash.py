@@ -23,7 +23,7 @@ similarity of the two sets. A document without repeated shingles has one sketch
    one block is compared there through an index of its shingles. In a larger one, such as pages of one template
    make, prefixes come first: of a class's shingles in the order of their number, rare ones before,
    those at the beginning that make up the share that a linked class may lack. That is 1 - t for a threshold
-   of t, and 1 - 2t/(1 + t) for the smaller of two sets of equal weights. Linked
+   of t, and 1 - 2t/(1 + t) for that of the two that lacks less. Linked
    classes have a shingle of their prefixes in common, so only classes that share one across components stay, in
    families that these make anew. Their largest component stands still, the others
    are compared with all of it, block by block. No pairs are written, only links that join components.
@@ -31,6 +31,9 @@ similarity of the two sets. A document without repeated shingles has one sketch
 So texts move once in a round and once for the blocks, but for families that prefixes leave larger
 than a block: those outside a family's largest component move once for each of its blocks.
 
+In a block, ``bounds`` rules out most pairs with repeated shingles that are no link, and pairs that links
+already join are not compared.
+
 A pair of similarity 0.8 shares no band with probability 7e-5, of 0.9 with 2e-9; of 0.7 with 0.012.
 """
 
@@ -45,7 +48,7 @@ from pyspark.sql import functions as F
 
 from stowage.llm.components import components
 from stowage.llm.shared import free_names, scratch_root, stored
-from stowage.llm.text import ODD, STEP, join_hashes, mix, slices, space_words, windows
+from stowage.llm.text import ODD, STEP, join_hashes, mix, slices, space_words, text_buffer, windows
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -57,7 +60,7 @@ BLOCK_ROWS = 1024
 BLOCK_BYTES = 16 << 20
 #: Texts that are compared with one centre in one task.
 CHUNK_BYTES = 8 << 20
-KEYS = "doc_id long, class1 long, class2 long, bands array<long>, sketch binary"
+KEYS = "doc_id long, class1 long, class2 long, bands array<long>, sketch binary, size long"
 
 
 class Shingles:
@@ -166,6 +169,19 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray, eno
     return max(plain, probability_jaccard(a, wa, b, wb))
 
 
+def bounds(mine: np.ndarray, other: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
+    """Upper bounds of one weighted set's probability Jaccard similarity with the sets of ``rows``.
+
+    For each shingle that the set has in common with a row: its share ``mine`` of the one, ``other`` of the row's.
+    A shingle of shares p and q counts 1 / sum max(p_y / p, q_y / q), over all shingles y. With u and v for what
+    the two lack of each other that sum is at least 1 / p + v / q, and 1 / q + u / p. The bound is
+    exact if the shares in common have one ratio, and never above the sum of min(p, q).
+    """
+    u = 1 - np.bincount(rows, mine, n_rows)[rows]
+    v = 1 - np.bincount(rows, other, n_rows)[rows]
+    return np.bincount(rows, 1 / np.maximum(1 / mine + v / other, 1 / other + u / mine), n_rows)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
     """The group of near copies of every row of ``docs`` (``doc_id``, ``text``).
 
@@ -249,6 +265,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], n_bands: int, shingle: int) ->
             "class2": pa.array(class2),
             "bands": pa.array(bands, pa.list_(pa.int64())),
             "sketch": pa.array([None if blank[r] else prints[r].tobytes() for r in range(n)], pa.binary()),
+            "size": pa.array(np.diff(text_buffer(batch.column("text"))[1])),
         })
 
 
@@ -271,16 +288,16 @@ class _Search:
         # The row whose sketch and text stand for a class: its first by id.
         of = classes.select(F.col("class1").alias("of1"), F.col("class2").alias("of2"), "id")
         same = (F.col("doc_id") == F.col("id")) & (F.col("class1") == F.col("of1")) & (F.col("class2") == F.col("of2"))
-        heads = keys.join(of, same).dropDuplicates(["id", "of1", "of2"]).select("id", "bands", "sketch")
+        heads = keys.join(of, same).dropDuplicates(["id", "of1", "of2"]).select("id", "bands", "sketch", "size")
         heads = self._stored(heads, "heads")
         members = heads.select("id", F.explode("bands").alias("bucket"))
         centers = members.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
         shared = self._stored(members.join(centers.drop("n"), "bucket"), "shared")
         named = shared.select("id").distinct()
-        sketches = self._stored(heads.select("id", "sketch").join(named, "id", "left_semi"), "sketches")
+        sketches = self._stored(heads.select("id", "sketch", "size").join(named, "id", "left_semi"), "sketches")
         texts = self._stored(
             docs.join(sketches.select("id").hint("shuffle_hash"), docs["doc_id"] == F.col("id"), "left_semi")
-            .select(F.col("doc_id").alias("id"), "text", F.octet_length("text").cast("long").alias("size")),
+            .select(F.col("doc_id").alias("id"), "text"),
             "texts",
         )
         now = shared.select("bucket", "center", "id", F.col("center").alias("of_center"), F.col("id").alias("of_id"), F.lit(-(2**63)).alias("met"))
@@ -289,10 +306,10 @@ class _Search:
             open_ = now.filter("of_center <> of_id AND center > met AND center < id")
             candidates = self._stored(open_.groupBy("id").agg(F.min("center").alias("a")).select("a", F.col("id").alias("b")), f"candidates{n}")
             likely = self._stored(self._likely(candidates, sketches), f"likely{n}")
-            found = self._stored(self._compare(likely, texts, f"chunks{n}"), f"links{n}")
+            found = self._stored(self._compare(likely, texts), f"links{n}")
             links = found if links is None else links.union(found)
             now = self._stored(self._contracted(now, links, candidates, f"components{n}"), f"now{n}")
-        return links.union(self._rest(now, texts))
+        return links.union(self._rest(now, sketches.select("id", "size"), texts))
 
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
         return stored(df, f"{self._scratch}/{name}")
@@ -309,26 +326,25 @@ class _Search:
         return named.join(mixed.select("bucket"), "bucket", "left_semi").select(now.columns)
 
     def _likely(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-        """Pairs whose sketches do not rule out a link."""
+        """Pairs whose sketches do not rule out a link, with the ``size`` of the text of ``b``."""
         least = self.threshold - self.margin
         for end in "ab":
-            side = sketches.select(F.col("id").alias(f"id_{end}"), F.col("sketch").alias(f"sketch_{end}")).hint("merge")
+            more = ["size"] if end == "b" else []
+            side = sketches.select(F.col("id").alias(f"id_{end}"), F.col("sketch").alias(f"sketch_{end}"), *more).hint("merge")
             pairs = pairs.join(side, F.col(end) == F.col(f"id_{end}")).drop(f"id_{end}")
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
                     x, y = (_prints(batch.column(f"sketch_{s}")) for s in "ab")
-                    yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= least))
+                    yield batch.select(["a", "b", "size"]).filter(pa.array(agreement(x, y) >= least))
 
-        return pairs.mapInArrow(check, "a long, b long")
+        return pairs.mapInArrow(check, "a long, b long, size long")
 
-    def _compare(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    def _compare(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs that are linked. Of a centre's members some MB at a time follow its text."""
-        members = pairs.join(texts.withColumnRenamed("id", "b").hint("merge"), "b")
-        chunks = members.groupBy("a").agg(F.ceil((F.sum("size") + 1) / CHUNK_BYTES).cast("int").alias("chunks"))
-        chunks = self._stored(chunks, name)
-        dealt = members.join(chunks, "a").select(
+        chunks = pairs.groupBy("a").agg(F.ceil((F.sum("size") + 1) / CHUNK_BYTES).cast("int").alias("chunks"))
+        dealt = pairs.join(chunks, "a").join(texts.withColumnRenamed("id", "b").hint("merge"), "b").select(
             "a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), "b", "text")
         first = chunks.join(texts.withColumnRenamed("id", "a").hint("merge"), "a").select(
             "a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("long").alias("b"), "text")
@@ -351,12 +367,12 @@ class _Search:
 
         return rows.mapInArrow(check, "a long, b long")
 
-    def _rest(self, now: DataFrame, texts: DataFrame) -> DataFrame:
+    def _rest(self, now: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
         """Links between components that still share a bucket."""
         edges = now.groupBy("bucket").agg(F.min("of_id").alias("low")).join(now.select("bucket", "of_id"), "bucket")
         of = self._families(edges, "families")
         members = now.select("id", F.col("of_id").alias("component")).distinct().join(of, "component")
-        sized = self._stored(members.join(texts.select("id", "size"), "id"), "sized")
+        sized = self._stored(members.join(sizes, "id"), "sized")
         totals = sized.groupBy("family").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
         large = totals.filter((F.col("n") > BLOCK_ROWS) | (F.col("bytes") > BLOCK_BYTES)).select("family")
         small = sized.join(large, "family", "left_anti")
@@ -377,18 +393,15 @@ class _Search:
                 s = Shingles(batch.column("text"), shingle)
                 n = np.diff(s.bounds)
                 totals = np.bincount(s.rows, s.weights, batch.num_rows)
-                repeats = np.zeros(batch.num_rows, bool)
-                repeats[s.rows[s.weights > 1]] = True
                 yield pa.record_batch({
                     "id": batch.column("id").take(pa.array(s.rows)), "component": batch.column("component").take(pa.array(s.rows)),
                     "shingle": pa.array(s.hashes.view(np.int64)),
                     "one": pa.array(1 / n[s.rows]), "part": pa.array(s.weights / totals[s.rows]),
-                    "repeats": pa.array(repeats[s.rows]),
                 })
 
         rows = self._stored(
             members.select("id", "component").join(texts.select("id", "text").hint("merge"), "id")
-            .mapInArrow(spread, "id long, component long, shingle long, one double, part double, repeats boolean"), "spread")
+            .mapInArrow(spread, "id long, component long, shingle long, one double, part double"), "spread")
         # Shingles of one class are common to nothing; they come first in every order.
         times = rows.groupBy("shingle").agg(F.count("*").alias("times"), F.min("component").alias("low"), F.max("component").alias("high")).filter("times > 1")
         common = rows.join(times.hint("merge"), "shingle")
@@ -397,9 +410,10 @@ class _Search:
         before = {c: F.lit(1.0) - F.sum(c).over(every) + F.coalesce(F.sum(c).over(in_order), F.lit(0.0)) for c in ("one", "part")}
         t, slack = self.threshold, 1e-9
         long = (F.col("one") <= 1 - t + slack) | (F.col("part") <= 1 - t + slack)
-        # With repeated shingles the weighted similarity counts, which knows no smaller set.
-        short = (F.col("one") <= 1 - 2 * t / (1 + t) + slack) | (F.col("repeats") & (F.col("part") <= 1 - t + slack))
-        prefix = common.select("id", "component", "shingle", "repeats", "low", "high", *[before[c].alias(c) for c in before]).filter("low < high")
+        # Two sets that lack shares u and v of each other are (1 - u)(1 - v) / (1 - uv) alike at most (``bounds``).
+        least = 1 - 2 * t / (1 + t) + slack
+        short = (F.col("one") <= least) | (F.col("part") <= least)
+        prefix = common.select("id", "component", "shingle", "low", "high", *[before[c].alias(c) for c in before]).filter("low < high")
         prefix = self._stored(prefix.filter(long | short).select("id", "component", "shingle", short.alias("short")), "prefix")
         mixed = prefix.groupBy("shingle").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.max("short").alias("short")).filter("low < high AND short")
@@ -446,7 +460,7 @@ def _prints(column: pa.Array) -> np.ndarray:
 def _join_components(table: pa.Table, threshold: float, shingle: int) -> pa.Table:
     """Links from the asking rows to the others that join components not joined before."""
     asking = table["asking"].to_numpy().astype(bool)
-    ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+    ids, component = table["id"].to_numpy(), table["component"].to_numpy().copy()
     s = Shingles(table["text"], shingle)
     sizes = np.diff(s.bounds)
     totals = np.add.reduceat(np.append(s.weights, 0), np.minimum(s.bounds[:-1], len(s.weights)))
@@ -458,13 +472,6 @@ def _join_components(table: pa.Table, threshold: float, shingle: int) -> pa.Tabl
     entry = entry[np.argsort(s.hashes[entry], kind="stable")]
     held, first = np.unique(s.hashes[entry], return_index=True)
     times = np.diff(np.append(first, len(entry)))
-    joined: dict[int, int] = {}
-
-    def root(c: int) -> int:
-        while joined.get(c, c) != c:
-            c = joined[c]
-        return c
-
     a, b = [], []
     for i in np.flatnonzero(asking):
         mine = s.of_row(i)
@@ -476,16 +483,24 @@ def _join_components(table: pa.Table, threshold: float, shingle: int) -> pa.Tabl
         rows = s.rows[found]
         common = np.bincount(rows, minlength=len(ids))
         alike = common / np.maximum(sizes + sizes[i] - common, 1) >= threshold
-        # The overlap of the shares bounds the weighted similarity from above.
-        overlap = np.bincount(rows, np.minimum(share[found], np.repeat(share[mine][hit], n)), len(ids))
-        for j in np.flatnonzero(~alike & (overlap >= threshold - 1e-9) & (repeats | repeats[i]) & (component != component[i])):
-            other = s.of_row(j)
-            alike[j] = similarity(s.hashes[mine], s.weights[mine], s.hashes[other], s.weights[other], threshold) >= threshold
-        others = np.flatnonzero(alike & ~asking & (component != component[i]))
-        for j in others[np.unique(component[others], return_index=True)[1]]:
-            x, y = root(int(component[i])), root(int(component[j]))
-            if x != y:
-                joined[max(x, y)] = min(x, y)
-                a.append(ids[i])
-                b.append(ids[j])
+        linked = list(_one_of_each(component, i, alike & ~asking))
+        some = (~alike & (repeats | repeats[i]) & (component != component[i]))[rows]
+        if some.any():
+            most = bounds(np.repeat(share[mine][hit], n)[some], share[found][some], rows[some], len(ids))
+            for j in np.flatnonzero(most >= threshold - 1e-9):
+                other = s.of_row(j)
+                if component[j] != component[i] and similarity(
+                        s.hashes[mine], s.weights[mine], s.hashes[other], s.weights[other], threshold) >= threshold:
+                    linked += _one_of_each(component, i, np.arange(len(ids)) == j)
+        a += [ids[i]] * len(linked)
+        b += [ids[j] for j in linked]
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _one_of_each(component: np.ndarray, i: int, others: np.ndarray) -> Iterator[int]:
+    """Of ``others`` one row of each component but that of row ``i``, which they join, in place."""
+    others = np.flatnonzero(others & (component != component[i]))
+    found, first = np.unique(component[others], return_index=True)
+    if len(found):
+        component[np.isin(component, found)] = component[i]
+    yield from others[first]

@@ -195,3 +195,71 @@ def test_components_of_chains_and_stars(spark, tmp_path):
     want = {i: 100 for i in range(100, 161)} | {i: 7 for i in range(7, 30)} | {400: 400, 450: 400, 500: 400}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long"), str(tmp_path / "none")).collect() == []
+
+
+def repeated_line_rows(draw, n):
+    """Texts that repeat two words, with words of their own: weighted similarities on both sides of the threshold."""
+    rows = []
+    for i in range(n):
+        own = [f"o{i}x{k}" for k in range(draw.randrange(8, 60))]
+        rows.append(" ".join([*own, *["and", "the"] * 110]))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bounds_are_never_below_the_similarity(seed):
+    draw = np.random.default_rng(seed)
+    for _ in range(200):
+        a, b = (np.sort(draw.choice(20, draw.integers(3, 20), replace=False)) for _ in "ab")
+        wa, wb = (draw.integers(1, draw.choice([2, 40]), len(x)) for x in (a, b))
+        both, x, y = np.intersect1d(a, b, return_indices=True)
+        p, q = wa[x] / wa.sum(), wb[y] / wb.sum()
+        exact = pm.probability_jaccard(a.astype(np.uint64), wa, b.astype(np.uint64), wb)
+        most = pm.bounds(p, q, np.zeros(len(both), np.int64), 1)[0]
+        assert exact - 1e-12 <= most <= np.minimum(p, q).sum() + 1e-12
+        u, v = 1 - p.sum(), 1 - q.sum()
+        assert most <= (1 - u) * (1 - v) / max(1 - u * v, 1e-12) + 1e-12
+        same = pm.bounds(p, p, np.zeros(len(both), np.int64), 1)[0]
+        assert same == pytest.approx(p.sum() / (2 - p.sum()))
+
+
+@pytest.mark.parametrize("rows_per_block", [1024, 16])
+def test_repeated_words_that_most_texts_share_cost_few_comparisons(documents, monkeypatch, rows_per_block):
+    monkeypatch.setattr(pm, "BLOCK_ROWS", rows_per_block)
+    rows = list(enumerate(repeated_line_rows(random.Random(5), 90)))
+    got = {r.doc_id: r.class_id for r in pm.near_duplicates(documents(*rows)).collect()}
+    want = classes_by_hand(rows)
+    assert got == want and 1 < len(set(want.values())) < 80
+
+
+def test_a_block_compares_few_pairs_exactly(monkeypatch):
+    calls, exact = [], pm.similarity
+    monkeypatch.setattr(pm, "similarity", lambda *a, **k: calls.append(1) or exact(*a, **k))
+    texts = repeated_line_rows(random.Random(6), 120)
+    asking = [k % 2 == 0 for k in range(len(texts))]
+    table = pa.table({"id": range(len(texts)), "component": range(len(texts)), "asking": asking, "text": texts})
+    found = pm._join_components(table, 0.8, 5).to_pylist()
+    sets = [shingles(t) for t in texts]
+    pairs = [(i, j) for i in range(0, len(texts), 2) for j in range(1, len(texts), 2) if max(jaccards(sets[i], sets[j])) >= 0.8]
+    groups = lambda links: Counter(map(frozenset, _groups(links)))
+    assert groups([(r["a"], r["b"]) for r in found]) == groups(pairs)
+    assert len(pairs) > 2 * len(found) and len(calls) <= 2 * len(found)  # 3,600 pairs
+
+
+def _groups(links):
+    of = {}
+    for a, b in links:
+        both = of.get(a, {a}) | of.get(b, {b})
+        of |= dict.fromkeys(both, both)
+    return {frozenset(g) for g in of.values()}
+
+
+def test_components_of_any_links(spark, tmp_path):
+    for seed in range(3):
+        draw = random.Random(seed)
+        names = draw.sample(range(-500, 500), 300)
+        links = [(draw.choice(names), draw.choice(names)) for _ in range(180)]
+        links += [links[0], links[0][::-1]]
+        want = {x: min(g) for g in _groups([(a, b) for a, b in links if a != b]) for x in g}
+        got = components(spark.createDataFrame(links, "a long, b long"), str(tmp_path / f"c{seed}")).collect()
+        assert len(got) == len(want) and {r.id: r.component for r in got} == want
